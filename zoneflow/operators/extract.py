@@ -128,10 +128,10 @@ def districts(lines: DataFrame, pattern: str = tx.DISTRICT_CODE) -> tuple[DataFr
 
 def coverage(hits: DataFrame, cities: DataFrame) -> DataFrame:
     """Per attribute: cities with a hit, all cities, and the percentage."""
-    total = cities.agg(F.count_distinct("city").alias("all_cities"))
+    total = cities.agg(F.count_distinct("city")).scalar()
     return (
         hits.groupBy("attribute").agg(F.count_distinct("city").alias("found_cities"))
-        .join(F.broadcast(total))
+        .withColumn("all_cities", total)
         .withColumn("pct_found", F.col("found_cities") / F.col("all_cities") * 100)
     )
 

@@ -100,9 +100,13 @@ def lines(docs: DataFrame, text: str = "text", keep: list[str] | None = None) ->
     array, so no shuffle is needed.
     """
     keep = keep if keep is not None else [c for c in docs.columns if c != text]
+    # The count is its own projection below the explode, so the array is not copied along
+    # with every line; the outer form keeps Spark from splitting again to filter.
     return (
-        docs.select(*keep, F.split(tx.plain_spaces(text), "\n").alias("_lines"))
-        .select(*keep, F.size("_lines").alias("n_lines"), F.posexplode("_lines").alias("_pos", "line"))
+        docs.where(F.col(text).isNotNull())
+        .select(*keep, F.split(tx.plain_spaces(text), "\n").alias("_lines"))
+        .select(*keep, "_lines", F.size("_lines").alias("n_lines"))
+        .select(*keep, "n_lines", F.posexplode_outer("_lines").alias("_pos", "line"))
         .select(*keep, "n_lines", (F.col("_pos") + 1).alias("line_no"), "line")
     )
 
