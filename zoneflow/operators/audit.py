@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import reduce
 from operator import add
 
@@ -22,11 +22,12 @@ NORMAL_RANGE = (0.05, 0.95)
 class AuditLogs:
     update_log: DataFrame
     warning_log: DataFrame
-    _cached: DataFrame
+    cached: list[DataFrame] = field(default_factory=list)
 
     def release(self) -> None:
         """Drop the cached comparison once the logs are written."""
-        self._cached.unpersist()
+        for df in self.cached:
+            df.unpersist()
 
 
 def epoch_to_timestamp(c: Column | str) -> Column:
@@ -145,7 +146,8 @@ def updates(
             F.concat(F.lit(f"{c} value is out of range (val = "), float_text(value), F.lit(")")),
         ))
 
-    novel = _novel_values(pairs, master, strings, pk, old, new, is_created, is_update)
+    held = [pairs]
+    novel = _novel_values(pairs, master, strings, pk, old, new, is_created, is_update, held)
     log = pairs.join(novel, pk, "left") if novel is not None else pairs.withColumn("_novel", F.array().cast("array<string>"))
 
     def newer(c: str | None) -> Column:
@@ -174,10 +176,10 @@ def updates(
         F.size("_range").alias("out_of_range"),
         F.concat("_range", "_novel").alias("warnings"),
     ).drop("_range", "_novel")
-    return AuditLogs(log, warnings_of(log, pk), pairs)
+    return AuditLogs(log, warnings_of(log, pk), held)
 
 
-def _novel_values(pairs, master, strings, pk, old, new, is_created, is_update) -> DataFrame | None:
+def _novel_values(pairs, master, strings, pk, old, new, is_created, is_update, held) -> DataFrame | None:
     """(pk, _novel): texts warning of values the master does not hold, in column order."""
     if not strings:
         return None
@@ -188,11 +190,11 @@ def _novel_values(pairs, master, strings, pk, old, new, is_created, is_update) -
         )
         for i, c in enumerate(strings)
     ]))))
-    values = checked_broadcast(cells.select("_col", "_val").distinct())
-    held = master.select(F.inline(F.array(*[
+    values = checked_broadcast(cells.select("_col", "_val").distinct(), held=held)
+    known = master.select(F.inline(F.array(*[
         F.struct(F.lit(i).alias("_col"), F.col(c).alias("_val")) for i, c in enumerate(strings)
     ]))).join(values, ["_col", "_val"], "left_semi").distinct()
-    unseen = checked_broadcast(values.join(held, ["_col", "_val"], "left_anti"))
+    unseen = checked_broadcast(values.join(known, ["_col", "_val"], "left_anti"), held=held)
     names = F.array(*[F.lit(c) for c in strings])
     return (
         cells.join(unseen, ["_col", "_val"])

@@ -31,13 +31,17 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def checked_broadcast(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
+def checked_broadcast(df: DataFrame, max_rows: int = 200_000,
+                      held: list[DataFrame] | None = None) -> DataFrame:
     """Broadcast ``df`` only after counting that it is small.
 
-    The frame is persisted first, so the count is not a second evaluation. Beyond
-    ``max_rows`` it is returned without a hint and Spark shuffles the join as usual.
+    The frame is persisted first, so the count is not a second evaluation; it is added to
+    ``held`` for callers that release it later. Beyond ``max_rows`` it is returned without a
+    hint and Spark shuffles the join as usual.
     """
     df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    if held is not None:
+        held.append(df)
     if df.limit(max_rows + 1).count() <= max_rows:
         return F.broadcast(df)
     return df

@@ -11,13 +11,13 @@ from pyspark.sql import types as T
 STAMP = "yy-MM-dd_HH-mm"
 
 # Columns of the stored logs.
-UPDATE_LOG = T.StructType.fromDDL(
+UPDATE_LOG = (
     "recid string, city_name string, cols_updated string, updated_from_nan int, "
     "updated_to_nan int, changed_vals int, out_of_range int, warnings string, editor string, "
     "edit_timestamp string, edit_type__c_u_d__ string, main_version string, "
     "old_vals string, new_vals string"
 )
-WARNING_LOG = T.StructType.fromDDL(
+WARNING_LOG = (
     "city string, editor string, edit_timestamp string, recid string, warning string"
 )
 
@@ -57,7 +57,7 @@ def typed_updates(stored: DataFrame, row_schema: T.StructType, pk: str = "recid"
     )
 
 
-def create_log_table(spark: SparkSession, name: str, schema: T.StructType) -> None:
+def create_log_table(spark: SparkSession, name: str, schema: str) -> None:
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     spark.createDataFrame([], schema).write.format("parquet").saveAsTable(name)
 
@@ -67,7 +67,10 @@ def append_log(stored: DataFrame, name: str) -> None:
 
 
 def file_stamp(name: Column) -> Column:
-    return F.try_to_timestamp(F.regexp_extract(name, r"^[^_]*_(?:log_)?([0-9][^.]*)\.csv$", 1), F.lit(STAMP))
+    """Timestamp in ``kind_yy-mm-dd_hh-mm.csv``; years 69-99 belong to the 1900s."""
+    text = F.regexp_extract(name, r"^[^_]*_(?:log_)?([0-9][^.]*)\.csv$", 1)
+    stamp = F.try_to_timestamp(text, F.lit(STAMP))
+    return F.when(F.year(stamp) >= 2069, stamp - F.expr("INTERVAL 100 YEAR")).otherwise(stamp)
 
 
 def before(named: DataFrame, cutoff: datetime, name: str = "file_name") -> DataFrame:
@@ -77,7 +80,7 @@ def before(named: DataFrame, cutoff: datetime, name: str = "file_name") -> DataF
 
 def logs_before(spark: SparkSession, root: str, cutoff: datetime) -> tuple[DataFrame, DataFrame]:
     """(update log, warning log) from the CSV files below ``root`` dated before ``cutoff``."""
-    def read(glob: str, schema: T.StructType) -> DataFrame:
+    def read(glob: str, schema: str) -> DataFrame:
         files = (
             spark.read.schema(schema).option("header", True).option("multiLine", True)
             .option("escape", '"').option("pathGlobFilter", glob).csv(root)
