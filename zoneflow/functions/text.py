@@ -14,8 +14,10 @@ SPACE_CLASS = (
     r"\x{9}-\x{d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
     r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 )
-SPACES = f"[{SPACE_CLASS}]+"
-WORD = f"[^{SPACE_CLASS}]+"
+SPACE_CHARS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005"
+    "\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 
 # English number words.
 NUMBER_WORDS = {
@@ -26,14 +28,14 @@ NUMBER_WORDS = {
     "fifty": 50, "sixty": 60, "seventy": 70, "eighty": 80, "ninety": 90,
     "hundred": 100, "thousand": 1000, "million": 1000000, "billion": 1000000000,
 }
-HAS_NUMBER_WORD = rf"(?i)(^|[{SPACE_CLASS}-])({'|'.join(NUMBER_WORDS)})([{SPACE_CLASS}-]|$)"
+HAS_NUMBER_WORD = rf"(?i)\b({'|'.join(NUMBER_WORDS)})\b"
 
 # Number, zone-code and district-code shapes.
 SPACED_INTEGER = r"\s[0-9]+\s"
 BRACKETED_INTEGER = r"\([0-9]+\)"
 ZONE_CODE = r"[A-Z]+\d-*\d*[A-Z]*"
 DISTRICT_CODE = r"[A-Z]-\d[A-Z]?"
-PUNCTUATION = r"[^\p{L}\p{N}_" + SPACE_CLASS + "]"
+PUNCTUATION = r"[^\p{L}\p{N}_ ]"
 
 
 def _col(c: Column | str) -> Column:
@@ -55,12 +57,18 @@ def plain_spaces(c: Column | str) -> Column:
     return F.translate(_col(c), "\u00a0", " ")
 
 
+def flat_spaces(c: Column | str) -> Column:
+    """Every kind of white space as a plain space. A translation per character is several
+    times cheaper than a regex class of this many ranges."""
+    return F.translate(_col(c), SPACE_CHARS, " " * len(SPACE_CHARS))
+
+
 def collapse_spaces(c: Column | str) -> Column:
-    return F.trim(F.regexp_replace(_col(c), SPACES, " "))
+    return F.trim(F.regexp_replace(flat_spaces(c), "  +", " "))
 
 
 def word_count(c: Column | str) -> Column:
-    return F.regexp_count(_col(c), F.lit(WORD))
+    return F.regexp_count(flat_spaces(c), F.lit("[^ ]+"))
 
 
 def has_number(c: Column | str) -> Column:
@@ -141,29 +149,17 @@ def float_text(c: Column | str) -> Column:
     c = _col(c).cast("double")
     raw = c.cast("string")
     size = F.abs(c)
-    sign = F.when(c < 0, "-").otherwise("")
-    mantissa = F.regexp_extract(raw, r"^-?([0-9.]+)E", 1)
-    exponent = F.regexp_extract(raw, r"E(-?[0-9]+)$", 1)
-    digits = F.regexp_replace(F.translate(mantissa, ".", ""), "(?<=.)0+$", "")
-    power = F.when(exponent != "", exponent.cast("int"))
-    whole = F.rpad(F.substring(digits, F.lit(1), power + 1), power + 1, F.lit("0"))
-    rest = F.substring(digits, power + 2, F.length(digits))
-    fraction = F.when(rest == "", "0").otherwise(rest)
-    large = F.concat(sign, whole, F.lit("."), fraction)
-    small = F.concat(sign, F.lit("0."), F.repeat(F.lit("0"), -power - 1), digits)
-    power_text = F.abs(power).cast("string")
-    exp_form = F.concat(
-        sign,
-        F.regexp_replace(mantissa, r"\.0$", ""),
-        F.when(power < 0, "e-").otherwise("e+"),
-        F.when(F.length(power_text) < 2, F.concat(F.lit("0"), power_text)).otherwise(power_text),
-    )
+
+    def plain(scale: int) -> Column:
+        return F.regexp_replace(c.cast(f"decimal(38,{scale})").cast("string"), r"(\.[0-9]+?)0+$", "$1")
+
+    power = F.regexp_replace(F.regexp_replace(raw, r"\.0E", "E"), "E([0-9])", "e+$1")
+    power = F.regexp_replace(F.regexp_replace(power, "E-([0-9])$", "e-0$1"), "E-", "e-")
     return (
-        F.when(c.isNull(), F.lit(None).cast("string"))
-        .when(~raw.contains("E"), raw)
-        .when((size >= 1e7) & (size < 1e16), large)
-        .when((size < 1e-3) & (size >= 1e-4), small)
-        .otherwise(exp_form)
+        F.when(~raw.contains("E"), raw)
+        .when((size >= 1e7) & (size < 1e16), plain(10))
+        .when((size >= 1e-4) & (size < 1e-3), plain(25))
+        .otherwise(power)
     )
 
 
@@ -187,10 +183,16 @@ def path_section(path: Column | str) -> Column:
     return F.split(name, r"\.")[0]
 
 
+def full_year(year: Column) -> Column:
+    """Two-digit year text with its century; 69-99 belong to the 1900s."""
+    return F.when(F.length(year) == 2, F.concat(F.when(year >= "69", "19").otherwise("20"), year))
+
+
 def short_date(text: Column | str) -> Column:
-    """month-day-two-digit-year; years 69-99 belong to the 1900s. Bad text gives NULL."""
-    day = F.try_to_timestamp(_col(text), F.lit("M-d-yy")).cast("date")
-    return F.when(F.year(day) >= 2069, F.add_months(day, -1200)).otherwise(day)
+    """Date from month-day-two-digit-year; other text gives NULL."""
+    text = _col(text)
+    dated = F.concat_ws("-", F.substring_index(text, "-", 2), full_year(F.substring_index(text, "-", -1)))
+    return F.try_to_timestamp(dated, F.lit("M-d-yyyy")).cast("date")
 
 
 def path_tokens(path: Column | str) -> Column:
@@ -204,15 +206,17 @@ def path_tokens(path: Column | str) -> Column:
 # --- word statistics ----------------------------------------------------------------------
 
 def strip_punctuation(c: Column | str) -> Column:
-    return F.regexp_replace(_col(c), PUNCTUATION, "")
+    return F.regexp_replace(flat_spaces(c), PUNCTUATION, "")
 
 
 def words(c: Column | str, stop_words: list[str] | None = None,
           lemmas: dict[str, str] | None = None) -> Column:
     """Words of a line without punctuation and stop words, optionally lemmatised."""
-    found = F.regexp_extract_all(strip_punctuation(c), F.lit(WORD), F.lit(0))
+    found = F.split(strip_punctuation(c), " +")
     if stop_words:
-        found = F.filter(found, lambda w: ~F.lower(w).isin(stop_words))
+        found = F.filter(found, lambda w: (w != "") & ~F.lower(w).isin(stop_words))
+    else:
+        found = F.filter(found, lambda w: w != "")
     if lemmas:
         table = F.create_map(*[F.lit(x) for pair in lemmas.items() for x in pair])
         found = F.transform(found, lambda w: F.coalesce(F.element_at(table, F.lower(w)), w))

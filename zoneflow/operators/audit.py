@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 from functools import reduce
-from operator import add
+from operator import add, or_
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
@@ -59,25 +59,43 @@ def keys_with_n_rows(df: DataFrame, pk: str, n: int) -> DataFrame:
     return df.groupBy(pk).agg(F.count("*").alias("n")).where(F.col("n") == n).select(pk)
 
 
+def _old(c: str) -> Column:
+    return F.col(f"old__{c}")
+
+
+def _new(c: str) -> Column:
+    return F.col(f"new__{c}")
+
+
 def _side(df: DataFrame, pk: str, name: str) -> DataFrame:
-    """Rows as one struct, with the number of rows sharing the key. The count runs on the
-    partitioning and ordering the pairing join needs anyway."""
+    """Rows under prefixed names with the number of rows sharing the key. The count runs on
+    the partitioning and ordering the pairing join needs anyway."""
     per_key = F.count("*").over(Window.partitionBy(pk))
-    return df.select(pk, F.struct(*df.columns).alias(name), per_key.alias(f"_{name}_n"))
+    return df.select(pk, *[F.col(c).alias(f"{name}__{c}") for c in df.columns], per_key.alias(f"_{name}_rows"))
 
 
 def pair_rows(master: DataFrame, entries: DataFrame, pk: str, mode: str) -> DataFrame:
-    """(pk, old, new): entries with their master rows, or the full outer pairing of two
-    masters without the rows that are the same in both."""
+    """Key, ``old__*`` and ``new__*`` columns and ``edit_type``: entries with their master
+    rows, or the full outer pairing of two masters without the rows equal in both."""
     if mode == "entries":
-        if is_small(entries):
+        if is_small(entries.select(pk)):
             # A batch of checked size: cut the master to the touched keys without a shuffle.
             master = master.join(F.broadcast(entries.select(pk)), pk, "left_semi")
-        return _side(entries, pk, "new").join(_side(master, pk, "old"), pk, "left")
-    if mode == "masters":
+        pairs = _side(entries, pk, "new").join(_side(master, pk, "old"), pk, "left")
+    elif mode == "masters":
         pairs = _side(entries, pk, "new").join(_side(master, pk, "old"), pk, "full_outer")
-        return pairs.where(~F.col("old").eqNullSafe(F.col("new")))
-    raise ValueError(f"mode must be 'entries' or 'masters', not {mode!r}")
+        differs = reduce(or_, [~_old(c).eqNullSafe(_new(c)) for c in entries.columns])
+        pairs = pairs.where(differs)
+    else:
+        raise ValueError(f"mode must be 'entries' or 'masters', not {mode!r}")
+    old_rows, new_rows = F.col("_old_rows"), F.col("_new_rows")
+    repeated = (F.coalesce(old_rows, F.lit(1)) > 1) | (F.coalesce(new_rows, F.lit(1)) > 1)
+    complaint = F.raise_error(F.concat(F.lit("repeated key: "), F.col(pk).cast("string")))
+    edit_type = (
+        F.when(repeated, complaint.cast("string"))
+        .when(old_rows.isNull(), "C").when(new_rows.isNull(), "D").otherwise("U")
+    )
+    return pairs.withColumn("edit_type", edit_type).drop("_old_rows", "_new_rows")
 
 
 def _compact(items: list[Column]) -> Column:
@@ -113,33 +131,20 @@ def updates(
     strings = string_columns(entries, pk)
     bounds = normal_ranges(master, numeric) if bounds is None else bounds
 
-    old = {c: F.col("old")[c] for c in columns}
-    new = {c: F.col("new")[c] for c in columns}
-    created, deleted = F.col("old").isNull(), F.col("new").isNull()
-    repeated = (F.coalesce("_old_n", F.lit(1)) > 1) | (F.coalesce("_new_n", F.lit(1)) > 1)
-    edit_type = (
-        F.when(repeated, F.raise_error(F.concat(F.lit("repeated key: "), F.col(pk).cast("string"))).cast("string"))
-        .when(created, "C").when(deleted, "D").otherwise("U")
-    )
-    pairs = (
-        pair_rows(master, entries, pk, mode)
-        .select(pk, "old", "new", edit_type.alias("edit_type"))
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    )
-    is_update = F.col("edit_type") == "U"
-    is_created = F.col("edit_type") == "C"
+    pairs = pair_rows(master, entries, pk, mode).persist(StorageLevel.MEMORY_AND_DISK)
+    is_update, is_deleted = F.col("edit_type") == "U", F.col("edit_type") == "D"
 
-    changed = {c: ~old[c].eqNullSafe(new[c]) for c in columns}
+    changed = {c: ~_old(c).eqNullSafe(_new(c)) for c in columns}
     listed = _compact([F.when(is_update & changed[c], F.lit(c)) for c in columns])
-    from_null = _count([old[c].isNull() for c in numeric]) - _count([new[c].isNull() for c in numeric])
-    to_null = _count([old[c].isNotNull() & new[c].isNull() for c in numeric])
+    from_null = _count([_old(c).isNull() for c in numeric]) - _count([_new(c).isNull() for c in numeric])
+    to_null = _count([_old(c).isNotNull() & _new(c).isNull() for c in numeric])
 
     range_warnings = []
     for c in numeric:
         if bounds.get(c) is None:
             continue
         low, high = bounds[c]
-        value = F.coalesce(new[c], F.when(F.col("edit_type") == "D", old[c]))
+        value = F.coalesce(_new(c), F.when(is_deleted, _old(c)))
         outside = (value < low) | (value > high)
         range_warnings.append(F.when(
             outside & (~is_update | changed[c]),
@@ -147,17 +152,20 @@ def updates(
         ))
 
     held = [pairs]
-    novel = _novel_values(pairs, master, strings, pk, old, new, is_created, is_update, held)
-    log = pairs.join(novel, pk, "left") if novel is not None else pairs.withColumn("_novel", F.array().cast("array<string>"))
+    log = pairs.withColumn("_novel", F.lit(None).cast("array<string>"))
+    if strings:
+        log = pairs.join(_novel_values(pairs, master, strings, pk, held), pk, "left")
 
     def newer(c: str | None) -> Column:
-        return F.when(deleted, old[c]).otherwise(new[c]) if c in columns else F.lit(None).cast("string")
+        return F.when(is_deleted, _old(c)).otherwise(_new(c)) if c in columns else F.lit(None).cast("string")
+
+    def row(side: str) -> Column:
+        return F.struct(*[F.col(f"{side}__{c}").alias(c) for c in columns])
 
-    stale = (new[edit_date] < old[edit_date]) if edit_date in columns else F.lit(None).cast("boolean")
+    stale = (_new(edit_date) < _old(edit_date)) if edit_date in columns else F.lit(None).cast("boolean")
     log = log.select(
         pk,
-        F.coalesce(new[city], old[city]).alias("city_name") if city in columns
-        else F.lit(None).cast("string").alias("city_name"),
+        newer(city).alias("city_name"),
         "edit_type",
         listed.alias("cols_updated"),
         F.when(is_update, from_null).alias("updated_from_nan"),
@@ -169,8 +177,8 @@ def updates(
         newer(edit_date).alias("edit_timestamp"),
         F.lit(main_version).alias("main_version"),
         stale.alias("stale_edit"),
-        F.col("old").alias("old_row"),
-        F.col("new").alias("new_row"),
+        F.when(F.col("edit_type") != "C", row("old")).alias("old_row"),
+        F.when(~is_deleted, row("new")).alias("new_row"),
     ).select(
         "*",
         F.size("_range").alias("out_of_range"),
@@ -179,14 +187,15 @@ def updates(
     return AuditLogs(log, warnings_of(log, pk), held)
 
 
-def _novel_values(pairs, master, strings, pk, old, new, is_created, is_update, held) -> DataFrame | None:
-    """(pk, _novel): texts warning of values the master does not hold, in column order."""
-    if not strings:
-        return None
+def _novel_values(pairs: DataFrame, master: DataFrame, strings: list[str], pk: str,
+                  held: list[DataFrame]) -> DataFrame:
+    """(pk, _novel): warnings of values the master does not hold, in column order. A value
+    equal to its old one is in the master, so only changed and created cells are looked at."""
+    created, update = F.col("edit_type") == "C", F.col("edit_type") == "U"
     cells = pairs.select(pk, F.inline(F.array_compact(F.array(*[
         F.when(
-            new[c].isNotNull() & (is_created | (is_update & old[c].isNotNull() & (old[c] != new[c]))),
-            F.struct(F.lit(i).alias("_col"), new[c].alias("_val")),
+            _new(c).isNotNull() & (created | (update & (_old(c) != _new(c)))),
+            F.struct(F.lit(i).alias("_col"), _new(c).alias("_val")),
         )
         for i, c in enumerate(strings)
     ]))))

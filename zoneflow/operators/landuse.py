@@ -7,6 +7,7 @@ from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Words of a plan description that name each land use.
 LAND_USES = {
@@ -43,17 +44,24 @@ def parse_geometry(c: Column | str) -> Column:
     return F.from_json(c, GEOMETRY)
 
 
-def centroid(geometry: Column | str) -> Column:
-    """Struct (lon, lat): mean of the vertices of the first ring of the first polygon, the
-    repeated closing vertex included."""
-    geometry = F.col(geometry) if isinstance(geometry, str) else geometry
-    ring = F.get(F.get(geometry["coordinates"], F.lit(0)), F.lit(0))
-
-    def mean(axis: int) -> Column:
-        total = F.aggregate(ring, F.lit(0.0), lambda acc, v: acc + F.get(v, F.lit(axis)))
-        return F.try_divide(total, F.size(ring))
-
-    return F.when(ring.isNotNull(), F.struct(mean(0).alias("lon"), mean(1).alias("lat")))
+def with_centroid(df: DataFrame, geometry: str = "geometry") -> DataFrame:
+    """Add lon and lat: means over the vertices of the first ring of the first polygon, the
+    repeated closing vertex included. ``geometry`` is GeoJSON text or already parsed."""
+    shape = F.col(geometry)
+    if isinstance(df.schema[geometry].dataType, T.StringType):
+        shape = parse_geometry(geometry)
+    zero = F.struct(F.lit(0.0).alias("lon"), F.lit(0.0).alias("lat"))
+    total = F.aggregate("_ring", zero, lambda acc, v: F.struct(
+        (acc["lon"] + F.get(v, F.lit(0))).alias("lon"), (acc["lat"] + F.get(v, F.lit(1))).alias("lat")))
+    # One step per projection: the text is parsed once and the ring walked once per row.
+    return (
+        df.select("*", shape.alias("_shape"))
+        .select(*df.columns, F.get(F.get("_shape.coordinates", F.lit(0)), F.lit(0)).alias("_ring"))
+        .select(*df.columns, "_ring", total.alias("_total"))
+        .select(*df.columns, *[
+            F.try_divide(F.col("_total")[axis], F.size("_ring")).alias(axis) for axis in ("lon", "lat")
+        ])
+    )
 
 
 def join_types(buildings: DataFrame, types: DataFrame, key: str = "building_type") -> DataFrame:

@@ -72,7 +72,7 @@ LINES_SQL = """lines AS (
                string_split(replace(text, chr(160), ' '), chr(10)) AS l FROM documents))"""
 
 _NUMBER_MAP = "MAP {" + ",".join(f"'{w}':{n}::BIGINT" for w, n in tx.NUMBER_WORDS.items()) + "}"
-_FLAT = f"trim(regexp_replace(line, '{tx.SPACES}', ' ', 'g'))"
+_FLAT = f"trim(regexp_replace(line, '[{tx.SPACE_CLASS}]+', ' ', 'g'))"
 # A token's value: one word, or tens and units (larger compounds do not occur in the tables).
 DIGITS_SQL = f"""array_to_string(list_transform(string_split({_FLAT}, ' '), lambda t: COALESCE(CAST(
   list_sum(list_filter(list_transform(string_split(lower(t), '-'), lambda p: {_NUMBER_MAP}[p]), lambda v: v IS NOT NULL))
@@ -338,7 +338,7 @@ def master_and_entries(spark, sf_dir):
         F.col("o_orderkey").cast("string").alias("recid"), F.col("o_orderpriority").alias("city_name"),
         F.col("o_orderstatus").alias("zn_code"), F.col("o_totalprice").alias("max_dua"),
         "units_per_lot", "minimum_lot_sqft", F.lit("clerk").alias("editor"),
-        F.col("o_orderdate").cast("timestamp").alias("edit_date"))
+        F.col("o_orderdate").cast("timestamp").alias("edit_date")).persist()
     zn, city = F.col("zn_code"), F.col("city_name")
     day = F.expr("INTERVAL 1 DAY")
     edited = master.select(
@@ -571,7 +571,7 @@ def md5_place(seed: int, *key: str) -> str:
 
 
 NONE_SQL = f"""none_lines AS (SELECT * FROM lines l
-  WHERE len(regexp_extract_all(line, '{tx.WORD}')) > 4 AND doc_id IN (SELECT doc_id FROM hits)
+  WHERE len(regexp_extract_all(line, '[^{tx.SPACE_CLASS}]+')) > 4 AND doc_id IN (SELECT doc_id FROM hits)
   AND NOT EXISTS (SELECT 1 FROM hits h WHERE h.doc_id = l.doc_id AND h.line_no = l.line_no))"""
 
 
@@ -778,10 +778,9 @@ def polygon_centroid(spark, sf_dir):
     ring = F.concat_ws(",", vertex("l_quantity", "l_tax"), vertex("l_extendedprice", "l_discount"),
                        vertex("l_linenumber", "l_suppkey"), vertex("l_quantity", "l_tax"))
     geometry = F.concat(F.lit('{"type":"MultiPolygon","coordinates":[[['), ring, F.lit("]]]}"))
-    items = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", geometry.alias("geometry"))
-    center = landuse.centroid(landuse.parse_geometry("geometry"))
-    return items.select("l_orderkey", "l_linenumber", "l_partkey", center.alias("c")).select(
-        "l_orderkey", "l_linenumber", "l_partkey", F.round("c.lon", 9).alias("lon"), F.round("c.lat", 9).alias("lat"))
+    items = spread(table(spark, sf_dir, "lineitem")).select("l_orderkey", "l_linenumber", "l_partkey", geometry.alias("geometry"))
+    return landuse.with_centroid(items).select(
+        "l_orderkey", "l_linenumber", "l_partkey", F.round("lon", 9).alias("lon"), F.round("lat", 9).alias("lat"))
 
 
 # --- features and evaluation ----------------------------------------------------------------
@@ -804,7 +803,7 @@ def label_encode(spark, sf_dir):
 
 
 STOP = ["the", "of", "and", "to", "in", "is", "de", "la", "le", "el"]
-_TOKENS = f"""list_filter(regexp_extract_all(regexp_replace(line, '{tx.PUNCTUATION}', '', 'g'), '{tx.WORD}'),
+_TOKENS = f"""list_filter(regexp_extract_all(regexp_replace(line, '[^\\p{{L}}\\p{{N}}_{tx.SPACE_CLASS}]', '', 'g'), '[^{tx.SPACE_CLASS}]+'),
   lambda w: lower(w) NOT IN ({", ".join(f"'{w}'" for w in STOP)}))"""
 
 

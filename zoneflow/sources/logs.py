@@ -8,7 +8,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-STAMP = "yy-MM-dd_HH-mm"
+from zoneflow.functions import text as tx
+
+STAMP = "yyyy-MM-dd_HH-mm"
 
 # Columns of the stored logs.
 UPDATE_LOG = (
@@ -69,8 +71,7 @@ def append_log(stored: DataFrame, name: str) -> None:
 def file_stamp(name: Column) -> Column:
     """Timestamp in ``kind_yy-mm-dd_hh-mm.csv``; years 69-99 belong to the 1900s."""
     text = F.regexp_extract(name, r"^[^_]*_(?:log_)?([0-9][^.]*)\.csv$", 1)
-    stamp = F.try_to_timestamp(text, F.lit(STAMP))
-    return F.when(F.year(stamp) >= 2069, stamp - F.expr("INTERVAL 100 YEAR")).otherwise(stamp)
+    return F.try_to_timestamp(F.concat(tx.full_year(F.substring_index(text, "-", 1)), F.substring(text, 3, 20)), F.lit(STAMP))
 
 
 def before(named: DataFrame, cutoff: datetime, name: str = "file_name") -> DataFrame:
