@@ -3,6 +3,7 @@ from datetime import date
 from zoneflow.functions import text as tx
 from zoneflow.operators import extract
 from zoneflow.plans.rules import PATH_TERMS, ZONING
+from zoneflow.session import is_small
 from zoneflow.sources import corpus, images
 
 
@@ -61,6 +62,11 @@ def test_empty_corpus(spark):
     assert corpus.select_documents(df, PATH_TERMS, most_recent=True).count() == 0
 
 
+def test_session_size_check(spark):
+    df = spark.createDataFrame([("x" * 100, [1, 2])] * 5, "s string, a array<int>")
+    assert is_small(df) and not is_small(df, max_rows=4) and not is_small(df, max_bytes=500)
+
+
 def test_image_inventory(spark, tmp_path):
     for f in ("res/a.jpg", "res/b.jpg", "com/c.jpg", "com/n.txt", "com/.hidden.jpg"):
         write(tmp_path, f, "x")

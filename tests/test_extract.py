@@ -4,7 +4,7 @@ import re
 from pyspark.sql import functions as F
 
 from zoneflow.functions import text as tx
-from zoneflow.operators import extract
+from zoneflow.operators import extract, training
 from zoneflow.plans.rules import ZONING, RuleSet
 from zoneflow.sources import corpus
 
@@ -127,3 +127,17 @@ def test_coverage_districts_and_lookup(spark):
     assert found.count() == 2
     assert extract.find_information(hits, "a", "building_height").count() == 1
     assert extract.find_information(hits, "b", "building_height").count() == 0
+
+
+def test_none_lines_inside_documents_equal_the_join(spark):
+    pad = "one long line of plain words"
+    docs = spark.createDataFrame(
+        [(1, "c", "s", "\n".join([*GOLDEN, pad, "too short"])), (2, "c", "s", pad), (3, "c", "s", None)],
+        "doc_id int, city string, section string, text string")
+    lines = corpus.lines(docs)
+    joined = training.none_lines(lines, extract.attributes(lines, ZONING))
+    direct = training.none_lines_of(docs, ZONING)
+    def shape(df):
+        return sorted((r.doc_id, r.line_no, r.line) for r in df.collect())
+    assert shape(joined) == shape(direct) and (1, 10, pad) in shape(direct)
+    assert "Exchange" not in direct._jdf.queryExecution().executedPlan().toString()

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from zoneflow.functions.stats import exact_percentiles
 from zoneflow.functions.text import float_text
-from zoneflow.session import checked_broadcast, is_small, nan_to_null
+from zoneflow.session import checked_broadcast, is_small, nan_to_null, sized
 
 NORMAL_RANGE = (0.05, 0.95)
 
@@ -199,11 +199,15 @@ def _novel_values(pairs: DataFrame, master: DataFrame, strings: list[str], pk: s
         )
         for i, c in enumerate(strings)
     ]))))
-    values = checked_broadcast(cells.select("_col", "_val").distinct(), held=held)
+    values, small = sized(cells.select("_col", "_val").distinct(), held)
     known = master.select(F.inline(F.array(*[
         F.struct(F.lit(i).alias("_col"), F.col(c).alias("_val")) for i, c in enumerate(strings)
-    ]))).join(values, ["_col", "_val"], "left_semi").distinct()
-    unseen = checked_broadcast(values.join(known, ["_col", "_val"], "left_anti"), held=held)
+    ])))
+    # Few changed values filter the master where it is read; many are compared with its
+    # distinct values, which combine before the shuffle.
+    known = known if small else known.distinct()
+    known = known.join(values, ["_col", "_val"], "left_semi").distinct()
+    unseen = checked_broadcast(values.join(known, ["_col", "_val"], "left_anti"), held)
     names = F.array(*[F.lit(c) for c in strings])
     return (
         cells.join(unseen, ["_col", "_val"])

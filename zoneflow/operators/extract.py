@@ -5,11 +5,12 @@ from __future__ import annotations
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from zoneflow.functions import text as tx
-from zoneflow.plans.rules import RuleSet
+from zoneflow.plans.rules import Rule, RuleSet
+from zoneflow.session import checked_broadcast
 
 HIT_COLUMNS = [
     "doc_id", "city", "attribute", "pattern_id", "values", "value_list",
@@ -64,6 +65,17 @@ def attributes(lines: DataFrame, rules: RuleSet) -> DataFrame:
     )
 
 
+def is_hit(line: Column, rules: RuleSet) -> Column:
+    """Whether a line would give a hit, as an expression for use inside a document row."""
+    ints = tx.integers(tx.without_commas(tx.digits_for_words(line)))
+
+    def in_range(r: Rule) -> Column:
+        return F.exists(ints, lambda v: (v > r.lo) & (v < r.hi))
+
+    found = [line.rlike(tx.line_pattern(r.pattern)) & in_range(r) for r in rules.rules]
+    return tx.has_number(line) & reduce(or_, found)
+
+
 def _block(line_no: str, window: int):
     return F.floor(F.col(line_no) / window)
 
@@ -100,7 +112,8 @@ def zone_candidates(
 
 def context(lines: DataFrame, hits: DataFrame, window: int = 20) -> DataFrame:
     """Lines less than ``window`` away from each hit line: doc_id, hit_line, line_no, line,
-    is_hit. An equi-join on (document, block) with a residual distance test."""
+    is_hit. An equi-join on (document, block) with a residual distance test; the text stays
+    in place while the hit positions measure small."""
     spots = (
         hits.select("doc_id", F.col("line_no").alias("hit_line")).distinct()
         .select(
@@ -110,7 +123,7 @@ def context(lines: DataFrame, hits: DataFrame, window: int = 20) -> DataFrame:
     )
     return (
         lines.select("doc_id", _block("line_no", window).alias("block"), "line_no", "line")
-        .join(spots, ["doc_id", "block"])
+        .join(checked_broadcast(spots), ["doc_id", "block"])
         .where(F.abs(F.col("line_no") - F.col("hit_line")) < window)
         .select(
             "doc_id", "hit_line", "line_no", "line",

@@ -6,17 +6,38 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from zoneflow.functions import text as tx
-from zoneflow.operators import sampling
+from zoneflow.operators import extract, sampling
+from zoneflow.plans.rules import RuleSet
 from zoneflow.session import checked_broadcast
 
 
 def none_lines(lines: DataFrame, hits: DataFrame, min_words: int = 5) -> DataFrame:
     """Lines of documents with at least one hit that are no hit themselves and have at least
     ``min_words`` words."""
+    docs, spots = hits.select("doc_id").distinct(), hits.select("doc_id", "line_no").distinct()
     return (
         lines.where(tx.word_count("line") >= min_words)
-        .join(checked_broadcast(hits.select("doc_id").distinct()), "doc_id", "left_semi")
-        .join(hits.select("doc_id", "line_no").distinct(), ["doc_id", "line_no"], "left_anti")
+        .join(checked_broadcast(docs), "doc_id", "left_semi")
+        .join(checked_broadcast(spots), ["doc_id", "line_no"], "left_anti")
+    )
+
+
+def none_lines_of(docs: DataFrame, rules: RuleSet, min_words: int = 5, text: str = "text") -> DataFrame:
+    """The same rows straight from document rows, where nothing has to be joined or shuffled:
+    every line is judged inside its document."""
+    keep = [c for c in docs.columns if c != text]
+    judged = F.transform(
+        F.split(tx.plain_spaces(text), "\n"),
+        lambda line, i: F.struct(
+            (i + 1).alias("line_no"), line.alias("line"), extract.is_hit(line, rules).alias("hit")
+        ),
+    )
+    wanted = F.filter("_judged", lambda x: ~x["hit"] & (tx.word_count(x["line"]) >= min_words))
+    return (
+        docs.select(*keep, judged.alias("_judged"))
+        .where(F.exists("_judged", lambda x: x["hit"]))
+        .select(*keep, F.inline(wanted))
+        .drop("hit")
     )
 
 

@@ -51,11 +51,14 @@ CORPUS_CODE = r"[A-Z][a-z]+ing"
 CORPUS_WORDS = ["the", "ing", "tion", "elle"]
 
 
-def doc_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select(
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(table(spark, sf_dir, "documents").select(
         "doc_id", F.col("source").alias("city"), F.col("lang").alias("section"), "text"
-    )
-    return corpus.lines(spread(docs))
+    ))
+
+
+def doc_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus.lines(documents(spark, sf_dir))
 
 
 def values_list(rules: RuleSet) -> str:
@@ -263,6 +266,20 @@ def latest_version(spark, sf_dir):
     return corpus.select_documents(shipment_paths(spark, sf_dir), most_recent=True)
 
 
+@register("latest_documents", """WITH d AS (SELECT doc_id, text, 'corpus/' || lang || '/' ||
+    strftime(DATE '2020-01-01' + CAST(n_chars % 1000 AS INTEGER), '%m-%d-%y') || '/' || source || '-' || lpad(CAST(n_chars % 7 AS VARCHAR), 2, '0') || '-' || doc_id % 11 || '.txt' AS path,
+    lang, DATE '2020-01-01' + CAST(n_chars % 1000 AS INTEGER) AS day, source || '-' || lpad(CAST(n_chars % 7 AS VARCHAR), 2, '0') || '-' || doc_id % 11 AS title FROM documents),
+  best AS (SELECT lang, title, max(day) AS day FROM d GROUP BY ALL)
+SELECT doc_id, path, md5(text) AS digest FROM d JOIN best USING (lang, title, day)""")
+def latest_documents(spark, sf_dir):
+    """Documents filed under made paths: date and title follow from length and id."""
+    day = F.date_add(F.lit("2020-01-01").cast("date"), (F.col("n_chars") % 1000).cast("int"))
+    title = F.concat_ws("-", "source", F.lpad((F.col("n_chars") % 7).cast("string"), 2, "0"), F.col("doc_id") % 11)
+    docs = spread(table(spark, sf_dir, "documents")).select(
+        "doc_id", "text", F.concat_ws("/", F.lit("corpus"), "lang", F.date_format(day, "MM-dd-yy"), F.concat(title, F.lit(".txt"))).alias("path"))
+    return corpus.select_documents(docs, most_recent=True).select("doc_id", "path", F.md5("text").alias("digest"))
+
+
 def product_paths(spark, sf_dir):
     joined = landuse.join_types(
         table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("p_partkey"), "l_shipdate"),
@@ -587,6 +604,11 @@ def none_class_lines(spark, sf_dir):
     return training.none_lines(lines, hits).select("doc_id", "line_no", "line")
 
 
+@register("none_class_lines_of_documents", f"WITH {hits_sql(CORPUS)}, {NONE_SQL} SELECT doc_id, line_no, line FROM none_lines")
+def none_class_lines_of_documents(spark, sf_dir):
+    return training.none_lines_of(documents(spark, sf_dir), CORPUS).select("doc_id", "line_no", "line")
+
+
 @register("downsample_median", f"""WITH {hits_sql(CORPUS)}, {NONE_SQL},
 medians AS (SELECT city, quantile_cont(n, 0.5) AS m FROM (SELECT city, attribute, count(*) AS n FROM hits GROUP BY ALL) GROUP BY city),
 ranked AS (SELECT n.*, m, row_number() OVER (PARTITION BY city ORDER BY {md5_place(11, "doc_id", "line_no")}) AS rn
@@ -594,8 +616,9 @@ ranked AS (SELECT n.*, m, row_number() OVER (PARTITION BY city ORDER BY {md5_pla
 SELECT city, attribute, line AS context FROM hits
 UNION ALL SELECT city, 'none', line FROM ranked WHERE rn <= round_even(m, 0)""")
 def downsample_median(spark, sf_dir):
-    lines, hits = held_hits(spark, sf_dir)
-    return training.balanced(training.none_lines(lines, hits).persist(), hits, 11)
+    hits = hits_of(spark, sf_dir).persist()
+    none = training.none_lines_of(documents(spark, sf_dir), CORPUS).persist()
+    return training.balanced(none, hits, 11)
 
 
 @register("median_class_counts", f"""WITH {hits_sql(CORPUS)}

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Settings every operator relies on; cluster sizing is left to the submitter.
 REQUIRED = {
@@ -31,24 +35,40 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def checked_broadcast(df: DataFrame, max_rows: int = 200_000,
-                      held: list[DataFrame] | None = None) -> DataFrame:
-    """Broadcast ``df`` only after counting that it is small.
+BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 64 << 20
+
+
+def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """Count rows and bytes of the values; both are plain map-side sums."""
+    def width(f: T.StructField):
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            return F.coalesce(F.octet_length(f.name), F.lit(0))
+        if isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            return F.octet_length(F.to_json(F.struct(f.name)))
+        return F.lit(8)
+
+    total = reduce(add, [width(f) for f in df.schema.fields])
+    found = df.agg(F.count("*").alias("rows"), F.coalesce(F.sum(total), F.lit(0)).alias("bytes")).first()
+    return found["rows"] <= max_rows and found["bytes"] <= max_bytes
 
-    The frame is persisted first, so the count is not a second evaluation; it is added to
-    ``held`` for callers that release it later. Beyond ``max_rows`` it is returned without a
-    hint and Spark shuffles the join as usual.
+
+def sized(df: DataFrame, held: list[DataFrame] | None = None) -> tuple[DataFrame, bool]:
+    """The frame, persisted and with a broadcast hint if it measured small, and whether it did.
+
+    Persisting first means measuring is not a second evaluation; the frame is added to
+    ``held`` for callers that release it later. A larger one carries no hint, and Spark
+    shuffles its joins as usual.
     """
     df = df.persist(StorageLevel.MEMORY_AND_DISK)
     if held is not None:
         held.append(df)
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
+    small = is_small(df)
+    return (F.broadcast(df) if small else df), small
 
 
-def is_small(df: DataFrame, max_rows: int = 200_000) -> bool:
-    return df.limit(max_rows + 1).count() <= max_rows
+def checked_broadcast(df: DataFrame, held: list[DataFrame] | None = None) -> DataFrame:
+    return sized(df, held)[0]
 
 
 def spread(df: DataFrame) -> DataFrame:

@@ -6,6 +6,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from zoneflow.functions import text as tx
+from zoneflow.session import checked_broadcast
+
+
+PATH_COLUMNS = ["path", "root", "city", "scrape_date", "title", "section"]
 
 
 def list_documents(spark: SparkSession, root: str) -> DataFrame:
@@ -72,24 +76,30 @@ def select_documents(
         docs = docs.where(on_whitelist("path", whitelist))
     docs = path_columns(docs)
     if most_recent:
-        docs = latest(docs, ["root", "city", "title"], ["scrape_date", "path"])
+        row_id = "path" if set(docs.columns) - set(PATH_COLUMNS) else None
+        docs = latest(docs, ["root", "city", "title"], ["scrape_date", "path"], row_id)
     return docs
 
 
-def latest(df: DataFrame, keys: list[str], newest: list[str], payload: str = "text") -> DataFrame:
-    """Newest row per key.
+def latest(df: DataFrame, keys: list[str], newest: list[str], row_id: str | None = None) -> DataFrame:
+    """Newest row per key, by the ``newest`` columns.
 
-    Keys and dates are aggregated first, combining before the shuffle; the wide rows (the
-    ``payload``) are then only filtered by a semi join, never gathered per key.
+    Without ``row_id`` the whole row travels with the aggregation, which combines before the
+    shuffle. With it (wide rows, such as texts) only keys, dates and ids are compared, and
+    the superseded rows, usually few, are removed by an anti join that leaves the wide rows
+    where they are when the list measures small.
     """
     rank = F.struct(*newest)
-    if payload not in df.columns:
+    if row_id is None:
         rest = [c for c in df.columns if c not in keys]
         best = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), rank).alias("best"))
         return best.select(*[F.col(c) if c in keys else F.col(f"best.{c}").alias(c) for c in df.columns])
-    best = df.groupBy(*keys).agg(F.max(rank).alias("best"))
-    best = best.select(*keys, *[F.col(f"best.{c}").alias(c) for c in newest])
-    return df.join(best, [*keys, *newest], "left_semi")
+    best = df.groupBy(*keys).agg(F.max(rank).alias("_best"))
+    superseded = (
+        df.select(*dict.fromkeys([*keys, *newest, row_id])).join(best, keys)
+        .where(rank < F.col("_best")).select(row_id).distinct()
+    )
+    return df.join(checked_broadcast(superseded), row_id, "left_anti")
 
 
 def lines(docs: DataFrame, text: str = "text", keep: list[str] | None = None) -> DataFrame:
