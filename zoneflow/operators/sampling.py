@@ -60,7 +60,7 @@ def flag_sample(
     placed = _placed(df, group, seed, key)
     counts = _bucket_counts(placed, keys)
     if sizes is not None:
-        counts = counts.join(checked_broadcast(sizes), group)
+        counts = counts.join(sizes, group)
     cuts = (
         counts.withColumn("_size", size.cast("bigint"))
         .where(
@@ -130,7 +130,7 @@ def draw(df: DataFrame, group: list[str], size: Column, seed: int, key: list[str
     placed = _placed(df, group, seed, key)
     counts = _bucket_counts(placed, keys)
     if sizes is not None:
-        counts = counts.join(checked_broadcast(sizes), group)
+        counts = counts.join(sizes, group)
     counts = counts.withColumn("_size", size.cast("bigint"))
     in_bucket = Window.partitionBy(*keys, "_bucket").orderBy("_place")
     ranked = (
@@ -172,12 +172,12 @@ def resample(df: DataFrame, label: str, targets: DataFrame, seed: int, key: list
     Smaller classes keep every row and gain draws with replacement; larger ones are sampled
     down. A class without a target stays as it is.
     """
-    cap = F.least(F.col("_total"), F.coalesce("target", "_total"))
-    more = F.greatest(F.coalesce("target", "_total") - F.col("_total"), F.lit(0))
-    every = targets.select(label, "target")
-    unlisted = df.join(checked_broadcast(every.select(label)), label, "left_anti")
-    listed = df.join(checked_broadcast(every.select(label)), label, "left_semi")
+    cap = F.least("_total", "target")
+    more = F.greatest(F.col("target") - F.col("_total"), F.lit(0))
+    targets = checked_broadcast(targets.select(label, "target"))
+    unlisted = df.join(targets, label, "left_anti")
+    listed = df.join(targets, label, "left_semi")
     none = F.lit(None).cast("bigint")
-    kept = take(listed, [label], cap, seed, key, every).withColumn("draw_no", none)
-    extra = draw(listed, [label], more, seed, key, every)
+    kept = take(listed, [label], cap, seed, key, targets).withColumn("draw_no", none)
+    extra = draw(listed, [label], more, seed, key, targets)
     return kept.unionByName(extra).unionByName(unlisted.select(*df.columns, none.alias("draw_no")))

@@ -17,7 +17,7 @@ from zoneflow.operators import (
     audit, evaluate, extract, features, landuse, models, profile, sampling, training,
 )
 from zoneflow.plans.rules import ZONING, RuleSet
-from zoneflow.session import spread
+from zoneflow.session import settle, spread
 from zoneflow.sources import corpus, images, logs, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -886,7 +886,7 @@ def accuracy(spark, sf_dir):
 # --- models (no SQL: seeded fits, checked by rows) -------------------------------------------
 
 LANGUAGES = {"en": 0, "fr": 1, "de": 2, "es": 3}
-HASH_SIZE = 1 << 12
+HASH_SIZE = 1 << 10
 
 
 def language_rows(spark, sf_dir):
@@ -898,7 +898,7 @@ def language_rows(spark, sf_dir):
     rows = features.text_stats(features.encode_frequency(spread(flagged), frequency), "context", STOP)
     rows = rows.fillna(0.0, ["avg_word_length", "city_share"]).withColumn(
         "label", features.encode_label("attribute", LANGUAGES).cast("double"))
-    return rows.drop("context").persist()
+    return settle(rows.drop("context"))
 
 
 def fit_and_report(rows: DataFrame, pipeline) -> DataFrame:
@@ -947,18 +947,29 @@ def model_leaderboard(spark, sf_dir):
     return models.leaderboard(candidates, rows, folds=2)
 
 
+@register("random_search")
+def random_search(spark, sf_dir):
+    """Two seeded draws of a forest grid by two folds, with their mean accuracy."""
+    rows = language_rows(spark, sf_dir)
+    grid = {"maxDepth": [2, 4], "numTrees": [3, 6], "minInstancesPerNode": [1, 4]}
+    chosen = models.draws(grid, 2, 41)
+    found = models.search(lambda p: features.line_pipeline(models.forest(1, **p), size=256), rows, grid, n=2, folds=2, seed=41)
+    return spark.createDataFrame(
+        [(str(p), float(a)) for p, a in zip(chosen, found.avgMetrics)], "params string, accuracy double")
+
+
 @register("land_use_forest")
 def land_use_forest(spark, sf_dir):
     """Land-use labels from the other columns of a part, classes first balanced."""
     labelled = landuse.labels(
         table(spark, sf_dir, "part").select("*", F.concat_ws(" ", "p_name", "p_type").alias("plu_description")), uses=PRODUCT_USES)
     columns = ["p_brand", "p_type", "p_size", "p_retailprice"]
-    flagged = sampling.split(labelled.select("p_partkey", *columns, "label"), ["label"], 0.75, 37, ["p_partkey"])
+    flagged = settle(sampling.split(labelled.select("p_partkey", *columns, "label"), ["label"], 0.75, 37, ["p_partkey"]))
     train = flagged.where("in_train").drop("in_train")
     counts = profile.class_counts(train, "label")
     middle = counts.agg(F.bround(F.percentile("n", 0.5)).cast("bigint")).scalar()
     even = sampling.resample(train, "label", counts.select("label", middle.alias("target")), 37, ["p_partkey"])
-    even = features.with_missing_flags(even, columns).persist()
+    even = settle(features.with_missing_flags(even, columns))
     forest = models.forest(1, "label_index", numTrees=10, maxDepth=5)
     model = features.land_use_pipeline(even, columns, forest).fit(even)
     labels = model.stages[-3].labels

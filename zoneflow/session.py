@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from functools import reduce
 from operator import add
 
@@ -71,6 +73,25 @@ def checked_broadcast(df: DataFrame, held: list[DataFrame] | None = None) -> Dat
     return sized(df, held)[0]
 
 
+def scratch_dir(spark: SparkSession) -> str:
+    """The shared folder named by ``spark.checkpoint.dir``. Unset, it is a temporary folder
+    for a local session and lies in the warehouse otherwise."""
+    named = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if named:
+        return named.rstrip("/")
+    if spark.sparkContext.master.startswith("local"):
+        return tempfile.mkdtemp(prefix="zoneflow-")
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
+
+
+def settle(df: DataFrame) -> DataFrame:
+    """Write a frame to the scratch folder and read it back: later passes (model fits, say)
+    start from files that outlive executors instead of from its whole plan."""
+    path = f"{scratch_dir(df.sparkSession)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Rebalance an input that has fewer splits than the session has cores.
 
