@@ -141,3 +141,16 @@ def test_none_lines_inside_documents_equal_the_join(spark):
         return sorted((r.doc_id, r.line_no, r.line) for r in df.collect())
     assert shape(joined) == shape(direct) and (1, 10, pad) in shape(direct)
     assert "Exchange" not in direct._jdf.queryExecution().executedPlan().toString()
+
+
+def test_hits_inside_documents_equal_the_tables(spark):
+    random.seed(8)
+    pool = ["", "x", "R1 zone", "R2 and R1", "building height of 30 feet in R7", *GOLDEN]
+    rows = [(d, "c", "s", "\n".join(random.choice(pool) for _ in range(n))) for d, n in enumerate([0, 1, 30, 120, 500])]
+    docs = spark.createDataFrame([*rows, (99, "c", "s", None)], "doc_id int, city string, section string, text string")
+    direct = extract.document_hits(docs, ZONING)
+    lines = corpus.lines(docs)
+    joined = extract.zone_candidates(lines, extract.attributes(lines, ZONING))
+    assert direct.columns == joined.columns
+    assert sorted(map(str, direct.collect())) == sorted(map(str, joined.collect()))
+    assert "Exchange" not in direct._jdf.queryExecution().executedPlan().toString()

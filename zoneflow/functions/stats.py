@@ -62,7 +62,9 @@ def exact_percentiles(
         return out
 
     counted = (
-        typed.select(F.inline(F.array_compact(F.array(*cells))))
+        # Outer, so that Spark does not build the array again to filter on its size.
+        typed.select(F.inline_outer(F.array_compact(F.array(*cells))))
+        .where(F.col("id").isNotNull())
         .groupBy("id", "v").agg(F.count("*").alias("cnt"))
     )
     goals = df.sparkSession.createDataFrame(

@@ -18,13 +18,19 @@ HIT_COLUMNS = [
 ]
 
 
-def matching_lines(lines: DataFrame, rules: RuleSet) -> DataFrame:
-    """Lines with a number that match some rule, with their integers and one row per
-    matching pattern."""
-    matched = [F.col("line").rlike(tx.line_pattern(r.pattern)) for r in rules.rules]
-    marks = [
+def _integers(line: Column | str) -> Column:
+    return tx.integers(tx.without_commas(tx.digits_for_words(line)))
+
+
+def _matches_some(line: Column, rules: RuleSet) -> Column:
+    return tx.has_number(line) & reduce(or_, [line.rlike(tx.line_pattern(r.pattern)) for r in rules.rules])
+
+
+def _per_rule(rules: RuleSet) -> Column:
+    """Array of (attribute, pattern_id, lo, hi) of the rules the line matches."""
+    return F.array_compact(F.array(*[
         F.when(
-            m,
+            F.col("line").rlike(tx.line_pattern(r.pattern)),
             F.struct(
                 F.lit(r.attribute).alias("attribute"),
                 F.lit(r.pattern_id).alias("pattern_id"),
@@ -32,26 +38,14 @@ def matching_lines(lines: DataFrame, rules: RuleSet) -> DataFrame:
                 F.lit(r.hi).alias("hi"),
             ),
         )
-        for m, r in zip(matched, rules.rules)
-    ]
-    clean = tx.without_commas(tx.digits_for_words("line"))
-    return (
-        lines.where(tx.has_number("line"))
-        .where(reduce(or_, matched))
-        .select("*", tx.integers(clean).alias("_ints"))
-        .where(F.size("_ints") > 0)
-        .select("*", F.inline(F.array_compact(F.array(*marks))))
-    )
+        for r in rules.rules
+    ]))
 
 
-def attributes(lines: DataFrame, rules: RuleSet) -> DataFrame:
-    """Hits: one row per line and matching pattern with at least one value in range.
-
-    Narrow work only, so documents of any size split freely over tasks. ``fraction`` is how
-    far into the document the line lies, in percent.
-    """
+def _hit_rows(candidates: DataFrame, rules: RuleSet, extra: list[str]) -> DataFrame:
+    """Hits from lines with their integers: one row per matching pattern with a value in range."""
     return (
-        matching_lines(lines, rules)
+        candidates.select("*", F.inline(_per_rule(rules)))
         .withColumn("value_list", tx.between_open("_ints", F.col("lo"), F.col("hi")))
         .where(F.size("value_list") > 0)
         .select(
@@ -61,13 +55,69 @@ def attributes(lines: DataFrame, rules: RuleSet) -> DataFrame:
             F.col("line").alias("context"),
             "section", "line_no",
             ((F.col("line_no") - 1) / F.col("n_lines") * 100).alias("fraction"),
+            *extra,
         )
     )
 
 
+def attributes(lines: DataFrame, rules: RuleSet) -> DataFrame:
+    """Hits: one row per line and matching pattern with at least one value in range.
+
+    Narrow work only, so documents of any size split freely over tasks. ``fraction`` is how
+    far into the document the line lies, in percent.
+    """
+    candidates = (
+        lines.where(_matches_some(F.col("line"), rules))
+        .select("*", _integers("line").alias("_ints"))
+        .where(F.size("_ints") > 0)
+    )
+    return _hit_rows(candidates, rules, [])
+
+
+def document_hits(docs: DataFrame, rules: RuleSet, pattern: str = tx.ZONE_CODE, window: int = 20,
+                  text: str = "text") -> DataFrame:
+    """Hits with zone candidates straight from document rows: one scan, no shuffle.
+
+    Lines are judged inside their document, and each candidate line takes the codes of its
+    own slice of lines, so a document's cost grows with its length only. Where hits or lines
+    are already stored, ``attributes`` and ``zone_candidates`` do the same from tables.
+    """
+    keep = [c for c in docs.columns if c != text]
+    # The outer explode and the test after it keep Spark from judging lines again in a
+    # pushed-down filter.
+    spots = F.filter(
+        F.transform("_lines", lambda line, i: F.struct(
+            (i + 1).alias("line_no"), line.alias("line"),
+            F.when(_matches_some(line, rules), _integers(line)).alias("_ints"),
+        )),
+        lambda s: F.size(s["_ints"]) > 0,
+    )
+    line_codes = F.transform("_lines", lambda line: F.when(
+        line.rlike(tx.line_pattern(pattern)), tx.codes(line, pattern)))
+
+    def near(spot: Column) -> Column:
+        first = F.greatest(spot["line_no"] - (window - 1), F.lit(1))
+        around = F.slice("_codes", first, spot["line_no"] + window - first)
+        return F.array_sort(F.array_distinct(F.flatten(F.array_compact(around))))
+
+    candidates = (
+        docs.where(F.col(text).isNotNull())
+        .select(*keep, F.split(tx.plain_spaces(text), "\n").alias("_lines"))
+        .select(*keep, "_lines", spots.alias("_spots"))
+        .select(*keep, F.size("_lines").alias("n_lines"), "_spots",
+                F.when(F.size("_spots") > 0, line_codes).alias("_codes"))
+        .select(*keep, "n_lines", F.inline_outer(F.transform("_spots", lambda s: F.struct(
+            s["line_no"].alias("line_no"), s["line"].alias("line"), s["_ints"].alias("_ints"), near(s).alias("zone_list")))))
+        .where(F.col("line_no").isNotNull())
+        .withColumn("zone_list", F.when(F.size("zone_list") > 0, F.col("zone_list")))
+    )
+    return _hit_rows(candidates, rules, ["zone_list"]).withColumn(
+        "zone_candidates", F.array_join("zone_list", ", "))
+
+
 def is_hit(line: Column, rules: RuleSet) -> Column:
     """Whether a line would give a hit, as an expression for use inside a document row."""
-    ints = tx.integers(tx.without_commas(tx.digits_for_words(line)))
+    ints = _integers(line)
 
     def in_range(r: Rule) -> Column:
         return F.exists(ints, lambda v: (v > r.lo) & (v < r.hi))

@@ -33,10 +33,11 @@ def none_lines_of(docs: DataFrame, rules: RuleSet, min_words: int = 5, text: str
         ),
     )
     wanted = F.filter("_judged", lambda x: ~x["hit"] & (tx.word_count(x["line"]) >= min_words))
+    # The outer explode keeps Spark from judging the lines again in an inferred filter.
     return (
         docs.select(*keep, judged.alias("_judged"))
-        .where(F.exists("_judged", lambda x: x["hit"]))
-        .select(*keep, F.inline(wanted))
+        .select(*keep, F.inline_outer(F.when(F.exists("_judged", lambda x: x["hit"]), wanted)))
+        .where(F.col("line_no").isNotNull())
         .drop("hit")
     )
 

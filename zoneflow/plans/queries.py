@@ -158,6 +158,18 @@ def zone_candidates_zoning(spark, sf_dir):
     return found.select("doc_id", "attribute", "pattern_id", "line_no", "zone_candidates")
 
 
+@register("document_hits", zone_sql(CORPUS, CORPUS_CODE))
+def document_hits(spark, sf_dir):
+    found = extract.document_hits(documents(spark, sf_dir), CORPUS, CORPUS_CODE)
+    return found.select("doc_id", "attribute", "pattern_id", "line_no", "zone_candidates")
+
+
+@register("document_hits_zoning", zone_sql(ZONING, tx.ZONE_CODE))
+def document_hits_zoning(spark, sf_dir):
+    found = extract.document_hits(documents(spark, sf_dir), ZONING)
+    return found.select("doc_id", "attribute", "pattern_id", "line_no", "zone_candidates")
+
+
 @register("hits_with_zones", f"SELECT * FROM ({zone_sql(CORPUS, CORPUS_CODE)}) WHERE zone_candidates IS NOT NULL")
 def hits_with_zones(spark, sf_dir):
     return extract.with_zones_only(zone_candidates_window(spark, sf_dir))
