@@ -14,7 +14,7 @@ def write(root, rel, data):
 
 
 def test_read_select_and_extract_from_files(spark, tmp_path):
-    root = tmp_path / "City_Policies"
+    root = tmp_path / "policies"
     write(root, "alpha/01-02-20/zoning code.part.txt", "old building height of 20 feet\n")
     write(root, "alpha/11-02-20/zoning code.part.txt", "new building height of 30 feet\nR1\n")
     write(root, "beta/01-02-20/zoning code.part.txt", b"bad \xff byte building height of 40 feet")
@@ -22,7 +22,7 @@ def test_read_select_and_extract_from_files(spark, tmp_path):
     write(root, "beta/01-02-20/deep/land+use 100%.txt", "none")
     write(root, "beta/01-02-20/image.png", "x")
     listed = [r.path for r in corpus.list_documents(spark, str(root)).collect()]
-    assert listed == sorted(listed) and len(listed) == 5 and listed[0].startswith("City_Policies/alpha/")
+    assert listed == sorted(listed) and len(listed) == 5 and listed[0].startswith("policies/alpha/")
     docs = corpus.read_documents(spark, str(root))
     assert sorted(r.path for r in docs.collect()) == listed
     chosen = corpus.select_documents(docs, whitelist=PATH_TERMS, most_recent=True)

@@ -59,9 +59,9 @@ def test_line_pattern_passes_carriage_return_and_folds_letters(spark):
 
 
 def test_path_expressions(spark):
-    path = "City_Policies/walnut creek/01-23-20/Title 17.04 Zoning, general.txt"
+    path = "policies/walnut creek/01-23-20/Title 17.04 Zoning, general.txt"
     assert apply(spark, [path], tx.path_tokens)[0] == [
-        "city_policies", "walnut", "creek", "01-23-20", "title-17", "04", "zoning", "general", "txt"]
+        "policies", "walnut", "creek", "01-23-20", "title-17", "04", "zoning", "general", "txt"]
     assert apply(spark, [path], tx.path_section) == ["Title 17"]
     assert apply(spark, [path, "a"], lambda c: tx.path_part(c, 1)) == ["walnut creek", None]
 
