@@ -24,6 +24,7 @@ count. Without a target document the target model is the uniform one.
 from __future__ import annotations
 
 from collections import Counter
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -34,17 +35,23 @@ from .common import begin, map_arrow, settle, words
 
 UNKNOWN, START = 0, 1
 _BITS = np.int64(32)
+#: A task adds up about so many different words (eight times as many bigrams) before it hands them on.
+HELD = 500_000
 
 
 def vocabulary(docs: DataFrame, word_share: float) -> dict[bytes, int]:
     """word -> code (2 and up), by falling count; counted over every text."""
-    def count(batch: pa.RecordBatch):
-        found = Counter()
-        for text in batch.column(0).to_pylist():
-            found.update(words(text))
-        yield pa.RecordBatch.from_pydict({"w": pa.array(found.keys(), pa.binary()), "n": pa.array(found.values(), pa.int64())})
-
-    counts = settle(map_arrow(docs.select("text"), count, "w binary, n long", 8192).groupBy("w").agg(F.sum("n").alias("n")), "word-counts")
+    def count(batches):
+        found: Counter = Counter()
+        for batch in chain(batches, [None]):
+            if found and (batch is None or len(found) > HELD):
+                yield pa.RecordBatch.from_pydict({"w": pa.array(found.keys(), pa.binary()), "n": pa.array(found.values(), pa.int64())})
+                found.clear()
+            for text in batch.column(0).to_pylist() if batch else ():
+                found.update(words(text))
+
+    rows = docs.select("text").mapInArrow(count, "w binary, n long")
+    counts = settle(rows.groupBy("w").agg(F.sum("n").alias("n")), "word-counts")
     total = counts.agg(F.sum("n")).first()[0] or 0
     top = counts.where(F.col("n") >= word_share * total).orderBy(F.desc("n"), "w").collect()
     return {bytes(r["w"]): i + 2 for i, r in enumerate(top)}
@@ -64,16 +71,27 @@ def bigram_counts(docs: DataFrame, target: DataFrame, vocab) -> DataFrame:
     wanted = target.select(F.col("doc_id").alias("wanted")).where("wanted is not null").distinct()
     rows = docs.select("doc_id", "text").join(wanted, F.col("doc_id") == F.col("wanted"), "left")
 
-    def count(batch: pa.RecordBatch):
-        is_target = batch.column(1).to_pylist()
-        grams = [_bigrams(_codes(t, vocab.value)) for t in batch.column(0).to_pylist()]
-        flag = np.repeat(np.array(is_target, bool), [len(g) for g in grams])
-        every = np.concatenate([np.empty(0, np.int64), *grams])
-        codes, at, n = np.unique(every, return_inverse=True, return_counts=True)
-        t = np.bincount(at[flag], minlength=len(codes)) if len(codes) else n
-        yield pa.RecordBatch.from_pydict({"gram": pa.array(codes), "n": pa.array(n), "t": pa.array(t)})
-
-    grams = map_arrow(rows.select("text", F.col("wanted").isNotNull().alias("is_target")), count, "gram long, n long, t long", 8192)
+    def counted(every: list[np.ndarray], wanted: list[np.ndarray]) -> pa.RecordBatch:
+        codes, n = np.unique(np.concatenate(every), return_counts=True)
+        own, m = np.unique(np.concatenate([np.empty(0, np.int64), *wanted]), return_counts=True)
+        t = np.zeros(len(codes), np.int64)
+        t[np.searchsorted(codes, own)] = m
+        return pa.RecordBatch.from_pydict({"gram": pa.array(codes), "n": pa.array(n), "t": pa.array(t)})
+
+    def count(batches):
+        every, wanted, held = [], [], 0
+        for batch in chain(batches, [None]):
+            if held and (batch is None or held > 8 * HELD):
+                yield counted(every, wanted)
+                every, wanted, held = [], [], 0
+            for text, flag in zip(*(batch.column(i).to_pylist() for i in range(2)), strict=True) if batch else ():
+                grams = _bigrams(_codes(text, vocab.value))
+                every.append(grams)
+                held += len(grams)
+                if flag:
+                    wanted.append(grams)
+
+    grams = rows.select("text", F.col("wanted").isNotNull().alias("is_target")).mapInArrow(count, "gram long, n long, t long")
     return grams.groupBy("gram").agg(F.sum("n").alias("n"), F.sum("t").alias("t"))
 
 
