@@ -15,17 +15,23 @@ from pyspark.sql import types as T
 #: A table of at most so many narrow rows (counted, not guessed) may carry a broadcast hint.
 BROADCAST_ROWS = 200_000
 
+#: Rows of an Arrow batch; with whole documents in them, the default of 10,000 takes too much memory.
+ARROW_ROWS = 2048
+
 #: ASCII white space, as a regular expression class and as the characters themselves.
 SPACE_CLASS = r"[\x20\x09-\x0D]"
 SPACE_CHARS = " \t\n\x0b\x0c\r"
 
 
 def begin(spark: SparkSession) -> SparkSession:
-    """Let Python workers import this package from where the driver has it, unless they can already."""
+    """Let Python workers import this package from where the driver has it, and bound their batches."""
     home, env = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
     known = env.get("PYTHONPATH", "")
     if home not in known.split(":"):
         env["PYTHONPATH"] = f"{home}:{known}".rstrip(":")
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(rows)) <= ARROW_ROWS:
+        spark.conf.set(rows, ARROW_ROWS)
     return spark
 
 
@@ -56,7 +62,7 @@ def settle(df: DataFrame, what: str) -> DataFrame:
 
 
 def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str | T.StructType,
-              rows: int = 2048) -> DataFrame:
+              rows: int = ARROW_ROWS) -> DataFrame:
     """mapInArrow in slices of at most ``rows`` rows, so that what a task holds stays bounded."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -62,12 +62,11 @@ class Encoder:
     ``known`` holds values of frequent pre-tokens. Memory is bounded by ``limit`` entries a cache.
     """
 
-    def __init__(self, path: str, value: Callable, joined: Callable, limit: int = 500_000, known: dict | None = None):
+    def __init__(self, path: str, value: Callable, joined: Callable, limit: int = 250_000, known: dict | None = None):
         self.library = Tokenizer.from_file(path)
         if self.library.normalizer is not None or not isinstance(self.library.pre_tokenizer, ByteLevel):
             raise ValueError("pieces are exact for byte-level vocabularies without normalizer only")
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.vocab_size = self.library.get_vocab_size()
         self.letters, self.value, self.joined = byte_letters(), value, joined
         self.tokens = _Cache(self.pre_token, limit, known)
         self.pieces = _Cache(lambda piece: self.piece(" " + piece), limit)

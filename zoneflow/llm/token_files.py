@@ -28,6 +28,7 @@ from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from .common import begin
 from .pieces import worker_encoder
@@ -65,14 +66,14 @@ def _mapped(folder: str, name: str, kind: str) -> np.ndarray:
 def write_tokens(docs: DataFrame, tokenizer: str, folder: str, end_id: int) -> list[dict]:
     """Encode and write every text of docs; returns the manifest, one row per part, in order."""
     spark = begin(docs.sparkSession)
+    wide = max(Tokenizer.from_file(tokenizer).get_vocab_size() - 1, end_id) > 65_535
+    code, width = ("I", 4) if wide else ("H", 2)
 
     def encode(batches):
         name = f"part-{TaskContext.get().partitionId():06d}"
         encoder, out, lengths, ids, nulls = None, None, array("Q"), array("q"), 0
         for batch in batches:
             if encoder is None:
-                wide = worker_encoder("size", tokenizer, len, sum).vocab_size > 65_536 or end_id > 65_535
-                code, width = ("I", 4) if wide else ("H", 2)
                 encoder = worker_encoder(f"ids{width}", tokenizer, lambda x: array(code, x).tobytes(), b"".join)
                 end = array(code, [end_id]).tobytes()
                 file = _File(folder, f"{name}.ids")
