@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 BROADCAST_ROWS = 200_000
 
 #: Rows of an Arrow batch; with whole documents in them, the default of 10,000 takes too much memory.
-ARROW_ROWS = 2048
+ARROW_ROWS = 1024
 
 #: ASCII white space, as a regular expression class and as the characters themselves.
 SPACE_CLASS = r"[\x20\x09-\x0D]"

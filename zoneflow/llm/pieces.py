@@ -3,8 +3,9 @@
 In such a tokenizer a pre-token never reaches across a space that stands before a visible
 character: the space opens the next pre-token. So a text may be cut at these spaces and its pieces
 encoded one by one. Each worker keeps what it has encoded; a piece is first looked up, then built
-from its pre-tokens, and only pre-tokens not seen before go to the library. A text that holds one
-of the vocabulary's special strings is encoded whole.
+from its pre-tokens, and only pre-tokens not seen before go to the library. A pre-token that opens
+with a space is kept as the piece it would be alone, so it is held once. A text that holds one of
+the vocabulary's special strings is encoded whole.
 """
 
 from __future__ import annotations
@@ -62,14 +63,17 @@ class Encoder:
     ``known`` holds values of frequent pre-tokens. Memory is bounded by ``limit`` entries a cache.
     """
 
-    def __init__(self, path: str, value: Callable, joined: Callable, limit: int = 250_000, known: dict | None = None):
+    def __init__(self, path: str, value: Callable, joined: Callable, limit: int = 500_000, known: dict | None = None):
         self.library = Tokenizer.from_file(path)
         if self.library.normalizer is not None or not isinstance(self.library.pre_tokenizer, ByteLevel):
             raise ValueError("pieces are exact for byte-level vocabularies without normalizer only")
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.letters, self.value, self.joined = byte_letters(), value, joined
-        self.tokens = _Cache(self.pre_token, limit, known)
-        self.pieces = _Cache(lambda piece: self.piece(" " + piece), limit)
+        known = known or {}
+        # pieces without their leading space; pre-tokens that have none
+        self.pieces = _Cache(lambda piece: self.piece(" " + piece), limit,
+                             {t[1:]: v for t, v in known.items() if t[0] == " " and t.strip()})
+        self.bare = _Cache(self.pre_token, limit // 4, {t: v for t, v in known.items() if t[0] != " "})
 
     def pre_token(self, token: str):
         spelled = token.encode().decode("latin-1").translate(self.letters)
@@ -81,7 +85,10 @@ class Encoder:
     def piece(self, piece: str):
         if not PLAIN.fullmatch(piece):
             return self.whole(piece)
-        return self.joined(map(self.tokens.__getitem__, PRE_TOKEN.findall(piece)))
+        tokens = PRE_TOKEN.findall(piece)
+        if len(tokens) == 1:
+            return self.pre_token(piece)
+        return self.joined([self.pieces[t[1:]] if t[0] == " " and t[1:].strip() else self.bare[t] for t in tokens])
 
     def of(self, text: str):
         if any(s in text for s in self.special):
