@@ -69,6 +69,8 @@ def _bigrams(codes: np.ndarray) -> np.ndarray:
 def bigram_counts(docs: DataFrame, target: DataFrame, vocab) -> DataFrame:
     """gram, n (all documents), t (target documents)."""
     wanted = target.select(F.col("doc_id").alias("wanted")).where("wanted is not null").distinct()
+    # merged at every size, so that disk use grows in proportion and not by a change of plan
+    wanted = wanted.hint("merge")
     rows = docs.select("doc_id", "text").join(wanted, F.col("doc_id") == F.col("wanted"), "left")
 
     def counted(every: list[np.ndarray], wanted: list[np.ndarray]) -> pa.RecordBatch:
