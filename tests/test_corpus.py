@@ -3,7 +3,7 @@ from datetime import date
 from zoneflow.functions import text as tx
 from zoneflow.operators import extract
 from zoneflow.plans.rules import PATH_TERMS, ZONING
-from zoneflow.session import is_small
+from zoneflow.session import checked_broadcast, is_small, kept, release
 from zoneflow.sources import corpus, images
 
 
@@ -72,3 +72,22 @@ def test_image_inventory(spark, tmp_path):
         write(tmp_path, f, "x")
     got = {(r.image_file, r.label, r.image_path.rsplit("/", 1)[-1]) for r in images.inventory(spark, str(tmp_path)).collect()}
     assert got == {("a.jpg", "res", "res"), ("b.jpg", "res", "res"), ("c.jpg", "com", "com")}
+
+
+def test_folders_that_repeat_the_roots_name(spark, tmp_path):
+    write(tmp_path, "policies/policies/01-02-20/zoning.txt", "a")
+    write(tmp_path, "policies/town/01-02-20/policies/b c.txt", "b")
+    root = str(tmp_path / "policies")
+    want = {"policies/policies/01-02-20/zoning.txt", "policies/town/01-02-20/policies/b c.txt"}
+    assert {r.path for r in corpus.list_documents(spark, root).collect()} == want
+    assert {r.path for r in corpus.read_documents(spark, f"file://{root}/").collect()} == want
+    assert {r.city for r in corpus.path_columns(corpus.read_documents(spark, root)).collect()} == {"policies", "town"}
+
+
+def test_kept_frames_are_released(spark):
+    small = checked_broadcast(spark.range(5).toDF("k"))
+    assert small.count() == 5
+    release()
+    with kept(spark.range(3).toDF("k")) as df:
+        assert df.is_cached
+    assert not df.is_cached

@@ -1,4 +1,6 @@
 import pytest
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
 
 from zoneflow.operators import features, models
 from zoneflow.plans.rules import LABEL_CODES
@@ -55,21 +57,45 @@ def test_forest_and_boosting(rows):
 
 
 def test_search_and_leaderboard(rows):
-    grid = {"maxDepth": [1, 4], "numTrees": [3]}
+    grid = {"maxDepth": [1, 2], "maxIter": [1]}
     assert models.draws(models.BOOSTING_GRID, 50, 1) == models.draws(models.BOOSTING_GRID, 50, 1)
     assert len(models.draws(models.BOOSTING_GRID, 50, 1)) == 50
-    found = models.search(lambda p: features.line_pipeline(models.forest(1, **p), size=64), rows, grid, n=2, folds=2, parallelism=2)
-    assert len(found.avgMetrics) == 2
-    table = models.leaderboard({
-        "stump": features.line_pipeline(models.forest(1, numTrees=1, maxDepth=1), size=64),
-        "logistic": features.line_pipeline(models.logistic(maxIter=10), size=64)}, rows, folds=2)
+    data = features.feature_stages(size=32).fit(rows).transform(rows).select("context", "label", "features")
+    data = models.with_folds(data, 2, 3, ["context"]).persist()
+    assert {r["n"] for r in data.groupBy("label", "fold").count().withColumnRenamed("count", "n").collect()} == {6}
+    found = models.search(lambda p: models.boosting(1, **p), data, grid, n=2, folds=2, parallelism=2)
+    assert [p for p, _ in found] == models.draws(grid, 2, 0) and all(0 <= m <= 1 for _, m in found)
+    table = models.leaderboard({"stump": models.forest(1, numTrees=1, maxDepth=1), "logistic": models.logistic(maxIter=10)}, data, folds=2)
     assert [r.model for r in table.collect()] == ["logistic", "stump"]
-
-
-def test_land_use_pipeline_handles_missing_and_unseen(spark):
-    data = [("a" if i % 2 else "b", float(i % 7) if i % 5 else None, "residential" if i % 2 else "commercial") for i in range(60)]
-    df = features.with_missing_flags(spark.createDataFrame(data, "city string, acres double, label string"), ["city", "acres"])
-    model = features.land_use_pipeline(df, ["city", "acres"], models.forest(1, "label_index", numTrees=3)).fit(df)
-    new = spark.createDataFrame([("zzz", None, "residential")], "city string, acres double, label string")
-    assert model.transform(features.with_missing_flags(new, ["city", "acres"])).count() == 1
-    assert model.transform(df).where("prediction = label_index").count() == 60
+    data.unpersist()
+
+
+def test_counted_vocabulary_has_no_limit(spark):
+    words = " ".join(f"w{i}" for i in range(5000))
+    df = spark.createDataFrame([("x", words), ("y", None), ("z", "")], "city string, context string").withColumn("city_share", F.lit(0.5))
+    df = features.fill_numbers(features.text_stats(df))
+    fitted = features.feature_stages("count").fit(df)
+    assert len(fitted.stages[0].vocabulary) == 5000
+    assert fitted.transform(df).count() == 3
+    counts = features.token_counts(df, "city", features.vocabulary(df))
+    assert counts.count() == 5000
+
+
+def test_missing_number_fails_instead_of_losing_the_row(spark, rows):
+    fitted = features.feature_stages(size=32).fit(rows)
+    with pytest.raises(Exception, match="(?i)null"):
+        fitted.transform(rows.withColumn("city_share", F.lit(None).cast("double"))).select("features").collect()
+
+
+def test_fills_and_unseen_categories(spark):
+    columns, schema = ["city", "acres"], "city string, acres double, label string"
+    data = [("a" if i % 3 else "b", float(i % 7) if i % 5 else None, "residential" if i % 3 else "commercial") for i in range(60)]
+    df = spark.createDataFrame([*data, (None, float("nan"), "commercial")], schema)
+    fills = features.learn_fills(df, columns)
+    assert fills == {"city": "a", "acres": 3.0}
+    ready = features.filled(df, columns, fills)
+    assert ready.where("city is null or acres is null").count() == 0 and ready.where("acres_missing = 1").count() == 13
+    model = features.land_use_pipeline(ready, columns, models.forest(1, "label_index", numTrees=3)).fit(ready)
+    new = features.filled(spark.createDataFrame([("zzz", None, "residential"), ("b", 1.0, "residential")], schema), columns, fills)
+    hot = [r["h"] for r in model.transform(new).select(vector_to_array("city_hot").alias("h")).collect()]
+    assert hot == [[0.0, 0.0], [0.0, 1.0]]

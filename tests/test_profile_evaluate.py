@@ -46,8 +46,38 @@ def test_confusion_and_report(spark):
     assert got["accuracy"].f1 == 0.5 and evaluate.accuracy(df).first().accuracy == 0.5
     assert got["macro avg"].recall == pytest.approx((1 / 3 + 1) / 4)
     assert got["weighted avg"].recall == pytest.approx(0.5)
-    wide = {r.label: (r.a, r.b, r.c, r.d) for r in evaluate.confusion_wide(df, ["a", "b", "c", "d"]).collect()}
-    assert wide == {"a": (1, 1, 0, 1), "b": (0, 2, 0, 0), "c": (1, 0, 0, 0)}
+    wide = {r.label: (r.a, r.b, r.c, r.d, r.other) for r in evaluate.confusion_wide(df, ["a", "b", "c", "d"]).collect()}
+    assert wide == {"a": (1, 1, 0, 1, 0), "b": (0, 2, 0, 0, 0), "c": (1, 0, 0, 0, 0), "d": (0, 0, 0, 0, 0)}
+
+
+def test_unscored_rows_count_as_wrong(spark):
+    df = spark.createDataFrame([("a", "a"), ("a", None), ("b", "b"), ("b", None), (None, "a")], "label string, prediction string")
+    cells = {(r.label, r.prediction): r.n for r in evaluate.confusion(df).collect()}
+    assert len(cells) == 9 and cells["a", None] == 1 and cells[None, "a"] == 1 and sum(cells.values()) == 5
+    got = {r["class"]: r for r in evaluate.report(evaluate.confusion(df)).collect()}
+    assert got["a"].support == 2 and got["a"].recall == 0.5 and got["accuracy"].recall == 0.5 and got["accuracy"].support == 4
+    assert evaluate.accuracy(df).first().accuracy == 0.5
+    wide = {r.label: (r.a, r.other) for r in evaluate.confusion_wide(df, ["a"]).collect()}
+    assert wide == {"a": (1, 1), "b": (0, 2), None: (1, 0)}
+
+
+def test_nan_is_missing_everywhere(spark):
+    df = spark.createDataFrame([(1.0,), (2.0,), (float("nan"),), (None,)], "x double")
+    assert profile.null_rates(df).first().null_rate == 0.5
+    d = profile.describe(df).first()
+    assert (d["count"], d["mean"], d["max"], d["q50"]) == (2, 1.5, 2.0, 1.5)
+    assert profile.boxplot(df, ["x"]).first().outliers == 0
+    assert [r.x for r in profile.minmax(df, ["x"]).collect()] == [0.0, 1.0, None, None]
+
+
+def test_null_rates_are_sorted(numbers):
+    rates = [r.null_rate for r in profile.null_rates(numbers).collect()]
+    assert rates == sorted(rates, reverse=True)
+
+
+def test_hold_out_keeps_rows_without_a_city(spark):
+    rows, held = training.hold_out(spark.createDataFrame([("a",), ("b",), (None,)], "city string"), "a")
+    assert {r.city for r in rows.collect()} == {"b", None} and held.count() == 1
 
 
 def test_land_use(spark):

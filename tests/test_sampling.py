@@ -85,3 +85,27 @@ def test_flagging_does_not_shuffle_the_rows(rows):
     plan = sampling.split(df.where("g is not null"), ["g"], 0.5, 1, ["k"])._jdf.queryExecution().executedPlan().toString()
     top = plan.split("InMemoryTableScan")[0]
     assert "Exchange hashpartitioning" not in top
+
+
+def test_rows_without_a_class_are_a_class(spark):
+    df = spark.createDataFrame([(i, "a" if i < 40 else None) for i in range(80)], "k int, g string")
+    assert sampling.split(df, ["g"], 0.75, 1, ["k"]).where("in_train and g is null").count() == 30
+    parts = {(r.g, r.part): r["count"] for r in sampling.three_way(df, ["g"], 1, ["k"]).groupBy("g", "part").count().collect()}
+    assert parts[None, "test"] == parts["a", "test"] == 10 and sum(parts.values()) == 80
+    assert sampling.take(df, ["g"], F.lit(7), 1, ["k"]).groupBy("g").count().count() == 2
+    drawn = sampling.draw(df, ["g"], F.lit(50), 1, ["k"])
+    assert {r.g: r["count"] for r in drawn.groupBy("g").count().collect()} == {"a": 50, None: 50}
+
+
+def test_repeated_keys_across_a_cut_fail(spark):
+    df = spark.createDataFrame([(i // 10, i) for i in range(40)], "k int, v int")
+    assert sampling.sample_n(df, 20, 1, ["k"]).count() == 20
+    with pytest.raises(Exception, match="repeated key"):
+        sampling.sample_n(df, 7, 1, ["k"]).count()
+
+
+def test_ranks_are_the_order_of_places(rows):
+    df, data = rows
+    got = {r.k: r["rank"] for r in sampling.ranked(df, ["g"], 5, ["k"]).collect()}
+    hot = sorted((k for k, g in data if g == "hot"), key=lambda k: place(5, k))
+    assert [got[k] for k in hot] == list(range(len(hot))) and len(got) == len(data)

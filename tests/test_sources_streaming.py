@@ -29,11 +29,9 @@ def test_scan_and_counts(spark):
     assert tables.query(spark, "SELECT sum(id) AS s FROM {t}", t=df).first().s == 45
 
 
-def test_chunk_rows():
-    assert tables.chunk_rows(40, 10**6) == 2000
-    assert tables.chunk_rows(200, 10**6) == 500
-    assert tables.chunk_rows(40, 7) == 7
-    assert tables.chunk_rows(10**6, 10) == 1
+def test_columns_are_listed(spark):
+    df = spark.createDataFrame([], "a string, n int")
+    assert [tuple(r) for r in tables.columns_of(df).collect()] == [(0, "a", "string", True), (1, "n", "int", True)]
 
 
 def test_csv_round_trip_with_awkward_text(spark, tmp_path):

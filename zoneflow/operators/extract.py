@@ -115,6 +115,16 @@ def document_hits(docs: DataFrame, rules: RuleSet, pattern: str = tx.ZONE_CODE,
         "zone_candidates", F.array_join("zone_list", ", "))
 
 
+def locate(hits: DataFrame, docs: DataFrame) -> DataFrame:
+    """Stored hits (city, section, line_no, ...) with the ``doc_id`` of their document.
+
+    ``docs`` has doc_id, city and section, one document per pair once the latest version is
+    chosen; where two still share it, the hit gets a row for each. Hits without a document keep
+    a null ``doc_id``. Only ids travel to the hits, no text.
+    """
+    return hits.drop("doc_id").join(docs.select("doc_id", "city", "section"), ["city", "section"], "left")
+
+
 def is_hit(line: Column, rules: RuleSet) -> Column:
     """Whether a line would give a hit, as an expression for use inside a document row."""
     ints = _integers(line)

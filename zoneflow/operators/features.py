@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import (
-    CountVectorizer, HashingTF, Imputer, Normalizer, OneHotEncoder, StandardScaler,
+    CountVectorizer, HashingTF, Normalizer, OneHotEncoder, StandardScaler,
     StopWordsRemover, StringIndexer, VectorAssembler,
 )
 from pyspark.sql import Column, DataFrame
@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from zoneflow.functions import text as tx
+from zoneflow.functions.stats import exact_percentiles
 from zoneflow.plans.rules import LABEL_CODES
-from zoneflow.session import checked_broadcast
+from zoneflow.session import checked_broadcast, nan_to_null
 
 NUMERIC_FEATURES = ["city_share", "char_count", "word_count", "avg_word_length"]
 
@@ -27,7 +28,7 @@ def text_stats(df: DataFrame, column: str = "context", stop: list[str] | None =
     """``tokens`` plus characters (spaces included), words and characters per word of the
     text left after punctuation and stop words."""
     return (
-        df.withColumn("tokens", tx.words(column, stop, lemmas))
+        df.withColumn("tokens", F.coalesce(tx.words(column, stop, lemmas), F.array().cast("array<string>")))
         .withColumn("char_count", F.length(F.array_join("tokens", " ")))
         .withColumn("word_count", F.size("tokens"))
         .withColumn("avg_word_length", F.try_divide("char_count", "word_count"))
@@ -35,9 +36,9 @@ def text_stats(df: DataFrame, column: str = "context", stop: list[str] | None =
 
 
 def city_frequency(df: DataFrame, column: str = "city") -> DataFrame:
-    """(column, n, share); the raw counts are worth keeping beside the model."""
-    total = df.agg(F.count("*")).scalar()
-    return df.groupBy(column).agg(F.count("*").alias("n")).withColumn("share", F.col("n") / total)
+    """(column, n, share), one scan; the raw counts are worth keeping beside the model."""
+    counts = df.groupBy(column).agg(F.count("*").alias("n"))
+    return counts.withColumn("share", F.col("n") / counts.agg(F.sum("n")).scalar())
 
 
 def encode_frequency(df: DataFrame, frequency: DataFrame, column: str = "city",
@@ -61,61 +62,110 @@ def characters(c: Column | str) -> Column:
     return F.filter(F.split(c, ""), lambda x: x != "")
 
 
+#: Every word of the training rows gets a place in a counted vocabulary.
+ALL_WORDS = (1 << 31) - 1
+
+
 def token_stages(kind: str = "hash", size: int = 1 << 18, column: str = "tokens") -> list:
-    """Sparse token vectors: hashed and length-normalised, or counted over a vocabulary."""
+    """Sparse token vectors: hashed to ``size`` slots and length-normalised, or counted over the
+    whole vocabulary of the training rows."""
     if kind == "hash":
         return [HashingTF(inputCol=column, outputCol="_tf", numFeatures=size),
                 Normalizer(inputCol="_tf", outputCol="token_vector", p=2.0)]
     if kind == "count":
-        return [CountVectorizer(inputCol=column, outputCol="token_vector", vocabSize=size)]
+        return [CountVectorizer(inputCol=column, outputCol="token_vector", vocabSize=ALL_WORDS)]
     raise ValueError(f"kind must be 'hash' or 'count', not {kind!r}")
 
 
-def line_pipeline(estimator, kind: str = "hash", size: int = 1 << 18) -> Pipeline:
-    """City share, text statistics and token vector assembled for ``estimator``."""
+def vocabulary(rows: DataFrame, column: str = "tokens") -> DataFrame:
+    """(token, rows) of all words, by the rows that hold them."""
+    return rows.select(F.explode(F.array_distinct(column)).alias("token")).groupBy("token").agg(F.count("*").alias("rows"))
+
+
+def token_counts(rows: DataFrame, key: str, words: DataFrame, column: str = "tokens") -> DataFrame:
+    """(key, token, n) for the words of a vocabulary, however long it is."""
+    counts = rows.select(key, F.explode(column).alias("token")).groupBy(key, "token").agg(F.count("*").alias("n"))
+    return counts.join(words.select("token"), "token", "left_semi").select(key, "token", "n")
+
+
+def feature_stages(kind: str = "hash", size: int = 1 << 18) -> Pipeline:
+    """City share, text statistics and token vector as ``features``. The numbers must be filled
+    (``fill_numbers``): a missing one fails the job rather than dropping its row."""
     assemble = VectorAssembler(inputCols=[*NUMERIC_FEATURES, "token_vector"], outputCol="features",
-                               handleInvalid="skip")
-    return Pipeline(stages=[*token_stages(kind, size), assemble, estimator])
+                               handleInvalid="error")
+    return Pipeline(stages=[*token_stages(kind, size), assemble])
+
+
+def scaled_stages(kind: str = "hash", size: int = 1 << 18) -> Pipeline:
+    """``feature_stages`` with the features scaled to unit deviation; sparse vectors stay sparse."""
+    assembled = [*token_stages(kind, size), VectorAssembler(
+        inputCols=[*NUMERIC_FEATURES, "token_vector"], outputCol="_assembled", handleInvalid="error")]
+    return Pipeline(stages=[*assembled, StandardScaler(inputCol="_assembled", outputCol="features", withMean=False)])
+
+
+def line_pipeline(estimator, kind: str = "hash", size: int = 1 << 18) -> Pipeline:
+    return Pipeline(stages=[*feature_stages(kind, size).getStages(), estimator])
+
+
+def fill_numbers(rows: DataFrame) -> DataFrame:
+    """A city unseen in training has share 0, an empty text average word length 0."""
+    return rows.fillna(0.0, ["avg_word_length", "city_share"])
 
 
 def line_features(rows: DataFrame, frequency: DataFrame, stop: list[str] | None = None) -> DataFrame:
-    """Training rows (city, attribute, context) with numeric features and integer ``label``.
-    An empty text has no average word length; it counts as 0 here so no row is lost."""
+    """Training rows (city, attribute, context) with numeric features and integer ``label``."""
     featured = text_stats(encode_frequency(rows, frequency), "context", stop)
-    return featured.fillna(0.0, ["avg_word_length", "city_share"]).withColumn(
+    return fill_numbers(featured).withColumn(
         "label", encode_label().cast("double")
     )
 
 
+def _typed(df: DataFrame, features: list[str]) -> tuple[list[str], list[str]]:
+    return tuple([c for c in features if isinstance(df.schema[c].dataType, kind)] for kind in (T.NumericType, T.StringType))
+
+
+def learn_fills(train: DataFrame, features: list[str]) -> dict:
+    """Exact median of each number, most frequent value of each text (ties: the first one)."""
+    numeric, text = _typed(train, features)
+    fills = {c: v[0.5] for c, v in exact_percentiles(train, numeric, [0.5]).items()} if numeric else {}
+    if text:
+        values = train.select(F.inline(F.array(*[
+            F.struct(F.lit(c).alias("c"), F.col(c).alias("v")) for c in text]))).where("v is not null")
+        counts = values.groupBy("c", "v").agg(F.count("*").alias("n"))
+        most = counts.groupBy("c").agg(F.max("n").alias("n"))
+        fills |= {r["c"]: r["v"] for r in counts.join(most, ["c", "n"]).groupBy("c").agg(F.min("v").alias("v")).collect()}
+    return {c: v for c, v in fills.items() if v is not None}
+
+
+def filled(df: DataFrame, features: list[str], fills: dict) -> DataFrame:
+    """Missing features filled, with a ``{c}_missing`` flag per number. A column that training
+    never saw filled gets 0 or the empty text."""
+    numeric, text = _typed(df, features)
+    value = {c: F.coalesce(F.col(c).cast("double"), F.lit(fills.get(c, 0.0)).cast("double")) for c in numeric}
+    value |= {c: F.coalesce(F.col(c), F.lit(fills.get(c, ""))) for c in text}
+    df = nan_to_null(df)
+    flags = [F.col(c).isNull().cast("double").alias(f"{c}_missing") for c in numeric]
+    return df.select(*[value[c].alias(c) if c in value else F.col(c) for c in df.columns], *flags)
+
+
 def land_use_pipeline(df: DataFrame, features: list[str], estimator) -> Pipeline:
-    """Typed from the schema: numbers are scaled after median imputation, with a flag for
-    missing ones; texts are indexed and one-hot encoded, unseen ones as zeros."""
-    numeric = [c for c in features if isinstance(df.schema[c].dataType, T.NumericType)]
-    text = [c for c in features if isinstance(df.schema[c].dataType, T.StringType)]
+    """Typed from the schema of a ``filled`` table: numbers are scaled, with their flags beside
+    them; texts are indexed and one-hot encoded, a value not seen in training as zeros."""
+    numeric, text = _typed(df, features)
     stages: list = []
     inputs: list[str] = []
     if numeric:
         stages += [
-            Imputer(inputCols=numeric, outputCols=[f"{c}_filled" for c in numeric],
-                    strategy="median", relativeError=1e-4),
-            VectorAssembler(inputCols=[f"{c}_filled" for c in numeric], outputCol="_numbers"),
+            VectorAssembler(inputCols=numeric, outputCol="_numbers"),
             StandardScaler(inputCol="_numbers", outputCol="_scaled", withMean=True, withStd=True),
         ]
         inputs += ["_scaled", *[f"{c}_missing" for c in numeric]]
     if text:
+        # The indexer gives unseen values the last place, and the encoder leaves the last one out.
         stages += [
             StringIndexer(inputCols=text, outputCols=[f"{c}_index" for c in text], handleInvalid="keep"),
-            OneHotEncoder(inputCols=[f"{c}_index" for c in text],
-                          outputCols=[f"{c}_hot" for c in text], handleInvalid="keep"),
+            OneHotEncoder(inputCols=[f"{c}_index" for c in text], outputCols=[f"{c}_hot" for c in text], dropLast=True),
         ]
         inputs += [f"{c}_hot" for c in text]
     target = StringIndexer(inputCol="label", outputCol="label_index", stringOrderType="alphabetAsc")
     return Pipeline(stages=[*stages, target, VectorAssembler(inputCols=inputs, outputCol="features"), estimator])
-
-
-def with_missing_flags(df: DataFrame, features: list[str]) -> DataFrame:
-    numeric = [c for c in features if isinstance(df.schema[c].dataType, T.NumericType)]
-    return df.select(
-        *[F.col(c).cast("double").alias(c) if c in numeric else F.col(c) for c in df.columns],
-        *[F.col(c).isNull().cast("double").alias(f"{c}_missing") for c in numeric],
-    )

@@ -1,8 +1,10 @@
 """Exact-size seeded sampling, splitting and resampling per class.
 
 A row's place is the md5 of ``seed|key``, so results do not depend on partitioning and any
-engine can reproduce them. ``key`` must identify rows. No class is ever gathered: places are
-counted in buckets of the hash, and only the one bucket a cut falls into is ordered.
+engine can reproduce them. ``key`` must identify rows: where a repeated key lies across a cut, so
+that the sample could not have its exact size, the job fails. Rows with a null class are a class
+of their own. No class is ever gathered: places are counted in buckets of the hash, and only the
+one bucket a cut falls into is ordered.
 """
 
 from __future__ import annotations
@@ -26,17 +28,22 @@ def _bucket() -> Column:
 
 
 def _placed(df: DataFrame, group: list[str], seed: int, key: list[str]) -> DataFrame:
-    df = df.select("*", place(seed, key).alias("_place")).withColumn("_bucket", _bucket())
-    return df if group else df.withColumn("_all", F.lit(0))
+    return df.select("*", place(seed, key).alias("_place"), _class(group)).withColumn("_bucket", _bucket())
+
+
+def _class(group: list[str]) -> Column:
+    """The group columns as one text, which unlike them joins where some are null."""
+    parts = [F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("-")) for c in group]
+    return F.concat_ws("\x1f", *parts).alias("_class")
 
 
 def _bucket_counts(placed: DataFrame, group: list[str]) -> DataFrame:
     """Rows per (class, bucket), rows in lower buckets (``_below``) and in the class."""
-    upto = Window.partitionBy(*group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
+    upto = Window.partitionBy("_class").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
     return (
-        placed.groupBy(*group, "_bucket").agg(F.count("*").alias("_cnt"))
+        placed.groupBy("_class", *group, "_bucket").agg(F.count("*").alias("_cnt"))
         .withColumn("_below", F.sum("_cnt").over(upto) - F.col("_cnt"))
-        .withColumn("_total", F.sum("_cnt").over(Window.partitionBy(*group)))
+        .withColumn("_total", F.sum("_cnt").over(Window.partitionBy("_class")))
     )
 
 
@@ -56,9 +63,9 @@ def flag_sample(
     input is scanned to count buckets, to find each class's cut and to set the flag; it is
     never shuffled.
     """
-    keys = group or ["_all"]
+    keys = ["_class"]
     placed = _placed(df, group, seed, key)
-    counts = _bucket_counts(placed, keys)
+    counts = _bucket_counts(placed, group)
     if sizes is not None:
         counts = counts.join(sizes, group)
     cuts = (
@@ -77,12 +84,14 @@ def flag_sample(
     )
     cuts = checked_broadcast(cuts)
     in_bucket = Window.partitionBy(*keys).orderBy("_place")
+    repeated = F.raise_error(F.lit("a repeated key lies across the cut of a sample")).cast("string")
     edge = (
         placed.select(*keys, "_bucket", "_place").join(cuts, [*keys, "_bucket"])
         .where(~F.col("_whole"))
         .withColumn("_rn", F.row_number().over(in_bucket))
+        .withColumn("_next", F.lead("_place").over(in_bucket))
         .where(F.col("_rn") == F.col("_rank"))
-        .select(*keys, F.col("_place").alias("_last"))
+        .select(*keys, F.when(F.col("_next") == F.col("_place"), repeated).otherwise(F.col("_place")).alias("_last"))
     )
     # "g" sorts after every hex digest: the whole class is in.
     whole = cuts.where("_whole").select(*keys, F.lit("g").alias("_last"))
@@ -118,6 +127,16 @@ def three_way(df: DataFrame, group: list[str], seed: int, key: list[str],
     return again.select(*df.columns, part.alias("part")).unionByName(test)
 
 
+def ranked(df: DataFrame, group: list[str], seed: int, key: list[str]) -> DataFrame:
+    """Column ``rank``: the row's place in its class, from 0. Ranks add up bucket offsets, so no
+    class is ordered in one task."""
+    placed = _placed(df, group, seed, key)
+    counts = _bucket_counts(placed, group).select("_class", "_bucket", "_below")
+    in_bucket = Window.partitionBy("_class", "_bucket").orderBy("_place")
+    return (placed.withColumn("_rn", F.row_number().over(in_bucket)).join(counts, ["_class", "_bucket"])
+            .select(*df.columns, (F.col("_below") + F.col("_rn") - 1).alias("rank")))
+
+
 def draw(df: DataFrame, group: list[str], size: Column, seed: int, key: list[str],
          sizes: DataFrame | None = None) -> DataFrame:
     """Exactly ``size`` rows per class with replacement, numbered by ``draw_no`` from 0.
@@ -126,30 +145,30 @@ def draw(df: DataFrame, group: list[str], size: Column, seed: int, key: list[str
     the class size. Ranks come from bucket offsets; row i issues draws i, i+n, i+2n, ..., so
     both steps spread over all tasks and the final join is on a unique (class, rank).
     """
-    keys = group or ["_all"]
+    keys = ["_class"]
     placed = _placed(df, group, seed, key)
-    counts = _bucket_counts(placed, keys)
+    counts = _bucket_counts(placed, group)
     if sizes is not None:
         counts = counts.join(sizes, group)
     counts = counts.withColumn("_size", size.cast("bigint"))
     in_bucket = Window.partitionBy(*keys, "_bucket").orderBy("_place")
     ranked = (
         placed.withColumn("_rn", F.row_number().over(in_bucket))
-        .join(counts, [*keys, "_bucket"])
+        .join(counts.drop(*group), [*keys, "_bucket"])
         .withColumn("_rank", F.col("_below") + F.col("_rn") - 1)
     )
     digest = F.md5(F.concat_ws("|", F.lit(str(seed)), F.lit("draw"),
                                *[F.col(k).cast("string") for k in group], F.col("draw_no").cast("string")))
     draws = (
         ranked.where(F.col("_rank") < F.col("_size"))
-        .select(*keys, "_total", F.explode(F.sequence("_rank", F.col("_size") - 1, "_total")).alias("draw_no"))
+        .select(*keys, *group, "_total", F.explode(F.sequence("_rank", F.col("_size") - 1, "_total")).alias("draw_no"))
         .select(
             *keys, "draw_no",
             (F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint") % F.col("_total")).alias("_rank"),
         )
     )
     return (
-        ranked.select(*dict.fromkeys([*df.columns, *keys, "_rank"]))
+        ranked.select(*df.columns, *keys, "_rank")
         .join(draws, [*keys, "_rank"]).select(*df.columns, "draw_no")
     )
 

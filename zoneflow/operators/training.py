@@ -63,7 +63,9 @@ def balanced(none: DataFrame, hits: DataFrame, seed: int) -> DataFrame:
 
 
 def hold_out(rows: DataFrame, city: str) -> tuple[DataFrame, DataFrame]:
-    return rows.where(F.col("city") != city), rows.where(F.col("city") == city)
+    """Rows of other cities and rows of ``city``; a row without a city is among the others."""
+    held = F.col("city").eqNullSafe(city)
+    return rows.where(~held), rows.where(held)
 
 
 def check_split(whole: DataFrame, *parts: DataFrame) -> DataFrame:

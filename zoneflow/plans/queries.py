@@ -6,36 +6,24 @@ and lineitem play the zoning master and its edits, part plays the land-use table
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from zoneflow.functions import text as tx
 from zoneflow.operators import (
-    audit, evaluate, extract, features, landuse, models, profile, sampling, training,
+    audit, evaluate, extract, features, landuse, profile, sampling, training,
 )
-from zoneflow.plans.rules import ZONING, RuleSet
-from zoneflow.session import settle, spread
+from zoneflow.plans.registry import ORACLES, QUERIES, register, table  # noqa: F401
+from zoneflow.plans.rules import RuleSet
 from zoneflow.sources import corpus, images, logs, tables
 
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-ORACLES: dict[str, str] = {}
-
-
-def register(name: str, sql: str | None = None) -> Callable[[Query], Query]:
-    def add(fn: Query) -> Query:
-        QUERIES[name] = fn
-        if sql is not None:
-            ORACLES[name] = sql
-        return fn
-    return add
-
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def dealt(df: DataFrame) -> DataFrame:
+    """Dealt over ``zoneflow.input.partitions`` tasks where the session sets that: for tables in
+    one file that cannot be split. Unset, a table keeps its splits."""
+    parts = df.sparkSession.conf.get("zoneflow.input.partitions", None)
+    return df.repartition(int(parts)) if parts else df
 
 
 # --- documents and extraction -----------------------------------------------------------
@@ -51,13 +39,13 @@ CORPUS_CODE = r"[A-Z][a-z]+ing"
 CORPUS_WORDS = ["the", "ing", "tion", "elle"]
 
 
-def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "documents").select(
+def documents(spark, sf_dir: str) -> DataFrame:
+    return dealt(table(spark, sf_dir, "documents").select(
         "doc_id", F.col("source").alias("city"), F.col("lang").alias("section"), "text"
     ))
 
 
-def doc_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def doc_lines(spark, sf_dir: str) -> DataFrame:
     return corpus.lines(documents(spark, sf_dir))
 
 
@@ -108,11 +96,6 @@ def attribute_hits(spark, sf_dir):
     return hits_of(spark, sf_dir).drop("value_list")
 
 
-@register("attribute_hits_zoning", f"WITH {hits_sql(ZONING)} {HIT_SELECT}")
-def attribute_hits_zoning(spark, sf_dir):
-    return hits_of(spark, sf_dir, ZONING).drop("value_list")
-
-
 @register("attribute_hit_multiplicity", f"""WITH {hits_sql(CORPUS)},
 per AS (SELECT doc_id, line_no, attribute, count(*) AS patterns FROM hits GROUP BY ALL)
 SELECT attribute, patterns, count(*) AS lines FROM per GROUP BY ALL""")
@@ -151,25 +134,12 @@ def zone_candidates_window(spark, sf_dir):
     return found.select("doc_id", "attribute", "pattern_id", "line_no", "zone_candidates")
 
 
-@register("zone_candidates_zoning", zone_sql(ZONING, tx.ZONE_CODE))
-def zone_candidates_zoning(spark, sf_dir):
-    lines = doc_lines(spark, sf_dir)
-    found = extract.zone_candidates(lines, extract.attributes(lines, ZONING))
-    return found.select("doc_id", "attribute", "pattern_id", "line_no", "zone_candidates")
-
-
 @register("document_hits", zone_sql(CORPUS, CORPUS_CODE))
 def document_hits(spark, sf_dir):
     found = extract.document_hits(documents(spark, sf_dir), CORPUS, CORPUS_CODE)
     return found.select("doc_id", "attribute", "pattern_id", "line_no", "zone_candidates")
 
 
-@register("document_hits_zoning", zone_sql(ZONING, tx.ZONE_CODE))
-def document_hits_zoning(spark, sf_dir):
-    found = extract.document_hits(documents(spark, sf_dir), ZONING)
-    return found.select("doc_id", "attribute", "pattern_id", "line_no", "zone_candidates")
-
-
 @register("hits_with_zones", f"SELECT * FROM ({zone_sql(CORPUS, CORPUS_CODE)}) WHERE zone_candidates IS NOT NULL")
 def hits_with_zones(spark, sf_dir):
     return extract.with_zones_only(zone_candidates_window(spark, sf_dir))
@@ -287,7 +257,7 @@ def latest_documents(spark, sf_dir):
     """Documents filed under made paths: date and title follow from length and id."""
     day = F.date_add(F.lit("2020-01-01").cast("date"), (F.col("n_chars") % 1000).cast("int"))
     title = F.concat_ws("-", "source", F.lpad((F.col("n_chars") % 7).cast("string"), 2, "0"), F.col("doc_id") % 11)
-    docs = spread(table(spark, sf_dir, "documents")).select(
+    docs = dealt(table(spark, sf_dir, "documents")).select(
         "doc_id", "text", F.concat_ws("/", F.lit("corpus"), "lang", F.date_format(day, "MM-dd-yy"), F.concat(title, F.lit(".txt"))).alias("path"))
     return corpus.select_documents(docs, most_recent=True).select("doc_id", "path", F.md5("text").alias("digest"))
 
@@ -687,6 +657,18 @@ def three_way_split(spark, sf_dir):
     return sampling.three_way(table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus"), ["o_orderstatus"], 23, ["o_orderkey"])
 
 
+@register("split_with_unlabelled", f"""WITH e AS (SELECT event_id, CASE WHEN event_type <> 'view' THEN event_type END AS kind FROM events),
+a AS (SELECT *, row_number() OVER (PARTITION BY kind ORDER BY {md5_place(43, "event_id")}) AS rn, count(*) OVER (PARTITION BY kind) AS n FROM e),
+b AS (SELECT *, row_number() OVER (PARTITION BY kind ORDER BY {md5_place(44, "event_id")}) AS r2, count(*) OVER (PARTITION BY kind) AS n2
+      FROM a WHERE rn <= round_even(0.75 * n, 0))
+SELECT event_id, kind, CASE WHEN r2 <= round_even(0.75 * n2, 0) THEN 'train' ELSE 'valid' END AS part FROM b
+UNION ALL SELECT event_id, kind, 'test' FROM a WHERE rn > round_even(0.75 * n, 0)""")
+def split_with_unlabelled(spark, sf_dir):
+    """Events of the commonest type carry no class; they are split like a class of their own."""
+    rows = table(spark, sf_dir, "events").select("event_id", F.when(F.col("event_type") != "view", F.col("event_type")).alias("kind"))
+    return sampling.three_way(rows, ["kind"], 43, ["event_id"])
+
+
 @register("random_rows", f"SELECT c_custkey, c_name FROM customer ORDER BY {md5_place(29, 'c_custkey')} LIMIT 45")
 def random_rows(spark, sf_dir):
     return sampling.sample_n(table(spark, sf_dir, "customer").select("c_custkey", "c_name"), 45, 29, ["c_custkey"])
@@ -770,6 +752,53 @@ def minmax_norm(spark, sf_dir):
         "l_orderkey", "l_linenumber", "l_partkey", F.round("l_extendedprice", 9).alias("l_extendedprice"), F.round("l_tax", 9).alias("l_tax"))
 
 
+#: Quantities of returned items are null, prices of some parts NaN.
+HOLEY_SQL = """holey AS (SELECT l_orderkey, l_linenumber, CASE WHEN l_returnflag <> 'R' THEN l_quantity END AS l_quantity,
+  CASE WHEN l_partkey % 5 = 0 THEN 'NaN'::DOUBLE WHEN l_partkey % 7 = 0 THEN NULL ELSE l_extendedprice END AS l_extendedprice FROM lineitem),
+clean AS (SELECT l_orderkey, l_linenumber, l_quantity, CASE WHEN isnan(l_extendedprice) THEN NULL ELSE l_extendedprice END AS l_extendedprice FROM holey)"""
+HOLEY = ["l_quantity", "l_extendedprice"]
+
+
+def holey_items(spark, sf_dir):
+    return table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.when(F.col("l_returnflag") != "R", F.col("l_quantity")).alias("l_quantity"),
+        F.when(F.col("l_partkey") % 5 == 0, float("nan")).when(F.col("l_partkey") % 7 == 0, None)
+        .otherwise(F.col("l_extendedprice")).alias("l_extendedprice"))
+
+
+@register("null_rates_with_nan", f"WITH {HOLEY_SQL} {_rates_sql('clean', HOLEY)}")
+def null_rates_with_nan(spark, sf_dir):
+    return profile.null_rates(holey_items(spark, sf_dir), HOLEY)
+
+
+@register("describe_with_nan", f"WITH {HOLEY_SQL} " + " UNION ALL ".join(
+    f"""SELECT '{c}' AS "column", count({c}) AS count, round(avg({c}), 6) AS mean, round(stddev_samp({c}), 6) AS stddev, min({c}) AS min, max({c}) AS max,
+    round(quantile_cont({c}, 0.25), 6) AS q25, round(quantile_cont({c}, 0.5), 6) AS q50, round(quantile_cont({c}, 0.75), 6) AS q75 FROM clean"""
+    for c in HOLEY))
+def describe_with_nan(spark, sf_dir):
+    out = profile.describe(holey_items(spark, sf_dir), HOLEY)
+    rounded = ("mean", "stddev", "q25", "q50", "q75")
+    return out.select(*[F.round(c, 6).alias(c) if c in rounded else F.col(c) for c in out.columns])
+
+
+@register("boxplot_with_nan", f"WITH {HOLEY_SQL} " + " UNION ALL ".join(
+    f"""SELECT '{c}' AS "column", round(q1, 6) AS q1, round(q2, 6) AS median, round(q3, 6) AS q3,
+    min({c}) FILTER ({c} BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1)) AS low_whisker,
+    max({c}) FILTER ({c} BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1)) AS high_whisker,
+    count(*) FILTER (NOT ({c} BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1))) AS outliers
+    FROM clean, (SELECT quantile_cont({c}, 0.25) AS q1, quantile_cont({c}, 0.5) AS q2, quantile_cont({c}, 0.75) AS q3 FROM clean) GROUP BY q1, q2, q3"""
+    for c in HOLEY))
+def boxplot_with_nan(spark, sf_dir):
+    out = profile.boxplot(holey_items(spark, sf_dir), HOLEY)
+    return out.select("column", *[F.round(c, 6).alias(c) for c in ("q1", "median", "q3")], "low_whisker", "high_whisker", "outliers")
+
+
+@register("minmax_with_nan", f"""WITH {HOLEY_SQL} SELECT l_orderkey, l_linenumber, l_quantity, round((l_extendedprice - lo) / (hi - lo), 9) AS l_extendedprice
+FROM clean, (SELECT min(l_extendedprice) AS lo, max(l_extendedprice) AS hi FROM clean)""")
+def minmax_with_nan(spark, sf_dir):
+    return profile.minmax(holey_items(spark, sf_dir), ["l_extendedprice"]).withColumn("l_extendedprice", F.round("l_extendedprice", 9))
+
+
 # --- land use -------------------------------------------------------------------------------
 
 PRODUCT_USES = {"small": ["small", "SMALL"], "large": ["large", "LARGE"], "metal": ["bolt", "gear", "plate"], "promo": ["PROMO"]}
@@ -813,7 +842,7 @@ def polygon_centroid(spark, sf_dir):
     ring = F.concat_ws(",", vertex("l_quantity", "l_tax"), vertex("l_extendedprice", "l_discount"),
                        vertex("l_linenumber", "l_suppkey"), vertex("l_quantity", "l_tax"))
     geometry = F.concat(F.lit('{"type":"MultiPolygon","coordinates":[[['), ring, F.lit("]]]}"))
-    items = spread(table(spark, sf_dir, "lineitem")).select("l_orderkey", "l_linenumber", "l_partkey", geometry.alias("geometry"))
+    items = dealt(table(spark, sf_dir, "lineitem")).select("l_orderkey", "l_linenumber", "l_partkey", geometry.alias("geometry"))
     return landuse.with_centroid(items).select(
         "l_orderkey", "l_linenumber", "l_partkey", F.round("lon", 9).alias("lon"), F.round("lat", 9).alias("lat"))
 
@@ -869,13 +898,63 @@ def confusion_matrix(spark, sf_dir):
     return evaluate.confusion(judged(spark, sf_dir))
 
 
-@register("confusion_matrix_wide", f"""WITH {JUDGED_SQL} SELECT label, CAST(sum(CASE WHEN prediction = '0' THEN n ELSE 0 END) AS BIGINT) AS "0",
-  CAST(sum(CASE WHEN prediction = '1' THEN n ELSE 0 END) AS BIGINT) AS "1",
-  CAST(sum(CASE WHEN prediction = 'short' THEN n ELSE 0 END) AS BIGINT) AS "short" FROM matrix WHERE label <> 'short' GROUP BY label""")
+def _wide_sql(source: str, classes: list[str]) -> str:
+    cells = ", ".join(f"""count(*) FILTER (prediction = '{c}') AS "{c}" """ for c in classes)
+    listed = ", ".join(f"'{c}'" for c in classes)
+    zero = " UNION ALL ".join(f"SELECT '{c}', {', '.join(['0'] * (len(classes) + 1))}" for c in classes)
+    sums = ", ".join(f'CAST(sum("{c}") AS BIGINT) AS "{c}"' for c in [*classes, "other"])
+    return f"""SELECT label, {sums} FROM (SELECT label, {cells}, count(*) FILTER (prediction IS NULL OR prediction NOT IN ({listed})) AS other
+  FROM {source} GROUP BY label UNION ALL {zero}) GROUP BY label"""
+
+
+@register("confusion_matrix_wide", f"WITH {JUDGED_SQL} {_wide_sql('judged', ['0', '1', 'short'])}")
 def confusion_matrix_wide(spark, sf_dir):
     return evaluate.confusion_wide(judged(spark, sf_dir), ["0", "1", "short"])
 
 
+def half_judged(spark, sf_dir):
+    """As ``judged``; the rule leaves documents of some sizes without a prediction, and labels
+    of toxic documents are held back."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "n_chars")
+    return table(spark, sf_dir, "labels").join(docs, "doc_id").select(
+        F.when(F.col("toxic") == 0, F.col("quality").cast("string")).alias("label"),
+        F.when(F.col("n_chars") % 3 == 0, None).when(F.col("n_chars") > 300, "1").otherwise("0").alias("prediction"))
+
+
+HALF_JUDGED_SQL = """judged AS (SELECT CASE WHEN toxic = 0 THEN CAST(quality AS VARCHAR) END AS label,
+  CASE WHEN n_chars % 3 = 0 THEN NULL WHEN n_chars > 300 THEN '1' ELSE '0' END AS prediction FROM labels JOIN documents USING (doc_id)),
+classes AS (SELECT label AS c FROM judged UNION SELECT prediction FROM judged)"""
+
+
+@register("confusion_with_unscored", f"""WITH {HALF_JUDGED_SQL} SELECT a.c AS label, b.c AS prediction, (SELECT count(*) FROM judged j
+  WHERE j.label IS NOT DISTINCT FROM a.c AND j.prediction IS NOT DISTINCT FROM b.c) AS n FROM classes a, classes b""")
+def confusion_with_unscored(spark, sf_dir):
+    return evaluate.confusion(half_judged(spark, sf_dir))
+
+
+@register("confusion_wide_with_unscored", f"WITH {HALF_JUDGED_SQL} {_wide_sql('judged', ['0', '1', 'never'])}")
+def confusion_wide_with_unscored(spark, sf_dir):
+    return evaluate.confusion_wide(half_judged(spark, sf_dir), ["0", "1", "never"])
+
+
+@register("report_with_unscored", f"""WITH {HALF_JUDGED_SQL},
+per AS (SELECT c AS "class", (SELECT count(*) FROM judged WHERE label = c AND prediction = c) AS hit,
+  (SELECT count(*) FROM judged WHERE label = c) AS support, (SELECT count(*) FROM judged WHERE prediction = c AND label IS NOT NULL) AS predicted
+  FROM classes WHERE c IS NOT NULL)
+SELECT "class", round(CASE WHEN predicted > 0 THEN hit / predicted ELSE 0 END, 9) AS "precision",
+  round(CASE WHEN support > 0 THEN hit / support ELSE 0 END, 9) AS recall, support FROM per
+UNION ALL SELECT 'accuracy', round(sum(hit) / sum(support), 9), round(sum(hit) / sum(support), 9), CAST(sum(support) AS BIGINT) FROM per""")
+def report_with_unscored(spark, sf_dir):
+    out = evaluate.report(evaluate.confusion(half_judged(spark, sf_dir))).where("class NOT LIKE '% avg'")
+    return out.select("class", *[F.round(c, 9).alias(c) for c in ("precision", "recall")], "support")
+
+
+@register("accuracy_with_unscored", f"""WITH {HALF_JUDGED_SQL} SELECT avg(CAST(label IS NOT DISTINCT FROM prediction AS DOUBLE)) AS accuracy
+FROM judged WHERE label IS NOT NULL""")
+def accuracy_with_unscored(spark, sf_dir):
+    return evaluate.accuracy(half_judged(spark, sf_dir))
+
+
 @register("classification_report", f"""WITH {JUDGED_SQL},
 per AS (SELECT c AS "class", (SELECT n FROM matrix WHERE label = c AND prediction = c) AS hit,
   (SELECT sum(n) FROM matrix WHERE label = c) AS support, (SELECT sum(n) FROM matrix WHERE prediction = c) AS predicted FROM classes),
@@ -893,98 +972,3 @@ def classification_report(spark, sf_dir):
 @register("accuracy", f"WITH {JUDGED_SQL} SELECT avg(CAST(label = prediction AS DOUBLE)) AS accuracy FROM judged")
 def accuracy(spark, sf_dir):
     return evaluate.accuracy(judged(spark, sf_dir))
-
-
-# --- models (no SQL: seeded fits, checked by rows) -------------------------------------------
-
-LANGUAGES = {"en": 0, "fr": 1, "de": 2, "es": 3}
-HASH_SIZE = 1 << 10
-
-
-def language_rows(spark, sf_dir):
-    """Documents as rows to classify by language, with features, label and train flag."""
-    docs = table(spark, sf_dir, "documents").select(
-        "doc_id", F.col("source").alias("city"), F.col("lang").alias("attribute"), F.col("text").alias("context"))
-    flagged = sampling.split(docs, ["attribute"], 0.8, 31, ["doc_id"])
-    frequency = features.city_frequency(flagged.where("in_train"))
-    rows = features.text_stats(features.encode_frequency(spread(flagged), frequency), "context", STOP)
-    rows = rows.fillna(0.0, ["avg_word_length", "city_share"]).withColumn(
-        "label", features.encode_label("attribute", LANGUAGES).cast("double"))
-    return settle(rows.drop("context"))
-
-
-def fit_and_report(rows: DataFrame, pipeline) -> DataFrame:
-    model = pipeline.fit(rows.where("in_train"))
-    scored = models.score(model, rows.where("NOT in_train"), LANGUAGES)
-    named = scored.select(F.col("attribute").alias("label"), features.decode_label("prediction", LANGUAGES).alias("prediction"))
-    return evaluate.report(evaluate.confusion(named))
-
-
-@register("line_classifier_forest")
-def line_classifier_forest(spark, sf_dir):
-    return fit_and_report(language_rows(spark, sf_dir), features.line_pipeline(models.forest(1, numTrees=10, maxDepth=6), size=HASH_SIZE))
-
-
-@register("line_classifier_logistic")
-def line_classifier_logistic(spark, sf_dir):
-    return fit_and_report(language_rows(spark, sf_dir), features.line_pipeline(models.logistic(maxIter=15, regParam=0.01), size=HASH_SIZE))
-
-
-@register("line_classifier_boosting")
-def line_classifier_boosting(spark, sf_dir):
-    boosted = models.boosting(1, parallelism=4, maxIter=3, maxDepth=3)
-    return fit_and_report(language_rows(spark, sf_dir), features.line_pipeline(boosted, size=256))
-
-
-@register("line_classifier_counts")
-def line_classifier_counts(spark, sf_dir):
-    return fit_and_report(language_rows(spark, sf_dir), features.line_pipeline(models.logistic(maxIter=15, regParam=0.01), "count", HASH_SIZE))
-
-
-@register("line_probabilities")
-def line_probabilities(spark, sf_dir):
-    rows = language_rows(spark, sf_dir)
-    model = features.line_pipeline(models.logistic(maxIter=10, regParam=0.01), size=HASH_SIZE).fit(rows.where("in_train"))
-    return models.score(model, rows, LANGUAGES).select("doc_id", "prediction", *[f"p_{name}" for name in LANGUAGES])
-
-
-@register("model_leaderboard")
-def model_leaderboard(spark, sf_dir):
-    rows = language_rows(spark, sf_dir)
-    candidates = {
-        "forest": features.line_pipeline(models.forest(1, numTrees=5, maxDepth=4), size=256),
-        "logistic": features.line_pipeline(models.logistic(maxIter=5), size=256),
-        "svm": features.line_pipeline(models.svm(maxIter=3), size=256),
-    }
-    return models.leaderboard(candidates, rows, folds=2)
-
-
-@register("random_search")
-def random_search(spark, sf_dir):
-    """Two seeded draws of a forest grid by two folds, with their mean accuracy."""
-    rows = language_rows(spark, sf_dir)
-    grid = {"maxDepth": [2, 4], "numTrees": [3, 6], "minInstancesPerNode": [1, 4]}
-    chosen = models.draws(grid, 2, 41)
-    found = models.search(lambda p: features.line_pipeline(models.forest(1, **p), size=256), rows, grid, n=2, folds=2, seed=41)
-    return spark.createDataFrame(
-        [(str(p), float(a)) for p, a in zip(chosen, found.avgMetrics)], "params string, accuracy double")
-
-
-@register("land_use_forest")
-def land_use_forest(spark, sf_dir):
-    """Land-use labels from the other columns of a part, classes first balanced."""
-    labelled = landuse.labels(
-        table(spark, sf_dir, "part").select("*", F.concat_ws(" ", "p_name", "p_type").alias("plu_description")), uses=PRODUCT_USES)
-    columns = ["p_brand", "p_type", "p_size", "p_retailprice"]
-    flagged = settle(sampling.split(labelled.select("p_partkey", *columns, "label"), ["label"], 0.75, 37, ["p_partkey"]))
-    train = flagged.where("in_train").drop("in_train")
-    counts = profile.class_counts(train, "label")
-    middle = counts.agg(F.bround(F.percentile("n", 0.5)).cast("bigint")).scalar()
-    even = sampling.resample(train, "label", counts.select("label", middle.alias("target")), 37, ["p_partkey"])
-    even = settle(features.with_missing_flags(even, columns))
-    forest = models.forest(1, "label_index", numTrees=10, maxDepth=5)
-    model = features.land_use_pipeline(even, columns, forest).fit(even)
-    labels = model.stages[-3].labels
-    scored = model.transform(features.with_missing_flags(flagged.where("NOT in_train"), columns))
-    named = scored.select("label", F.get(F.array(*[F.lit(v) for v in labels]), F.col("prediction").cast("int")).alias("prediction"))
-    return evaluate.report(evaluate.confusion(named))

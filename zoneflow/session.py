@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import reduce
 from operator import add
 
@@ -55,53 +56,50 @@ def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BRO
     return found["rows"] <= max_rows and found["bytes"] <= max_bytes
 
 
-def sized(df: DataFrame, held: list[DataFrame] | None = None) -> tuple[DataFrame, bool]:
-    """The frame, persisted and with a broadcast hint if it measured small, and whether it did.
+#: Small frames kept for broadcasts whose caller did not ask to hold them.
+_HELD: list[DataFrame] = []
 
-    Persisting first means measuring is not a second evaluation; the frame is added to
-    ``held`` for callers that release it later. A larger one carries no hint, and Spark
-    shuffles its joins as usual.
-    """
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    if held is not None:
-        held.append(df)
-    small = is_small(df)
-    return (F.broadcast(df) if small else df), small
 
+def release() -> None:
+    """Drop the small frames kept for broadcasts, once the results that use them are written."""
+    while _HELD:
+        _HELD.pop().unpersist()
 
-def checked_broadcast(df: DataFrame, held: list[DataFrame] | None = None) -> DataFrame:
-    return sized(df, held)[0]
+
+@contextmanager
+def kept(df: DataFrame) -> Iterator[DataFrame]:
+    """The frame persisted while several passes, such as model fits, run over it."""
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield df
+    finally:
+        df.unpersist()
 
 
-def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``. Unset, it is a temporary folder
-    for a local session and lies in the warehouse otherwise."""
-    named = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if named:
-        return named.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        return tempfile.mkdtemp(prefix="zoneflow-")
-    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
+def sized(df: DataFrame, held: list[DataFrame] | None = None) -> tuple[DataFrame, bool]:
+    """The frame, kept and with a broadcast hint if it measured small, and whether it did.
 
+    Persisting first means measuring is not a second evaluation. A small frame stays persisted
+    and is added to ``held``, or to those that ``release`` drops. A larger one is not kept and
+    carries no hint: Spark shuffles its joins as usual.
+    """
+    stored = df.persist(StorageLevel.MEMORY_AND_DISK)
+    if not is_small(stored):
+        stored.unpersist()
+        return df, False
+    (_HELD if held is None else held).append(stored)
+    return F.broadcast(stored), True
 
-def settle(df: DataFrame) -> DataFrame:
-    """Write a frame to the scratch folder and read it back: later passes (model fits, say)
-    start from files that outlive executors instead of from its whole plan."""
-    path = f"{scratch_dir(df.sparkSession)}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
 
+def checked_broadcast(df: DataFrame, held: list[DataFrame] | None = None) -> DataFrame:
+    return sized(df, held)[0]
 
-def spread(df: DataFrame) -> DataFrame:
-    """Rebalance an input that has fewer splits than the session has cores.
 
-    A large table has far more splits than cores and passes through unchanged; a table held
-    in one or two unsplittable files would otherwise run its regexes on one core.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores * 2:
-        return df.repartition(cores * 2)
-    return df
+def shared_path(spark: SparkSession, what: str) -> str:
+    """A new path in the folder named by ``spark.checkpoint.dir``, or in the warehouse where that
+    is unset; both are seen by all machines of a cluster."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{folder.rstrip('/')}/{what}-{uuid.uuid4().hex}"
 
 
 def nan_to_null(df: DataFrame) -> DataFrame:

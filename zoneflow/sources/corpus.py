@@ -14,35 +14,35 @@ PATH_COLUMNS = ["path", "root", "city", "scrape_date", "title", "section"]
 
 def list_documents(spark: SparkSession, root: str) -> DataFrame:
     """Paths below ``root`` as ``path`` (root/city/date/title.txt), without reading text."""
-    base = root.rstrip("/")
-    name = base.rsplit("/", 1)[-1]
     listed = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True).option("pathGlobFilter", "*.txt")
-        .load(base).select("path")
+        .load(root).select("path")
     )
-    return listed.select(_below(F.col("path"), name).alias("path")).orderBy("path")
+    return listed.select(_below(spark, root, F.col("path")).alias("path")).orderBy("path")
 
 
 def read_documents(spark: SparkSession, root: str) -> DataFrame:
     """``path`` and whole ``text`` of every .txt below ``root``."""
-    base = root.rstrip("/")
-    name = base.rsplit("/", 1)[-1]
     raw = (
         spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.txt")
-        .text(base, wholetext=True)
+        .text(root, wholetext=True)
     )
     path = F.url_decode(F.regexp_replace(F.col("_metadata.file_path"), r"\+", "%2B"))
     # Bytes that are not UTF-8 are dropped.
     return raw.select(
-        _below(path, name).alias("path"),
+        _below(spark, root, path).alias("path"),
         F.translate(F.col("value"), "�", "").alias("text"),
     )
 
 
-def _below(path: Column, name: str) -> Column:
-    tail = F.substring_index(path, f"/{name}/", -1)
-    return F.concat(F.lit(f"{name}/"), tail)
+def _below(spark: SparkSession, root: str, path: Column) -> Column:
+    """The path from the root's own name on. The root is cut off by its length, so folders below
+    that repeat its name stay as they are."""
+    given = spark._jvm.org.apache.hadoop.fs.Path(root)
+    whole = given.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(given)
+    at = len(whole.toUri().getPath()) + 1
+    return F.concat(F.lit(whole.getName()), F.substring(F.regexp_replace(path, "^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", ""), at, 1 << 30))
 
 
 def path_columns(docs: DataFrame, path: str = "path") -> DataFrame:

@@ -85,23 +85,18 @@ def read_json_batch(spark: SparkSession, path: str, schema: T.StructType) -> Dat
     return read_table(spark, path, schema, "json", multiLine=True)
 
 
-def chunk_rows(columns: int, rows: int, max_cells: float = 1e5) -> int:
-    """Rows per read so that a chunk stays near ``max_cells`` cells: whole thousands above
-    1,000 rows, one row for extremely wide tables, never more than the table."""
-    size = 1 if columns > max_cells else round(max_cells / columns)
-    if size > 1000:
-        size = int(round(size, -3))
-    return min(size, rows) if rows else size
-
-
 def read_jdbc(spark: SparkSession, url: str, table: str, key: str, low: int, high: int,
-              columns: int, max_cells: float = 1e8, **properties: str) -> DataFrame:
-    """Range-partitioned read of a warehouse table, each range near ``max_cells`` cells.
-    Ranges of a key are disjoint, which offset paging without an order is not."""
-    rows = max(1, high - low)
-    parts = ceil(rows / chunk_rows(columns, rows, max_cells))
+              rows_per_read: int = 1_000_000, **properties: str) -> DataFrame:
+    """Range-partitioned read of a warehouse table by an integer key, about ``rows_per_read`` keys
+    a task. Ranges of a key are disjoint, which offset paging without an order is not."""
     return spark.read.jdbc(url, table, column=key, lowerBound=low, upperBound=high,
-                           numPartitions=parts, properties=properties)
+                           numPartitions=max(1, ceil((high - low) / rows_per_read)), properties=properties)
+
+
+def columns_of(df: DataFrame) -> DataFrame:
+    """(position, column, type, nullable) of a table, from its metadata."""
+    rows = [(i, f.name, f.dataType.simpleString(), f.nullable) for i, f in enumerate(df.schema.fields)]
+    return df.sparkSession.createDataFrame(rows, "position int, column string, type string, nullable boolean")
 
 
 def query(spark: SparkSession, sql: str, **tables: DataFrame) -> DataFrame:
