@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import begin, map_arrow
-from .pieces import PRE_TOKEN, worker_encoder
+from .pieces import PLAIN, PRE_TOKEN, worker_encoder
 
 
 def sample_of(docs: DataFrame, sample_docs: int) -> DataFrame:
@@ -38,7 +38,8 @@ def frequent_lengths(docs: DataFrame, path: str, sample_docs: int, table_size: i
     def lengths(batch: pa.RecordBatch):
         known = worker_encoder("count", path, len, sum)
         tokens = batch.column(0).to_pylist()
-        held = [t for t in tokens if not any(s in t for s in known.special)]
+        # other characters may be classed differently by the library, which then sees whole pieces
+        held = [t for t in tokens if PLAIN.fullmatch(t)]
         yield pa.RecordBatch.from_pydict({"t": pa.array(held, pa.string()), "n": pa.array([known.pre_token(t) for t in held], pa.int64())})
 
     top = (map_arrow(sample_of(docs, sample_docs).select("text"), count, "t string, n long")
