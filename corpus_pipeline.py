@@ -50,7 +50,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     starts = F.when(F.col("size") > 0, (F.col("start") < limit).cast("int")
                     + (F.col("start") + F.col("source_size") < limit).cast("int")).otherwise(0)
     times = placed.select(F.col("doc_id").alias("mixed"), starts.alias("times")).where("times > 0").distinct()
-    rows = docs.join(times, F.col("doc_id").eqNullSafe(F.col("mixed")))
+    # merged at every size, so that disk use grows in proportion and not by a change of plan
+    rows = docs.join(times.hint("merge"), F.col("doc_id").eqNullSafe(F.col("mixed")))
     return rows.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("times")))).select(*docs.columns)
 
 
