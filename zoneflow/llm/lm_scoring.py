@@ -1,19 +1,27 @@
 """Cross-entropy difference: documents scored by two bigram models over one vocabulary.
 
 The target model is learned from the documents that ``target`` names, the background model from
-all documents, over all their tokens; order, vocabulary and smoothing are the same.
+all documents, over all their tokens; order, vocabulary and smoothing are the same. Every word of
+the corpus is in the vocabulary and every bigram in the counts, so both grow with the corpus:
 
-Vocabulary: the words with at least ``word_share`` of all tokens, so at most 1 / word_share words;
-other words are one unknown token. Bigrams with at least ``gram_share`` of a model's tokens are kept
-(at most 1 / gram_share a model), the mass of the others goes to the unigram estimate:
+  p(w | v) = (c(v, w) + mu p(w)) / (c(v) + mu),   p(w) = (c(w) + 0.5) / (N + 0.5 V)
 
-  p(w | v) = (c(v, w) if kept, else 0, + (r(v) + mu) p(w)) / (c(v) + mu),   r(v): pruned count after v
-  p(w) = (c(w) + 0.5) / (N + 0.5 V)
+with V the words, a start mark and an unknown word. A document's score is the mean over its tokens
+of target loss minus background loss, in nats: the lower, the closer to the target.
 
-Both bounds are proven, so the model is broadcast whatever the size of the corpus, and documents are
-scored where they lie. Counts are taken over every document, combined per task before they are
-shuffled. A document's score is the mean over its tokens of target loss minus background loss, in
-nats: the lower, the closer to the target.
+Work. A frequent bigram of frequent words (``hot_grams`` and ``hot_words`` of all tokens, so at most
+one over the share of each) is counted first, broadcast and scored where its documents lie. All
+others leave a document once with their number, are dealt by their last word (by the whole bigram
+if that word is frequent, so that no group is large), counted there, and their losses are added up
+per document. The shares decide where a bigram is scored, not what it counts. c(v) splits off from
+the loss of a bigram, and a first word is the last one of the bigram before it, so a rare word's
+counts are all found in its group. Words and documents meet by 64-bit hashes; two of 10^8 words
+share one with a chance of 3 in 10,000.
+
+Bounded models: with a ``word_share`` or ``gram_share`` above 0, words below that share of all tokens
+are one unknown token, and bigrams below that share of a model's tokens give their mass to the unigram
+estimate, p(w | v) = (c(v, w) if kept, else 0, + (r(v) + mu) p(w)) / (c(v) + mu) with r(v) the
+pruned count after v. Such models are broadcast whole.
 
 Tokens are runs without ASCII white space, A-Z lower-cased; the first follows a start mark. Null or
 empty texts count nothing and have n_tokens 0 and null scores. A doc_id that is null or not in
@@ -28,8 +36,10 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .common import begin, map_arrow, settle, words
 
@@ -39,8 +49,8 @@ _BITS = np.int64(32)
 HELD = 500_000
 
 
-def vocabulary(docs: DataFrame, word_share: float) -> dict[bytes, int]:
-    """word -> code (2 and up), by falling count; counted over every text."""
+def word_counts(docs: DataFrame) -> DataFrame:
+    """w, n: every word of every text."""
     def count(batches):
         found: Counter = Counter()
         for batch in chain(batches, [None]):
@@ -51,14 +61,21 @@ def vocabulary(docs: DataFrame, word_share: float) -> dict[bytes, int]:
                 found.update(words(text))
 
     rows = docs.select("text").mapInArrow(count, "w binary, n long")
-    counts = settle(rows.groupBy("w").agg(F.sum("n").alias("n")), "word-counts")
+    return settle(rows.groupBy("w").agg(F.sum("n").alias("n")), "word-counts")
+
+
+def _top(counts: DataFrame, word_share: float) -> dict[bytes, int]:
     total = counts.agg(F.sum("n")).first()[0] or 0
     top = counts.where(F.col("n") >= word_share * total).orderBy(F.desc("n"), "w").collect()
     return {bytes(r["w"]): i + 2 for i, r in enumerate(top)}
 
 
-def _codes(text: str | None, vocab: dict[bytes, int]) -> np.ndarray:
-    w = words(text)
+def vocabulary(docs: DataFrame, word_share: float) -> dict[bytes, int]:
+    """word -> code (2 and up), by falling count; counted over every text."""
+    return _top(word_counts(docs), word_share)
+
+
+def _codes(w: list[bytes], vocab: dict[bytes, int]) -> np.ndarray:
     return np.fromiter((vocab.get(x, UNKNOWN) for x in w), np.int64, len(w))
 
 
@@ -66,12 +83,21 @@ def _bigrams(codes: np.ndarray) -> np.ndarray:
     return (np.concatenate([[START], codes[:-1]]) << _BITS) | codes if len(codes) else codes
 
 
-def bigram_counts(docs: DataFrame, target: DataFrame, vocab) -> DataFrame:
-    """gram, n (all documents), t (target documents)."""
+def flagged(docs: DataFrame, target: DataFrame) -> DataFrame:
+    """doc_id, text, is_target for each row of docs."""
     wanted = target.select(F.col("doc_id").alias("wanted")).where("wanted is not null").distinct()
     # merged at every size, so that disk use grows in proportion and not by a change of plan
     wanted = wanted.hint("merge")
     rows = docs.select("doc_id", "text").join(wanted, F.col("doc_id") == F.col("wanted"), "left")
+    return rows.select("doc_id", "text", F.col("wanted").isNotNull().alias("is_target"))
+
+
+def bigram_counts(docs: DataFrame, target: DataFrame, vocab) -> DataFrame:
+    """gram, n (all documents), t (target documents)."""
+    return _count(flagged(docs, target), vocab)
+
+
+def _count(rows: DataFrame, vocab) -> DataFrame:
 
     def counted(every: list[np.ndarray], wanted: list[np.ndarray]) -> pa.RecordBatch:
         codes, n = np.unique(np.concatenate(every), return_counts=True)
@@ -87,13 +113,13 @@ def bigram_counts(docs: DataFrame, target: DataFrame, vocab) -> DataFrame:
                 yield counted(every, wanted)
                 every, wanted, held = [], [], 0
             for text, flag in zip(*(batch.column(i).to_pylist() for i in range(2)), strict=True) if batch else ():
-                grams = _bigrams(_codes(text, vocab.value))
+                grams = _bigrams(_codes(words(text), vocab.value))
                 every.append(grams)
                 held += len(grams)
                 if flag:
                     wanted.append(grams)
 
-    grams = rows.select("text", F.col("wanted").isNotNull().alias("is_target")).mapInArrow(count, "gram long, n long, t long")
+    grams = rows.select("text", "is_target").mapInArrow(count, "gram long, n long, t long")
     return grams.groupBy("gram").agg(F.sum("n").alias("n"), F.sum("t").alias("t"))
 
 
@@ -128,8 +154,8 @@ def learn(counts: DataFrame, size: int, column: str, gram_share: float, mu: floa
     return Model(size, firsts, lasts, (np.array([r["gram"] for r in kept], np.int64), np.array([r["n"] for r in kept], np.int64)), mu)
 
 
-def score(docs: DataFrame, target: DataFrame, word_share: float = 1e-5, gram_share: float = 1e-6, mu: float = 10.0) -> DataFrame:
-    """doc_id, n_tokens, target_loss, background_loss, score for each row of docs."""
+def _bounded(docs: DataFrame, target: DataFrame, word_share: float, gram_share: float, mu: float) -> DataFrame:
+    """Scores by models that are cut to shares of the corpus and broadcast."""
     spark = begin(docs.sparkSession)
     words_known = vocabulary(docs, word_share)
     vocab = spark.sparkContext.broadcast(words_known)
@@ -137,7 +163,7 @@ def score(docs: DataFrame, target: DataFrame, word_share: float = 1e-5, gram_sha
     models = spark.sparkContext.broadcast([learn(counts, len(words_known) + 2, c, gram_share, mu) for c in ("t", "n")])
 
     def run(batch: pa.RecordBatch):
-        grams = [_bigrams(_codes(t, vocab.value)) for t in batch.column(1).to_pylist()]
+        grams = [_bigrams(_codes(words(t), vocab.value)) for t in batch.column(1).to_pylist()]
         n = np.array([len(g) for g in grams])
         every, of = np.concatenate([np.empty(0, np.int64), *grams]), np.repeat(np.arange(len(grams)), n)
         means = [np.bincount(of, m.losses(every), minlength=len(grams)) / np.maximum(n, 1) for m in models.value]
@@ -148,3 +174,108 @@ def score(docs: DataFrame, target: DataFrame, word_share: float = 1e-5, gram_sha
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
     return map_arrow(docs.select("doc_id", "text"), run, f"doc_id {id_type}, n_tokens long, target_loss double, background_loss double, score double")
+
+
+class Frequent:
+    """Of one model, what is known of frequent words (by code) and of frequent bigrams (in order of their codes)."""
+
+    def __init__(self, counts: DataFrame, column: str, size: int, kinds: int, grams: np.ndarray, n: np.ndarray, mu: float):
+        counts = counts.select("gram", F.col(column).alias("n")).where("n > 0")
+        first, last = np.zeros(size), np.zeros(size)
+        for at, e in ((first, f"shiftright(gram, {_BITS})"), (last, "gram & 4294967295")):
+            for r in counts.groupBy(F.expr(e).alias("k")).agg(F.sum("n").alias("n")).collect():
+                at[r["k"]] = r["n"]
+        self.total = last.sum() + 0.5 * kinds
+        self.p1, self.after = (last + 0.5) / self.total, np.log(first + mu)
+        self.after[UNKNOWN] = 0  # of rare words, added where they are counted
+        self.loss = -np.log(n + mu * self.p1[grams & np.int64(0xFFFFFFFF)])
+
+
+def _whole(docs: DataFrame, target: DataFrame, mu: float, hot_words: float, hot_grams: float) -> DataFrame:
+    """Scores by models of all words and all bigrams."""
+    spark = begin(docs.sparkSession)
+    known = word_counts(docs)
+    kinds, words_known = known.count() + 2, _top(known, hot_words)
+    size, vocab = len(words_known) + 2, spark.sparkContext.broadcast(words_known)
+    rows = settle(flagged(docs, target), "flagged")
+    counts = settle(_count(rows, vocab), "bigrams")
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    both = (F.shiftright("gram", int(_BITS)) != UNKNOWN) & (F.col("gram").bitwiseAND(F.lit(0xFFFFFFFF)) != UNKNOWN)
+    hot = counts.where(both & (F.col("n") >= hot_grams * total)).orderBy("gram").collect()
+    grams = np.array([r["gram"] for r in hot], np.int64)
+    models = [Frequent(counts, c, size, kinds, grams, np.array([r[c] for r in hot], np.int64), mu) for c in ("t", "n")]
+    sent = spark.sparkContext.broadcast((grams, [(m.after, m.loss) for m in models]))
+    digest, start = xxhash.xxh64_intdigest, xxhash.xxh64_intdigest(b"\n")
+
+    def run(batch: pa.RecordBatch):
+        (grams, tables), ids = sent.value, batch.column(0)
+        split = [words(t) for t in batch.column(2).to_pylist()]
+        n = np.array([len(w) for w in split])
+        of = np.repeat(np.arange(len(n)), n)
+        code = np.concatenate([np.empty(0, np.int64), *[_bigrams(_codes(w, vocab.value)) for w in split]])
+        v, w = code >> _BITS, code & np.int64(0xFFFFFFFF)
+        at = np.minimum(np.searchsorted(grams, code), max(len(grams) - 1, 0))
+        here = grams[at] == code if len(grams) else np.zeros(len(code), bool)
+        sums = [np.bincount(of, after[v] + (np.where(here, loss[at], 0) if len(loss) else 0), minlength=len(n)) for after, loss in tables]
+        yield pa.RecordBatch.from_arrays([
+            batch.column(1), ids, batch.column(1), *[pa.nulls(len(n), t) for t in (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.bool_())],
+            pa.array(np.ones(len(n), np.int32)), pa.array(n, pa.int64()), *map(pa.array, sums)], names)
+        # all others, once in a document with their number and how many of them another word follows
+        right = np.array([digest(x) for s in split for x in s], np.uint64).view(np.int64)
+        ends = np.cumsum(n)
+        left, more = np.concatenate([[0], right[:-1]]), np.ones(len(right), np.int32)
+        left[(ends - n)[n > 0]] = np.array(start, np.uint64).view(np.int64)
+        more[(ends - 1)[n > 0]] = 0
+        more[w != UNKNOWN] = 0
+        rest = np.flatnonzero(~here)
+        if not len(rest):
+            return
+        rest = rest[np.lexsort((left[rest], right[rest], of[rest]))]
+        a, b, d = left[rest], right[rest], of[rest]
+        new = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1]) | (d[1:] != d[:-1])]))
+        times, more = np.diff(np.append(new, len(rest))), np.add.reduceat(more[rest], new)
+        a, b, d, w = a[new], b[new], d[new], w[rest][new]
+        deal = np.where(w == UNKNOWN, b, b ^ (a * np.int64(-7046029254386353131)))
+        d = pa.array(d)
+        yield pa.RecordBatch.from_arrays([
+            batch.column(1).take(d), pa.nulls(len(new), ids.type), pa.array(deal), pa.array(b), pa.array(a), pa.array(w.astype(np.int32)),
+            pa.array(times.astype(np.int32)), pa.array(more.astype(np.int32)), batch.column(3).take(d),
+            pa.nulls(len(new), pa.int32()), pa.nulls(len(new), pa.int64()), *[pa.nulls(len(new), pa.float64())] * 2], names)
+
+    id_type = docs.schema["doc_id"].dataType.simpleString()
+    columns = (f"doc long, doc_id {id_type}, deal long, w long, v long, code int, n int, more int, own boolean, "
+               "n_rows int, n_tokens long, target_loss double, background_loss double")
+    names = [c.split()[0] for c in columns.split(", ")]
+    parts = map_arrow(rows.select("doc_id", F.xxhash64("doc_id", "text").alias("doc"), "text", "is_target"), run, columns, 256)
+    gram, word = Window.partitionBy("deal", "w", "v"), Window.partitionBy("deal", "w")
+    own = lambda c: F.when(F.col("own"), F.col(c)).otherwise(0)
+    parts = parts.repartition("deal").withColumns({"t_gram": F.sum(own("n")).over(gram), "n_gram": F.sum("n").over(gram)})
+    parts = parts.withColumns({"t_last": F.sum(own("n")).over(word), "n_last": F.sum("n").over(word),
+                               "t_first": F.sum(own("more")).over(word), "n_first": F.sum("more").over(word)})
+    # at most 1 / hot_words rows
+    hot = spark.createDataFrame([(i, *map(float, x)) for i, x in enumerate(zip(*(m.p1 for m in models), strict=True)) if i > START],
+                                "code int, t_p double, n_p double")
+    parts = parts.join(hot.hint("broadcast"), "code", "left")
+
+    def loss(c: str, m: Frequent):
+        p = F.coalesce(F.col(f"{c}_p"), (F.col(f"{c}_last") + 0.5) / F.lit(float(m.total)))
+        there = F.col("more") * F.log(F.col(f"{c}_first") + mu) - F.col("n") * F.log(F.col(f"{c}_gram") + mu * p)
+        return F.when(F.col("n_rows").isNull(), there)
+
+    sums = parts.groupBy("doc").agg(
+        F.max("doc_id").alias("doc_id"), F.sum("n_rows").cast("int").alias("n_rows"), F.sum("n_tokens").alias("n_tokens"),
+        *[F.sum(F.coalesce(k, loss(c, m))).alias(k) for k, c, m in zip(("target_loss", "background_loss"), "tn", models, strict=True)])
+    # rows of equal id and text are one document here, with the sums of all of them
+    mean = lambda k: F.when(F.col("n_tokens") > 0, F.col(k) / F.col("n_tokens")).alias(k)
+    out = sums.select("doc_id", (F.col("n_tokens") / F.col("n_rows")).cast("long").alias("tokens"), mean("target_loss"), mean("background_loss"),
+                      F.explode(F.sequence(F.lit(1), "n_rows")))
+    return out.select("doc_id", F.col("tokens").alias("n_tokens"), "target_loss", "background_loss",
+                      (F.col("target_loss") - F.col("background_loss")).alias("score"))
+
+
+def score(docs: DataFrame, target: DataFrame, word_share: float = 0.0, gram_share: float = 0.0, mu: float = 10.0,
+          hot_words: float = 1e-5, hot_grams: float = 1e-6) -> DataFrame:
+    """doc_id, n_tokens, target_loss, background_loss, score for each row of docs."""
+    if word_share > 0 or gram_share > 0:
+        return _bounded(docs, target, word_share, gram_share, mu)
+    return _whole(docs, target, mu, hot_words, hot_grams)
