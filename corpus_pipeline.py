@@ -5,15 +5,16 @@ every result as Parquet to the shared folder and reads it back. All stages but t
 columns of documents.
 
 1. ``language_id``       documents in which no language is found (no text, no letter) go.
-2. ``near_dedup``        of documents whose fingerprints connect, the one with the smallest id stays.
+2. ``near_dedup``        of rows whose fingerprints connect, the one with the smallest id stays.
 3. ``decontaminate``     documents that hold a passage of a benchmark item go.
 4. ``mix``               each document is given once, twice or not at all, as the mix takes its tokens:
                          a pass over its source that starts it within the target gives it whole.
 5. ``token_files``       the texts as token files, and what is read back from them.
 
-Near duplicates follow the simhash rules of ``zoneflow.llm.simhash``; of rows with the same id one
-stays. A null id is never dropped as a duplicate of its own row: it goes if another document of its
-group has an id.
+Near duplicates follow the simhash rules of ``zoneflow.llm.simhash`` and are decided by row: of a group
+the row with the least (id, hash of the text) stays, null ids last. So rows go only for a near copy,
+never for an id, null or not, that they share with an unlike text. Of rows equal in id and text the
+least by all columns stays.
 """
 
 from __future__ import annotations
@@ -34,10 +35,16 @@ def find_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    groups = simhash.simhash_groups(docs)
-    gone = groups.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("gone")).distinct()
-    gone = settle(gone, "near-copies")
-    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("gone")), "left_anti").dropDuplicates(["doc_id"])
+    rows = settle(simhash.fingerprints(docs, text_hash=F.xxhash64("text")), "fingerprints")
+    first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
+    classes = settle(rows.groupBy("fp").agg(F.min(first).alias("head")), "classes")
+    kept = simhash.roots(classes).groupBy("root").agg(F.min("head").alias("head"))
+    kept = kept.select(F.struct("head.doc_id", "head.text_hash").alias("key"))
+    given = docs.select(F.struct(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash")).alias("key"),
+                        F.struct(*docs.columns).alias("row"))
+    # nulls within equal structs are equal; merged at every size, so that disk use grows in proportion
+    left = given.join(kept.hint("merge"), "key", "left_semi")
+    return left.groupBy("key").agg(F.min("row").alias("row")).select("row.*")
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -39,6 +39,18 @@ def test_near_dedup_stage(steps):
     assert rows(steps[1][1]) == sorted((tuple(r) for r in before if r["doc_id"] in keep), key=repr)
 
 
+def test_near_dedup_decides_by_row(spark):
+    """Null and repeated ids: a row goes for a near copy only, whatever rows share its id."""
+    text = {c: " ".join(f"{c}{i * 7919 % 1000}" for i in range(60)) for c in "abcdefgh"}
+    given = [(1, text["a"]), (None, text["a"]), (None, text["b"]), (None, text["c"]), (None, text["c"]), (5, text["d"]), (5, text["e"]),
+             (3, text["e"]), (7, text["f"]), (7, text["g"]), (7, text["g"]), (9, text["g"]), (None, text["h"])]
+    want = [(1, "a"), (None, "b"), (None, "c"), (5, "d"), (3, "e"), (7, "f"), (7, "g"), (None, "h")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in given], SCHEMA)
+    got = corpus_pipeline.near_dedup(spark, docs, str(SF))
+    assert got.columns == docs.columns
+    assert rows(got) == sorted([(i, text[c], "en", "s", len(text[c])) for i, c in want], key=repr)
+
+
 def test_decontamination_stage(steps, spark):
     bench = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
     block = decontaminate.Block(bench, decontaminate.MASKS)

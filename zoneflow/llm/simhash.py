@@ -32,7 +32,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import begin, map_arrow, settle, words
@@ -64,15 +64,18 @@ def fingerprint(text: str | None, width: int = 3) -> int:
     return sum(1 << i for i in np.flatnonzero(2 * ones > len(h)).tolist())
 
 
-def fingerprints(docs: DataFrame, width: int = 3) -> DataFrame:
-    """doc_id, fp (the 64 bits as a long) for each row."""
+def fingerprints(docs: DataFrame, width: int = 3, **also: Column) -> DataFrame:
+    """doc_id, fp (the 64 bits as a long) and the longs of ``also`` for each row."""
     begin(docs.sparkSession)
+    names = list(also)
 
     def run(batch: pa.RecordBatch):
         fp = np.array([fingerprint(t, width) for t in batch.column(1).to_pylist()], np.uint64)
-        yield pa.RecordBatch.from_pydict({"doc_id": batch.column(0), "fp": pa.array(fp.view(np.int64))})
+        yield pa.RecordBatch.from_pydict({"doc_id": batch.column(0), "fp": pa.array(fp.view(np.int64)),
+                                            **{c: batch.column(2 + i) for i, c in enumerate(names)}})
 
-    return map_arrow(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), run, "doc_id long, fp long")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *[e.cast("long").alias(c) for c, e in also.items()])
+    return map_arrow(rows, run, ", ".join(f"{c} long" for c in ("doc_id", "fp", *names)))
 
 
 def _swap(fp: np.ndarray) -> np.ndarray:
@@ -218,12 +221,17 @@ def forest_links(fps: DataFrame, budget: int = 3, capacity: int = 32_768) -> Dat
     return dealt.groupBy("turn", "low", "up", "x", "y").applyInPandas(links, "a long, b long")
 
 
+def roots(classes: DataFrame, budget: int = 3, capacity: int = 32_768) -> DataFrame:
+    """classes, a row for each distinct fp, with ``root``: the same for all that links of at most ``budget`` bits connect."""
+    linked = components(forest_links(classes.select("fp"), budget, capacity))
+    linked = linked.withColumnsRenamed({"node": "fp", "component": "root"})
+    return classes.join(linked, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+
+
 def simhash_groups(docs: DataFrame, width: int = 3, budget: int = 3, capacity: int = 32_768) -> DataFrame:
     """doc_id, fp, component_id (smallest doc_id reachable over links of at most ``budget`` bits) for each row."""
     rows = settle(fingerprints(docs, width), "fingerprints")
     classes = settle(rows.groupBy("fp").agg(F.min("doc_id").alias("head")), "classes")
-    linked = components(forest_links(classes.select("fp"), budget, capacity))
-    linked = linked.withColumnsRenamed({"node": "fp", "component": "root"})
-    named = classes.join(linked, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    named = roots(classes, budget, capacity)
     least = named.groupBy("root").agg(F.min("head").alias("component_id"))
     return rows.join(named.join(least, "root").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
