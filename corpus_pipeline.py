@@ -7,8 +7,8 @@ columns of documents.
 1. ``language_id``       documents in which no language is found (no text, no letter) go.
 2. ``near_dedup``        of rows whose fingerprints connect, the one with the smallest id stays.
 3. ``decontaminate``     documents that hold a passage of a benchmark item go.
-4. ``mix``               each document is given once, twice or not at all, as the mix takes its tokens:
-                         a pass over its source that starts it within the target gives it whole.
+4. ``mix``               each document is given once, twice or not at all: whole for each scheduled
+                         slot of its source that its first token lies in.
 5. ``token_files``       the texts as token files, and what is read back from them.
 
 Near duplicates follow the simhash rules of ``zoneflow.llm.simhash`` and are decided by row: of a group
@@ -52,14 +52,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    placed = mixing.mix(docs)
-    limit = F.floor("target").cast("long")
-    starts = F.when(F.col("size") > 0, (F.col("start") < limit).cast("int")
-                    + (F.col("start") + F.col("source_size") < limit).cast("int")).otherwise(0)
-    times = placed.select(F.col("doc_id").alias("mixed"), starts.alias("times")).where("times > 0").distinct()
-    # merged at every size, so that disk use grows in proportion and not by a change of plan
-    rows = docs.join(times.hint("merge"), F.col("doc_id").eqNullSafe(F.col("mixed")))
-    return rows.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("times")))).select(*docs.columns)
+    return mixing.copies(docs)
 
 
 def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

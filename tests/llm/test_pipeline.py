@@ -71,6 +71,34 @@ def test_mixing_stage(steps):
     assert taken <= sum(len(w[1].split()) for w in want) < 1.2 * taken
 
 
+def test_mixing_stage_follows_the_schedule(spark, monkeypatch):
+    """Rows are taken where slots begin them: with null and repeated ids, and other slots give other rows."""
+    given = [(None if i % 5 == 0 else i // 2, f"{i} " + "w " * (i % 37), None, "ab"[i % 2] if i % 7 else None, i) for i in range(300)]
+    given += [(1, "same text here", "en", "a", j) for j in range(6)]
+    docs = spark.createDataFrame(given, SCHEMA)
+    known, schedule = {}, mixing.schedule
+
+    def every_other(spark, wanted, block):
+        known.update(block=block)
+        return schedule(spark, wanted, block).where("rank % 2 = 0")
+
+    def want(slot):
+        out = []
+        for r in mixing.mix(docs).collect():
+            begun = [r["start"] + k * r["source_size"] for k in range(2) if r["size"]]
+            out += [(r["doc_id"], r["source"], r["size"])] * sum(at < int(r["target"]) and slot(at) for at in begun)
+        return sorted(out, key=repr)
+
+    def got():
+        return sorted([(r["doc_id"], r["source"], len(r["text"].split())) for r in corpus_pipeline.mix(spark, docs, str(SF)).collect()], key=repr)
+
+    whole = got()
+    assert whole == want(lambda at: True)
+    monkeypatch.setattr(mixing, "schedule", every_other)
+    half = got()
+    assert half == want(lambda at: at // known["block"] % 2 == 0) and 0 < len(half) < len(whole)
+
+
 def test_token_stage(steps):
     want = brute_files([tuple(r) for r in steps[3][1].collect()], 2)
     assert rows(steps[4][1]) == sorted(want, key=repr)

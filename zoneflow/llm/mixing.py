@@ -11,7 +11,8 @@ prefix sums; slot r of a source takes its block r, starting over after the last.
 Blocks. A source's documents are shuffled by a hash of their id and text and laid end to end; token
 positions come from sums per bucket of the hash and their prefix sums, so a source that holds a
 third of all rows is dealt over many tasks. The stream is cut into blocks of ``block`` tokens; a
-document lies in each block it overlaps. Joining slots and blocks gives the tokens taken.
+document lies in each block it overlaps. Joining slots and blocks gives the tokens taken, and how often
+a document is begun: in how many slots, over all passes, its first token lies.
 
 The schedule is as long as the targets need and a source stops at its target, so what is taken
 falls short of it by less than one token. Blocks shrink for small inputs to a thousandth of the
@@ -109,7 +110,7 @@ def block_size(wanted: Sequence[float], block: int) -> int:
 
 def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.5, passes: int = 2,
         block: int = 4096, bucket_rows: int = 50_000) -> DataFrame:
-    """doc_id, source, size, source_size, target, start, taken for each row of docs."""
+    """doc_id, source, size, source_size, target, start, taken, begun, place for each row of docs."""
     spark = docs.sparkSession
     rows = settle(sizes(docs), "sizes")
     held = by_source(rows)
@@ -136,11 +137,24 @@ def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.
                       F.least("to", (F.col("block") + 1) * block).alias("to")))
     parts = (placed.where("size > 0").select("doc_id", "place", "source_no", "start", "size", F.explode(
         F.expr(f"sequence(start div {block}, (start + size - 1) div {block})")).alias("block")))
+    begins = (F.col("from") <= F.col("start")) & (F.col("start") < F.col("to"))
     overlap = F.least("to", F.col("start") + F.col("size")) - F.greatest("from", F.col("start"))
     taken = (parts.join(pieces, ["source_no", "block"]).where(overlap > 0)
-             .groupBy("source_no", "start").agg(F.sum(overlap).alias("taken")))
+             .groupBy("source_no", "start").agg(F.sum(overlap).alias("taken"), F.sum(begins.cast("int")).alias("begun")))
     # documents of size 0 share their start with the next one
     out = placed.withColumn("at", F.when(F.col("size") > 0, F.col("start"))).join(
         taken.withColumnRenamed("start", "at"), ["source_no", "at"], "left")
     return out.select("doc_id", "source", "size", "source_size", "target", "start",
-                      F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
+                      *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("taken", "begun")], "place")
+
+
+def copies(docs: DataFrame, **params) -> DataFrame:
+    """The rows of docs, each as often as the schedule begins it; equal rows are told apart by number."""
+    times = (mix(docs, **params).groupBy(F.struct("doc_id", "source", "place").alias("key"))
+             .agg(F.sort_array(F.collect_list("begun"), False).alias("times")).where("times[0] > 0"))
+    row_key = F.struct("doc_id", F.col("source").cast("string").alias("source"), F.xxhash64("doc_id", "text").alias("place"))
+    rows = docs.select(row_key.alias("key"), F.struct(*docs.columns).alias("row"))
+    # nulls within equal structs are equal; merged at every size, so that disk use grows in proportion
+    rows = rows.join(times.hint("merge"), "key").withColumn("number", F.row_number().over(Window.partitionBy("key").orderBy("row")))
+    rows = rows.withColumn("n", F.get("times", F.col("number") - 1)).where("n > 0")
+    return rows.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("n").cast("int")))).select("row.*")
