@@ -4,7 +4,8 @@ Each stage takes (spark, docs, sf_dir) and works on all that the stage before it
 every result as Parquet to the shared folder and reads it back. All stages but the last return the
 columns of documents.
 
-1. ``language_id``       documents in which no language is found (no text, no letter) go.
+1. ``language_id``       documents in which no language is found (no text, no letter) go; where no
+                         language could be learned, all with a letter stay.
 2. ``near_dedup``        of rows whose fingerprints connect, the one with the smallest id stays.
 3. ``decontaminate``     documents that hold a passage of a benchmark item go.
 4. ``mix``               each document is given once, twice or not at all: whole for each scheduled
@@ -30,7 +31,10 @@ TOKENIZER = "byte_bpe_50k.json"
 
 
 def find_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = language_id.predictor(spark, language_id.learn(docs.where(~language_id.held_out())))
+    learned = language_id.learn(docs.where(~language_id.held_out()))
+    if not learned:
+        return docs.where(language_id.lettered(spark)("text"))
+    found = language_id.predictor(spark, learned)
     return docs.where(found("text").getField("lang_pred") != "und")
 
 

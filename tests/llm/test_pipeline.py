@@ -33,6 +33,12 @@ def test_language_stage(steps, documents):
     assert got.columns == documents.columns
 
 
+def test_language_stage_without_languages(spark):
+    given = [(1, "some text", None, "s", 9), (2, None, None, "s", 0), (3, "12 !", None, None, 4), (None, "é", None, None, 1), (4, "", None, "s", 0)]
+    got = corpus_pipeline.find_language(spark, spark.createDataFrame(given, SCHEMA), str(SF))
+    assert rows(got) == sorted([given[0], given[3]], key=repr)
+
+
 def test_near_dedup_stage(steps):
     before = steps[0][1].collect()
     keep = {i for i, _, c in brute_groups([(r["doc_id"], brute_fingerprint(r["text"])) for r in before]) if i == c}

@@ -110,6 +110,17 @@ def predictor(spark: SparkSession, learned: dict[str, list[int]], size: int = SI
     return run
 
 
+def lettered(spark: SparkSession):
+    """A function of a text column: whether it has a letter."""
+    begin(spark)
+
+    @F.pandas_udf("boolean")
+    def run(text: pd.Series) -> pd.Series:
+        return pd.Series([bool(len(grams(t))) for t in text], dtype=bool)
+
+    return run
+
+
 def language_id(docs: DataFrame, training: DataFrame, size: int = SIZE) -> DataFrame:
     """doc_id, held_out, lang_pred, score for each row of docs; nothing is shuffled."""
     found = predictor(docs.sparkSession, learn(training, size), size)
