@@ -19,7 +19,8 @@ pair of blocks is a group of its own, so no group exceeds two blocks. Within a g
 is walked in slices. Only a spanning forest of a group's links leaves it, so a dense group of
 near copies sends at most as many links as it has members, and no connection is lost.
 
-Rows with the same doc_id and different texts belong to both texts' groups, which are then one.
+Groups link fingerprints only: rows with the same doc_id and different texts belong each to their own
+text's group, and a shared id does not join the two.
 doc_id must be an integer; a null doc_id gets a fingerprint and its group's smallest other id.
 """
 
