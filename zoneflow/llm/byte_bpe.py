@@ -23,8 +23,9 @@ ignored. Of equally ranked pairs the leftmost goes first.
 from __future__ import annotations
 
 import base64
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from hashlib import sha256
+from itertools import chain
 
 import duckdb
 import numpy as np
@@ -32,15 +33,15 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from .common import begin, map_arrow
+from .common import begin
 from .pieces import CUT, OTHER
 
 #: The pre-token pattern with the white space of Unicode, which is what the library's ``\\s`` stands for.
 WHITE = r"\p{White_Space}"
 #: Rows that one recursive query may hold, all steps together, and words in it.
-QUERY_ROWS, QUERY_WORDS = 2_000_000, 40_000
+QUERY_ROWS, QUERY_WORDS = 3_000_000, 60_000
 #: Entries of a generation of a worker's cache.
-HELD = 300_000
+HELD = 700_000
 
 MERGE = """
 WITH RECURSIVE s(word, pos, tok, nx, nt, step) AS (
@@ -56,11 +57,11 @@ WITH RECURSIVE s(word, pos, tok, nx, nt, step) AS (
         GROUP BY word) b ON b.word = s.word
   JOIN s c ON c.word = b.word AND c.pos = b.gone
   WHERE s.pos <> b.gone)
-SELECT word, pos, tok, step FROM (SELECT *, max(step) OVER (PARTITION BY word) AS last FROM s) WHERE step = last ORDER BY word, pos
+SELECT word, pos, tok, step FROM s JOIN (SELECT word, max(step) AS last FROM s GROUP BY word) USING (word) WHERE step = last ORDER BY word, pos
 """
 
 DECODE = """
-SELECT doc, unhex(string_agg(hex, '' ORDER BY pos)) AS bytes FROM ids JOIN token ON token.id = ids.tok GROUP BY doc
+SELECT doc, unhex(array_to_string(list(hex ORDER BY pos), '')) AS bytes FROM ids JOIN token ON token.id = ids.tok GROUP BY doc
 """
 
 
@@ -143,39 +144,48 @@ class Bpe:
         else:
             self.words[w] = ids
 
-    def _of(self, w: str) -> bytes | None:
-        """What is known of a word; one that opens with a space is the piece after it."""
-        if w[0] == " " and w[1:].strip():
-            return self._piece(w[1:])
-        return self.words.get(w)
-
-    def _piece(self, p: str) -> bytes | None:
-        found = self.pieces.get(p)
-        if found is None and (found := self.older.get(p)) is not None:
-            self.pieces[p] = found
-        return found
+    def _missing(self, pieces: Iterable[str]) -> set[str]:
+        """Those not held; what only the older generation holds moves to the younger."""
+        new = set(pieces).difference(self.pieces)
+        if self.older:
+            found = new.intersection(self.older)
+            self.pieces.update((p, self.older[p]) for p in found)
+            new -= found
+        return new
 
     def encode(self, texts: Sequence[str]) -> list[bytes]:
         """The ids of each text as little-endian 32-bit integers.
 
         A word never reaches over a space that stands before a visible character, so texts are cut there
-        first and what lies between is looked up whole. Of two generations of pieces the older is given
-        up once the younger is full; what is still used moves on.
+        first and what lies between is looked up whole. A word that opens with a space is kept as the piece
+        after it. Of two generations of pieces the older is given up once the younger is full; what is
+        still used moves on.
         """
-        cut = [CUT.split(t) if OTHER.search(t) else t.split(" ") for t in texts]
         if len(self.pieces) > self.held:
             self.older, self.pieces = self.pieces, {}
         if len(self.words) > self.held:
             self.words = {}
+        cut = [CUT.split(t) if OTHER.search(t) else t.split(" ") for t in texts]
         # a text's head opens without a space, unlike the pieces after it
-        heads = {c[0]: self.split(c[0]) for c in cut}
-        new = {p: self.split(" " + p) for p in {p for c in cut for p in c[1:]} if self._piece(p) is None}
-        self._learn({w for part in (heads, new) for ws in part.values() for w in ws if self._of(w) is None})
-        for p, ws in new.items():
-            if p not in self.pieces:
-                self.pieces[p] = b"".join(map(self._of, ws))
-        first = {h: b"".join(map(self._of, ws)) for h, ws in heads.items()}
-        return [first[c[0]] + b"".join(map(self.pieces.__getitem__, c[1:])) for c in cut]
+        heads = [c[0] for c in cut]
+        for c in cut:
+            del c[0]
+        built = [(p, " " + p) for p in self._missing(chain.from_iterable(cut))]
+        built = [(p, self.split(w)) for p, w in built]
+        first = {h: self.split(h) for h in set(heads)}
+        several = [ws for _, ws in built if len(ws) > 1]
+        inner = set(chain(*several, *first.values()))
+        after = self._missing({w[1:] for w in inner if w[0] == " " and w[1:].strip()})
+        self._learn({*(ws[0] for _, ws in built if len(ws) == 1), *(" " + p for p in after),
+                     *(w for w in inner if not (w[0] == " " and w[1:].strip()) and w not in self.words)})
+
+        def joined(ws: list[str]) -> bytes:
+            return b"".join([self.pieces[w[1:]] if w[0] == " " and w[1:].strip() else self.words[w] for w in ws])
+
+        self.pieces.update((p, joined(ws)) for p, ws in built if len(ws) > 1)
+        first = {h: joined(ws) for h, ws in first.items()}
+        known = self.pieces.__getitem__
+        return [first[h] + b"".join(map(known, c)) for h, c in zip(heads, cut, strict=True)]
 
     def decode(self, encoded: Sequence[bytes]) -> list[bytes]:
         """The bytes that ids stand for."""
@@ -200,49 +210,52 @@ def worker_bpe(path: str, pattern: str) -> Bpe:
     return _LOADED[path, pattern]
 
 
-#: Bytes of text that are worked on at once.
+#: Characters of text that are worked on at once.
 SLICE = 2 << 20
 
 
-def slices(texts: Sequence[str], size: int = SLICE) -> Iterable[tuple[int, int]]:
-    """(from, to) of neighbours that together stay below ``size`` characters, one text at least."""
-    at, held = 0, 0
-    for i, t in enumerate(texts):
-        if i > at and held + len(t) > size:
-            yield at, i
-            at, held = i, 0
-        held += len(t)
-    if at < len(texts):
-        yield at, len(texts)
+def slices(rows: Iterable[tuple], size: int) -> Iterator[list[tuple]]:
+    """Rows, whose second item is a text, in lists that stay below ``size`` characters, one row at least."""
+    held, length = [], 0
+    for row in rows:
+        if held and length + len(row[1]) > size:
+            yield held
+            held, length = [], 0
+        held.append(row)
+        length += len(row[1])
+    if held:
+        yield held
+
+
+def _coded(docs: DataFrame, path: str, pattern: str, names: str, values: Callable[[list[bytes], list[bytes]], list[pa.Array]]) -> DataFrame:
+    """doc_id and ``values`` of (ids, decoded bytes) for each row of docs."""
+    begin(docs.sparkSession)
+
+    def run(batches):
+        bpe = worker_bpe(path, pattern)
+        rows = ((i, t or "") for batch in batches for i, t in zip(batch.column(0), batch.column(1).to_pylist(), strict=True))
+        for part in slices(rows, SLICE):
+            ids = bpe.encode([t for _, t in part])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([i.as_py() for i, _ in part], part[0][0].type), *values(ids, bpe.decode(ids))], ["doc_id", *columns])
+
+    columns = [c.split()[0] for c in names.split(", ")]
+    id_type = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {id_type}, {names}")
 
 
 def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """doc_id, ids (array of long), decoded (binary) for each row of docs."""
-    def run(batch: pa.RecordBatch):
-        bpe, texts = worker_bpe(path, pattern), [t or "" for t in batch.column(1).to_pylist()]
-        for a, b in slices(texts):
-            ids = bpe.encode(texts[a:b])
-            yield pa.RecordBatch.from_arrays([
-                batch.column(0).slice(a, b - a), pa.array([np.frombuffer(x, "<u4").astype(np.int64) for x in ids], pa.list_(pa.int64())),
-                pa.array(bpe.decode(ids), pa.binary())], ["doc_id", "ids", "decoded"])
+    def values(ids, decoded):
+        return [pa.array([np.frombuffer(x, "<u4").astype(np.int64) for x in ids], pa.list_(pa.int64())), pa.array(decoded, pa.binary())]
 
-    begin(docs.sparkSession)
-    id_type = docs.schema["doc_id"].dataType.simpleString()
-    return map_arrow(docs.select("doc_id", "text"), run, f"doc_id {id_type}, ids array<long>, decoded binary")
+    return _coded(docs, path, pattern, "ids array<long>, decoded binary", values)
 
 
 def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 for each row of docs; ids and bytes stay in the task."""
-    def run(batch: pa.RecordBatch):
-        bpe, texts = worker_bpe(path, pattern), [t or "" for t in batch.column(1).to_pylist()]
-        for a, b in slices(texts):
-            ids = bpe.encode(texts[a:b])
-            yield pa.RecordBatch.from_arrays([
-                batch.column(0).slice(a, b - a), pa.array([len(x) // 4 for x in ids], pa.int64()),
-                pa.array([sha256(x).hexdigest() for x in ids], pa.string()),
-                pa.array([sha256(x).hexdigest() for x in bpe.decode(ids)], pa.string())],
-                ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+    def values(ids, decoded):
+        return [pa.array([len(x) // 4 for x in ids], pa.int64()),
+                *(pa.array([sha256(x).hexdigest() for x in part], pa.string()) for part in (ids, decoded))]
 
-    begin(docs.sparkSession)
-    id_type = docs.schema["doc_id"].dataType.simpleString()
-    return map_arrow(docs.select("doc_id", "text"), run, f"doc_id {id_type}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return _coded(docs, path, pattern, "n_tokens long, ids_sha256 string, decoded_sha256 string", values)
