@@ -96,12 +96,45 @@ def test_large_batches_take_the_shuffled_path(spark, master, monkeypatch):
     rows = [entry(f"k{i:02d}", float(i), "Z1") for i in range(1, 10)]
     small, _ = log_of(spark, master, rows)
     monkeypatch.setattr(audit, "is_small", lambda df: False)
-    monkeypatch.setattr(audit, "sized", lambda df, held=None: (df, False))
-    monkeypatch.setattr(audit, "checked_broadcast", lambda df, held=None: df)
     large, _ = log_of(spark, master, rows)
     assert small == large
 
 
+def test_keys_and_digests_are_compared_before_rows(spark, master):
+    rows = spark.createDataFrame([entry("k02", 9.0)], SCHEMA).unionByName(master.where("recid <> 'k02'"))
+    before = set(spark.sparkContext._jsc.sc().getPersistentRDDs().keySet().toString())
+    found = audit.edits(master, rows, "recid", "masters")
+    assert [tuple(r) for r in found.collect()] == [("k02", "U")]
+    assert "Window" not in audit.pair_rows(master, rows, "recid", "masters")._jdf.queryExecution().toString()
+    log = audit.updates(master, rows, mode="masters").update_log.collect()
+    assert [r.recid for r in log] == ["k02"]
+    assert set(spark.sparkContext._jsc.sc().getPersistentRDDs().keySet().toString()) == before
+
+
+def test_digests_tell_nulls_apart(spark):
+    rows = spark.createDataFrame([(None, "a", 0.0), ("a", None, -0.0), ("", "a", 0.0), ("a", "", 0.0), ("a", "", None)], "x string, y string, z double")
+    got = rows.select(*audit._digests(rows.columns)).collect()
+    assert len({tuple(r) for r in got}) == 5
+    signed = spark.createDataFrame([(0.0,), (-0.0,)], "z double")
+    assert len({tuple(r) for r in signed.select(*audit._digests(["z"])).collect()}) == 1
+
+
+def test_a_null_key_is_a_key(spark, master):
+    held = master.unionByName(spark.createDataFrame([entry(None, 3.0)], SCHEMA))
+    log, _ = log_of(spark, held, [entry(None, 4.0), entry("n", 5.0)])
+    assert {k: r.edit_type for k, r in log.items()} == {None: "U", "n": "C"} and log[None].cols_updated == ["max_dua"]
+    with pytest.raises(Exception, match="repeated key: null"):
+        log_of(spark, held, [entry(None, 4.0), entry(None, 5.0)])
+
+
+def test_without_number_or_text_columns(spark):
+    old = spark.createDataFrame([(1, DAY), (2, DAY)], "recid int, edit_date timestamp")
+    new = spark.createDataFrame([(1, LATER), (2, DAY), (3, DAY)], "recid int, edit_date timestamp")
+    log = {r.recid: r for r in audit.updates(old, new, mode="masters").update_log.collect()}
+    assert {k: (r.edit_type, r.cols_updated, r.warnings) for k, r in log.items()} == {1: ("U", ["edit_date"], []), 3: ("C", [], [])}
+    assert stats.exact_percentiles(old, [], [0.5]) == {}
+
+
 def test_ranges_of_null_column(spark, master):
     found = audit.normal_ranges(master, ["max_dua", "max_far"])
     assert found == {"max_dua": (2.0, 20.0), "max_far": None}
@@ -126,6 +159,17 @@ def test_stored_log_and_table_as_of(spark, master, tmp_path):
     assert at["k02"] == 2.0 and "n01" not in at
 
 
+def test_stored_rows_keep_microseconds(spark, master):
+    when = datetime(2020, 2, 1, 1, 2, 3, 123456)
+    out = audit.updates(master, spark.createDataFrame([entry("k02", 0.1 + 0.2, date=when)], SCHEMA))
+    log = logs.typed_updates(logs.stored_updates(out.update_log), master.schema)
+    row = log.first()
+    assert (row.edit_timestamp, row.new_row.edit_date, row.new_row.max_dua) == (when, when, 0.1 + 0.2)
+    older = spark.createDataFrame([('{"edit_date":"2020-02-01T01:02:03.123Z"}',), ('{"edit_date":"2020-02-01T01:02:03"}',)], "v string")
+    got = older.select(F.from_json("v", "edit_date timestamp", {"timestampFormat": logs.READ_STAMP}).alias("r")).collect()
+    assert [r.r.edit_date for r in got] == [datetime(2020, 2, 1, 1, 2, 3, 123000), datetime(2020, 2, 1, 1, 2, 3)]
+
+
 def test_last_edit_counts(spark):
     master = spark.createDataFrame([("a", 1), ("b", 1)], "recid string, v int")
     log = spark.createDataFrame(

@@ -107,3 +107,14 @@ def test_stream_equals_batch_and_is_idempotent(spark, tmp_path):
     assert spark.read.parquet(f"{out}/updates").count() == 2
     assert {r.warning for r in spark.read.parquet(f"{out}/warnings").collect()} == {
         "max_dua value is out of range (val = 30.0)", '"new" not in other row records for city_name'}
+    # a newer master that holds those values: the same batches leave no warning of the earlier runs
+    newer = spark.createDataFrame([("k2", "new", 50.0, "e", day)], SCHEMA).unionByName(master.where("recid <> 'k2'"))
+    feed = audit_stream.read_entries(spark, str(inbox), schema, files_per_batch=1)
+    audit_stream.audit_entries(feed, lambda: newer, out, str(tmp_path / "cp3"), bounds={"max_dua": (0.0, 99.0)}).awaitTermination(120)
+    assert spark.read.parquet(f"{out}/warnings").count() == 0 and spark.read.parquet(f"{out}/updates").count() == 2
+
+
+def test_sorted_log(spark):
+    df = spark.createDataFrame([(f"c{i * 7 % 10}", i * 13 % 500) for i in range(500)], "city string, recid int")
+    got = [tuple(r) for r in logs.sorted_log(df, ["city", "recid"]).collect()]
+    assert got == sorted(got)

@@ -27,6 +27,8 @@ def exact_percentiles(
     (about 8/accuracy of the distinct values) reach the final ordering, whatever the size
     of the table; a column shorter than ``accuracy`` is ordered whole. Should a bracket ever miss its rank the call raises instead of guessing.
     """
+    if not columns:
+        return {}
     margin = 4.0 / accuracy
     cuts = sorted({min(1.0, max(0.0, p + d)) for p in probs for d in (-margin, margin)})
     typed = df.select(*[F.col(c).cast("double").alias(c) for c in columns])

@@ -2,18 +2,17 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from functools import reduce
-from operator import add, or_
+from operator import add
 
-from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from zoneflow.functions.stats import exact_percentiles
 from zoneflow.functions.text import float_text
-from zoneflow.session import checked_broadcast, is_small, nan_to_null, sized
+from zoneflow.session import checked_broadcast, is_small, nan_to_null, written
 
 NORMAL_RANGE = (0.05, 0.95)
 
@@ -22,12 +21,6 @@ NORMAL_RANGE = (0.05, 0.95)
 class AuditLogs:
     update_log: DataFrame
     warning_log: DataFrame
-    cached: list[DataFrame] = field(default_factory=list)
-
-    def release(self) -> None:
-        """Drop the cached comparison once the logs are written."""
-        for df in self.cached:
-            df.unpersist()
 
 
 def epoch_to_timestamp(c: Column | str) -> Column:
@@ -67,35 +60,57 @@ def _new(c: str) -> Column:
     return F.col(f"new__{c}")
 
 
-def _side(df: DataFrame, pk: str, name: str) -> DataFrame:
-    """Rows under prefixed names with the number of rows sharing the key. The count runs on
-    the partitioning and ordering the pairing join needs anyway."""
-    per_key = F.count("*").over(Window.partitionBy(pk))
-    return df.select(pk, *[F.col(c).alias(f"{name}__{c}") for c in df.columns], per_key.alias(f"_{name}_rows"))
+def _digests(columns: list[str]) -> list[Column]:
+    """128 bits of a row in two numbers. Hashes skip nulls, so which columns are null is hashed too."""
+    nulls = [F.isnull(c) for c in columns]
+    return [F.xxhash64(F.lit(seed), *nulls, *columns).alias(f"_d{seed}") for seed in (1, 2)]
 
 
-def pair_rows(master: DataFrame, entries: DataFrame, pk: str, mode: str) -> DataFrame:
-    """Key, ``old__*`` and ``new__*`` columns and ``edit_type``: entries with their master
-    rows, or the full outer pairing of two masters without the rows equal in both."""
-    if mode == "entries":
-        if is_small(entries.select(pk)):
-            # A batch of checked size: cut the master to the touched keys without a shuffle.
-            master = master.join(F.broadcast(entries.select(pk)), pk, "left_semi")
-        pairs = _side(entries, pk, "new").join(_side(master, pk, "old"), pk, "left")
-    elif mode == "masters":
-        pairs = _side(entries, pk, "new").join(_side(master, pk, "old"), pk, "full_outer")
-        differs = reduce(or_, [~_old(c).eqNullSafe(_new(c)) for c in entries.columns])
-        pairs = pairs.where(differs)
-    else:
+def _matched(left: DataFrame, right: DataFrame, pk: str, how: str) -> DataFrame:
+    """Joined on the key, null keys with each other; the key comes from whichever side has it."""
+    both = left.join(right.withColumnRenamed(pk, "_key"), F.col(pk).eqNullSafe(F.col("_key")), how)
+    return both.withColumn(pk, F.coalesce(pk, "_key")).drop("_key") if how == "full_outer" else both.drop("_key")
+
+
+def edits(master: DataFrame, entries: DataFrame, pk: str, mode: str) -> DataFrame:
+    """(pk, edit_type) of the keys that are logged: all keys of entries, or those whose rows differ between
+    two masters. Only key and digest of a row move; they combine per key before the shuffle."""
+    if mode not in ("entries", "masters"):
         raise ValueError(f"mode must be 'entries' or 'masters', not {mode!r}")
-    old_rows, new_rows = F.col("_old_rows"), F.col("_new_rows")
-    repeated = (F.coalesce(old_rows, F.lit(1)) > 1) | (F.coalesce(new_rows, F.lit(1)) > 1)
-    complaint = F.raise_error(F.concat(F.lit("repeated key: "), F.col(pk).cast("string")))
-    edit_type = (
+    columns = entries.columns
+
+    def side(df: DataFrame, new: bool) -> DataFrame:
+        return df.select(pk, F.lit(new).alias("_new"), *_digests(columns))
+
+    new, old = F.col("_new"), ~F.col("_new")
+    keys = side(master, False).unionByName(side(entries, True)).groupBy(pk).agg(
+        F.count_if(old).alias("_old_rows"), F.count_if(new).alias("_new_rows"),
+        *[F.max(F.when(which, F.col(d))).alias(f"{d}_{name}") for d in ("_d1", "_d2") for which, name in ((old, "old"), (new, "new"))])
+    differs = ~(F.col("_d1_old").eqNullSafe(F.col("_d1_new")) & F.col("_d2_old").eqNullSafe(F.col("_d2_new")))
+    repeated = (F.col("_old_rows") > 1) | (F.col("_new_rows") > 1)
+    complaint = F.raise_error(F.concat(F.lit("repeated key: "), F.coalesce(F.col(pk).cast("string"), F.lit("null"))))
+    return keys.where(F.col("_new_rows") > 0 if mode == "entries" else repeated | differs).select(pk, (
         F.when(repeated, complaint.cast("string"))
-        .when(old_rows.isNull(), "C").when(new_rows.isNull(), "D").otherwise("U")
-    )
-    return pairs.withColumn("edit_type", edit_type).drop("_old_rows", "_new_rows")
+        .when(F.col("_old_rows") == 0, "C").when(F.col("_new_rows") == 0, "D").otherwise("U")
+    ).alias("edit_type"))
+
+
+def pair_rows(master: DataFrame, entries: DataFrame, pk: str, mode: str) -> DataFrame:
+    """Key, ``old__*`` and ``new__*`` columns and ``edit_type``: entries with their master
+    rows, or the rows of two masters that differ. Whole rows move only for logged keys."""
+    if mode == "entries" and is_small(entries.select(pk)):
+        # A batch of checked size: cut the master to the touched keys without a shuffle.
+        touched = F.broadcast(entries.select(F.col(pk).alias("_key")).distinct())
+        master = master.join(touched, F.col(pk).eqNullSafe(F.col("_key")), "left_semi")
+    found = written(edits(master, entries, pk, mode), "edits")
+    listed = F.broadcast(found) if is_small(found) else found
+
+    def side(df: DataFrame, name: str, types: list[str]) -> DataFrame:
+        rows = _matched(df, listed.where(F.col("edit_type").isin(types)), pk, "inner")
+        return rows.select(pk, F.col("edit_type").alias(f"_{name}_type"), *[F.col(c).alias(f"{name}__{c}") for c in df.columns])
+
+    pairs = _matched(side(entries, "new", ["C", "U"]), side(master, "old", ["U", "D"]), pk, "full_outer")
+    return pairs.withColumn("edit_type", F.coalesce("_new_type", "_old_type")).drop("_new_type", "_old_type")
 
 
 def _compact(items: list[Column]) -> Column:
@@ -121,7 +136,8 @@ def updates(
     """Update log (one row per created, updated or deleted key) and warning log.
 
     Both tables share one schema; ``pk`` must be unique in each, a repeated key fails the
-    job. Ranges come from ``bounds`` or the master's percentiles. A text value is novel when
+    job; a null key is a key. Keys and row digests are compared first, and whole rows are fetched and
+    written to the shared folder for logged keys only: nothing stays cached. Ranges come from ``bounds`` or the master's percentiles. A text value is novel when
     its column in the master never holds it; only the distinct changed values are looked up.
     """
     columns = entries.columns
@@ -131,7 +147,7 @@ def updates(
     strings = string_columns(entries, pk)
     bounds = normal_ranges(master, numeric) if bounds is None else bounds
 
-    pairs = pair_rows(master, entries, pk, mode).persist(StorageLevel.MEMORY_AND_DISK)
+    pairs = written(pair_rows(master, entries, pk, mode), "pairs")
     is_update, is_deleted = F.col("edit_type") == "U", F.col("edit_type") == "D"
 
     changed = {c: ~_old(c).eqNullSafe(_new(c)) for c in columns}
@@ -151,10 +167,9 @@ def updates(
             F.concat(F.lit(f"{c} value is out of range (val = "), float_text(value), F.lit(")")),
         ))
 
-    held = [pairs]
     log = pairs.withColumn("_novel", F.lit(None).cast("array<string>"))
     if strings:
-        log = pairs.join(_novel_values(pairs, master, strings, pk, held), pk, "left")
+        log = _matched(pairs, _novel_values(pairs, master, strings, pk), pk, "left")
 
     def newer(c: str | None) -> Column:
         return F.when(is_deleted, _old(c)).otherwise(_new(c)) if c in columns else F.lit(None).cast("string")
@@ -184,11 +199,10 @@ def updates(
         F.size("_range").alias("out_of_range"),
         F.concat("_range", "_novel").alias("warnings"),
     ).drop("_range", "_novel")
-    return AuditLogs(log, warnings_of(log, pk), held)
+    return AuditLogs(log, warnings_of(log, pk))
 
 
-def _novel_values(pairs: DataFrame, master: DataFrame, strings: list[str], pk: str,
-                  held: list[DataFrame]) -> DataFrame:
+def _novel_values(pairs: DataFrame, master: DataFrame, strings: list[str], pk: str) -> DataFrame:
     """(pk, _novel): warnings of values the master does not hold, in column order. A value
     equal to its old one is in the master, so only changed and created cells are looked at."""
     created, update = F.col("edit_type") == "C", F.col("edit_type") == "U"
@@ -199,15 +213,18 @@ def _novel_values(pairs: DataFrame, master: DataFrame, strings: list[str], pk: s
         )
         for i, c in enumerate(strings)
     ]))))
-    values, small = sized(cells.select("_col", "_val").distinct(), held)
+    values = written(cells.select("_col", "_val").distinct(), "values")
+    small = is_small(values)
     known = master.select(F.inline(F.array(*[
         F.struct(F.lit(i).alias("_col"), F.col(c).alias("_val")) for i, c in enumerate(strings)
     ])))
     # Few changed values filter the master where it is read; many are compared with its
     # distinct values, which combine before the shuffle.
     known = known if small else known.distinct()
-    known = known.join(values, ["_col", "_val"], "left_semi").distinct()
-    unseen = checked_broadcast(values.join(known, ["_col", "_val"], "left_anti"), held)
+    known = known.join(F.broadcast(values) if small else values, ["_col", "_val"], "left_semi").distinct()
+    unseen = values.join(known, ["_col", "_val"], "left_anti")
+    # no more than the values, which were measured
+    unseen = F.broadcast(unseen) if small else unseen
     names = F.array(*[F.lit(c) for c in strings])
     return (
         cells.join(unseen, ["_col", "_val"])
@@ -228,8 +245,6 @@ def warnings_of(log: DataFrame, pk: str) -> DataFrame:
 
 def parcels_affected(log: DataFrame, parcels: DataFrame, pk: str = "recid", geom: str = "geom_id") -> DataFrame:
     """Number of parcels with a geometry per logged key; null where the key has none listed."""
-    if is_small(log.select(pk)):
-        parcels = parcels.join(F.broadcast(log.select(pk).distinct()), pk, "left_semi")
     counts = parcels.groupBy(pk).agg(F.count(geom).alias("num_parcels_affected"))
     return log.join(counts, pk, "left")
 
@@ -260,11 +275,9 @@ def table_as_of(master: DataFrame, log: DataFrame, cutoff, pk: str = "recid") ->
     are kept by an anti join.
     """
     order = F.struct("edit_timestamp", *[c for c in ("batch_id", "main_version") if c in log.columns])
-    last = (
-        log.where(F.col("edit_timestamp") < cutoff)
-        .groupBy(pk).agg(F.max_by(F.struct("edit_type", "new_row"), order).alias("e"))
-    )
-    last = checked_broadcast(last.select(pk, "e.edit_type", "e.new_row"))
-    kept = master.join(last, pk, "left_anti")
-    written = last.where(F.col("edit_type") != "D").select("new_row.*")
-    return kept.unionByName(written.select(*master.columns))
+    edited = log.where(F.col("edit_timestamp") < cutoff)
+    # measured and kept by key only; rows are neither
+    kept = master.join(checked_broadcast(edited.select(pk).distinct()), pk, "left_anti")
+    last = edited.groupBy(pk).agg(F.max_by(F.struct("edit_type", "new_row"), order).alias("e")).select("e.*")
+    rows = last.where(F.col("edit_type") != "D").select("new_row.*")
+    return kept.unionByName(rows.select(*master.columns))

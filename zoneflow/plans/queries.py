@@ -17,6 +17,7 @@ from zoneflow.operators import (
 )
 from zoneflow.plans.registry import ORACLES, QUERIES, register, table  # noqa: F401
 from zoneflow.plans.rules import RuleSet
+from zoneflow.session import hold
 from zoneflow.sources import corpus, images, logs, tables
 
 def dealt(df: DataFrame) -> DataFrame:
@@ -337,7 +338,8 @@ def master_and_entries(spark, sf_dir):
         F.col("o_orderkey").cast("string").alias("recid"), F.col("o_orderpriority").alias("city_name"),
         F.col("o_orderstatus").alias("zn_code"), F.col("o_totalprice").alias("max_dua"),
         "units_per_lot", "minimum_lot_sqft", F.lit("clerk").alias("editor"),
-        F.col("o_orderdate").cast("timestamp").alias("edit_date")).persist()
+        F.col("o_orderdate").cast("timestamp").alias("edit_date"))
+    master = hold(master)
     zn, city = F.col("zn_code"), F.col("city_name")
     day = F.expr("INTERVAL 1 DAY")
     edited = master.select(
@@ -577,7 +579,7 @@ NONE_SQL = f"""none_lines AS (SELECT * FROM lines l
 def held_hits(spark, sf_dir):
     """Lines and hits; hits are kept for the several passes over them."""
     lines = doc_lines(spark, sf_dir)
-    return lines, extract.attributes(lines, CORPUS).persist()
+    return lines, hold(extract.attributes(lines, CORPUS))
 
 
 @register("none_class_lines", f"WITH {hits_sql(CORPUS)}, {NONE_SQL} SELECT doc_id, line_no, line FROM none_lines")
@@ -598,8 +600,8 @@ ranked AS (SELECT n.*, m, row_number() OVER (PARTITION BY city ORDER BY {md5_pla
 SELECT city, attribute, line AS context FROM hits
 UNION ALL SELECT city, 'none', line FROM ranked WHERE rn <= round_even(m, 0)""")
 def downsample_median(spark, sf_dir):
-    hits = hits_of(spark, sf_dir).persist()
-    none = training.none_lines_of(documents(spark, sf_dir), CORPUS).persist()
+    hits = hold(hits_of(spark, sf_dir))
+    none = hold(training.none_lines_of(documents(spark, sf_dir), CORPUS))
     return training.balanced(none, hits, 11)
 
 

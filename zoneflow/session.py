@@ -56,12 +56,12 @@ def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BRO
     return found["rows"] <= max_rows and found["bytes"] <= max_bytes
 
 
-#: Small frames kept for broadcasts whose caller did not ask to hold them.
+#: Frames kept until ``release``: small ones for broadcasts, and those a caller holds.
 _HELD: list[DataFrame] = []
 
 
 def release() -> None:
-    """Drop the small frames kept for broadcasts, once the results that use them are written."""
+    """Drop the frames kept so far, once the results that use them are written."""
     while _HELD:
         _HELD.pop().unpersist()
 
@@ -102,6 +102,19 @@ def shared_path(spark: SparkSession, what: str) -> str:
     return f"{folder.rstrip('/')}/{what}-{uuid.uuid4().hex}"
 
 
+def written(df: DataFrame, what: str) -> DataFrame:
+    """The frame as a table in the shared folder: read by several steps, made once, never cached."""
+    path = shared_path(df.sparkSession, what)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def hold(df: DataFrame) -> DataFrame:
+    """The frame persisted until ``release``, for callers whose result is evaluated later."""
+    _HELD.append(df.persist(StorageLevel.MEMORY_AND_DISK))
+    return df
+
+
 def nan_to_null(df: DataFrame) -> DataFrame:
     """Spark orders NaN above every number, so range checks need NULL instead."""
     floats = {f.name for f in df.schema.fields if f.dataType.typeName() in ("double", "float")}

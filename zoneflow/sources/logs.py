@@ -11,6 +11,9 @@ from pyspark.sql import types as T
 from zoneflow.functions import text as tx
 
 STAMP = "yyyy-MM-dd_HH-mm"
+#: Times in stored rows keep their microseconds; rows stored without are read too.
+ROW_STAMP = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+READ_STAMP = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][.SSS][XXX]"
 
 # Columns of the stored logs.
 UPDATE_LOG = (
@@ -39,7 +42,7 @@ def stored_updates(log: DataFrame, pk: str = "recid") -> DataFrame:
         F.col("edit_timestamp").cast("string").alias("edit_timestamp"),
         F.col("edit_type").alias("edit_type__c_u_d__"),
         F.col("main_version").cast("string").alias("main_version"),
-        F.to_json("old_row").alias("old_vals"), F.to_json("new_row").alias("new_vals"),
+        *[F.to_json(f"{side}_row", {"timestampFormat": ROW_STAMP}).alias(f"{side}_vals") for side in ("old", "new")],
     )
 
 
@@ -55,19 +58,26 @@ def typed_updates(stored: DataFrame, row_schema: T.StructType, pk: str = "recid"
         F.col("edit_type__c_u_d__").alias("edit_type"),
         F.try_to_timestamp("edit_timestamp").alias("edit_timestamp"),
         "main_version",
-        F.from_json("new_vals", row_schema).alias("new_row"),
+        F.from_json("new_vals", row_schema, {"timestampFormat": READ_STAMP}).alias("new_row"),
     )
 
 
-def create_log_table(spark: SparkSession, name: str, schema: str) -> None:
+def create_log_table(spark: SparkSession, name: str, schema: str, path: str | None = None) -> None:
+    """An empty log table in the place of any of that name; its files lie in ``path``, if given."""
     spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.createDataFrame([], schema).write.format("parquet").saveAsTable(name)
+    empty = spark.createDataFrame([], schema).write.format("parquet")
+    (empty.option("path", path) if path else empty).saveAsTable(name)
 
 
 def append_log(stored: DataFrame, name: str) -> None:
     stored.write.format("parquet").mode("append").saveAsTable(name)
 
 
+def sorted_log(log: DataFrame, by: list[str]) -> DataFrame:
+    """The log in order: dealt by range, so that its parts follow each other, and sorted within them."""
+    return log.repartitionByRange(*by).sortWithinPartitions(*by)
+
+
 def file_stamp(name: Column) -> Column:
     """Timestamp in ``kind_yy-mm-dd_hh-mm.csv``; years 69-99 belong to the 1900s."""
     text = F.regexp_extract(name, r"^[^_]*_(?:log_)?([0-9][^.]*)\.csv$", 1)
@@ -99,3 +109,7 @@ def log_name(kind: str, when: datetime) -> str:
 def write_frequencies(counts: DataFrame, path: str) -> None:
     """City counts kept beside a model, for encoding rows it sees later."""
     counts.write.mode("overwrite").parquet(path)
+
+
+def read_frequencies(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path)

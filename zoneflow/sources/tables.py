@@ -105,7 +105,9 @@ def query(spark: SparkSession, sql: str, **tables: DataFrame) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    """Texts as they are, with the spaces at their ends."""
+    plain = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    df.write.mode("overwrite").options(**plain).csv(path)
 
 
 def write_ndjson(df: DataFrame, path: str) -> None:

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -13,8 +12,10 @@ from zoneflow.operators import audit
 from zoneflow.sources import logs
 
 
-def read_entries(spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int | None = None) -> DataFrame:
-    reader = spark.readStream.schema(schema).option("multiLine", True)
+def read_entries(spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int | None = None,
+                 multi_line: bool = True) -> DataFrame:
+    """Entries as they arrive: a JSON array a file, or without ``multi_line`` an object a line."""
+    reader = spark.readStream.schema(schema).option("multiLine", multi_line).option("timestampFormat", logs.READ_STAMP)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.json(path)
@@ -31,21 +32,16 @@ def audit_entries(
     """Compare every arriving batch with the master and write both logs below ``out``.
 
     The master is read anew per batch through ``master()``. Logs are partitioned by
-    ``batch_id`` and a batch overwrites only its own partition, so a batch run again after a
-    failure leaves one copy.
+    ``batch_id`` and a batch replaces its own partition whole, also by an empty one, so a batch run
+    again leaves one copy and no warning of an earlier run.
     """
     def write(df: DataFrame, batch_id: int, name: str) -> None:
-        (
-            df.withColumn("batch_id", F.lit(batch_id))
-            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy("batch_id").parquet(f"{out}/{name}")
-        )
+        df.write.mode("overwrite").parquet(f"{out}/{name}/batch_id={batch_id}")
 
     def one_batch(batch: DataFrame, batch_id: int) -> None:
         found = audit.updates(master(), batch, pk=pk, **options)
         write(logs.stored_updates(found.update_log, pk), batch_id, "updates")
         write(logs.stored_warnings(found.warning_log, pk), batch_id, "warnings")
-        found.release()
 
     return (
         entries.writeStream.foreachBatch(one_batch)
