@@ -22,6 +22,15 @@ def test_text_stats(spark):
     assert got == [(["lots", "units"], 10, 2, 5.0), ([], 0, 0, None)]
 
 
+def test_lemmas_are_joined(spark):
+    df = spark.createDataFrame([(1, "Lots lots units lot"), (2, None), (3, "none listed"), (None, "units")], "k int, context string")
+    lemmas = spark.createDataFrame([("lots", "lot"), ("UNITS", "unit"), ("units", "unity"), (None, "x"), ("unused", "y")], "word string, lemma string")
+    got = features.text_stats(df.where("k is not null"), "context", lemmas=lemmas, key=["k"])
+    assert {r.k: (r.tokens, r.char_count) for r in got.collect()} == {
+        1: (["lot", "lot", "unit", "lot"], 16), 2: ([], 0), 3: (["none", "listed"], 11)}
+    assert "keys: [" not in got._jdf.queryExecution().toString()
+
+
 def test_encodings(spark, rows):
     assert {r.label for r in rows.select("label").collect()} == {float(c) for c in LABEL_CODES.values()}
     assert rows.first().city_share == pytest.approx(1 / 3)
@@ -70,6 +79,21 @@ def test_search_and_leaderboard(rows):
     data.unpersist()
 
 
+def test_rounds_read_off_one_fit_are_those_of_separate_fits(spark, rows):
+    grid = {"stepSize": [0.1], "maxDepth": [2], "minInstancesPerNode": [1], "maxIter": [1, 3], "subsamplingRate": [0.6]}
+    data = features.feature_stages(size=32).fit(rows).transform(rows).select("context", "label", "features")
+    data = models.with_folds(data.where("label < 3"), 2, 3, ["context"]).persist()
+    apart = models.search(lambda p: models.boosting(1, **p), data, grid, n=2, folds=2)
+    assert models.search_boosted(data, grid, n=2, folds=2) == apart
+    estimator = dict(stepSize=0.1, maxDepth=2, subsamplingRate=0.6)
+    long, short = (models.boosting(1, maxIter=n, **estimator).fit(data) for n in (3, 1))
+    cut = models.after_rounds(long, 1)
+    assert [m.toDebugString.split("\n", 1)[1] for m in cut.models] == [m.toDebugString.split("\n", 1)[1] for m in short.models]
+    raw = [[r[0] for r in m.transform(data).orderBy("context").select(F.col("rawPrediction").cast("string")).collect()] for m in (cut, short)]
+    assert raw[0] == raw[1]
+    data.unpersist()
+
+
 def test_counted_vocabulary_has_no_limit(spark):
     words = " ".join(f"w{i}" for i in range(5000))
     df = spark.createDataFrame([("x", words), ("y", None), ("z", "")], "city string, context string").withColumn("city_share", F.lit(0.5))

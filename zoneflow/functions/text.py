@@ -209,15 +209,11 @@ def strip_punctuation(c: Column | str) -> Column:
     return F.regexp_replace(flat_spaces(c), PUNCTUATION, "")
 
 
-def words(c: Column | str, stop_words: list[str] | None = None,
-          lemmas: dict[str, str] | None = None) -> Column:
-    """Words of a line without punctuation and stop words, optionally lemmatised."""
+def words(c: Column | str, stop_words: list[str] | None = None) -> Column:
+    """Words of a line without punctuation and stop words."""
     found = F.split(strip_punctuation(c), " +")
     if stop_words:
         found = F.filter(found, lambda w: (w != "") & ~F.lower(w).isin(stop_words))
     else:
         found = F.filter(found, lambda w: w != "")
-    if lemmas:
-        table = F.create_map(*[F.lit(x) for pair in lemmas.items() for x in pair])
-        found = F.transform(found, lambda w: F.coalesce(F.element_at(table, F.lower(w)), w))
     return found

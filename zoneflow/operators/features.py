@@ -23,12 +23,31 @@ def stop_words() -> list[str]:
     return StopWordsRemover.loadDefaultStopWords("english")
 
 
+def lemmatised(df: DataFrame, lemmas: DataFrame, key: list[str], tokens: str = "tokens") -> DataFrame:
+    """``tokens`` with each word that the table (word, lemma) lists in lower case replaced by its lemma.
+
+    Each distinct word is looked up once: words combine before the shuffle, so a frequent one is one row,
+    and only rows that hold a listed word have their words put together again, by position. ``key`` must
+    identify rows. A word listed more than once takes its least lemma.
+    """
+    table = lemmas.select(F.lower("word").alias("_word"), F.col("lemma").alias("_lemma")).where("_word is not null")
+    table = table.groupBy("_word").agg(F.min("_lemma").alias("_lemma"))
+    each = df.select(*key, F.posexplode(tokens).alias("_pos", "_token")).withColumn("_word", F.lower("_token"))
+    used = each.select("_word").distinct().join(table, "_word")
+    found = each.select(*key, "_pos", "_word").join(checked_broadcast(used), "_word")
+    per_row = found.groupBy(*key).agg(F.map_from_entries(F.collect_list(F.struct("_pos", "_lemma"))).alias("_lemmas"))
+    put = F.transform(tokens, lambda w, i: F.coalesce(F.element_at("_lemmas", i), w))
+    joined = df.join(per_row, key, "left")
+    return joined.withColumn(tokens, F.when(F.col("_lemmas").isNull(), F.col(tokens)).otherwise(put)).select(*df.columns)
+
+
 def text_stats(df: DataFrame, column: str = "context", stop: list[str] | None = None,
-               lemmas: dict[str, str] | None = None) -> DataFrame:
+               lemmas: DataFrame | None = None, key: list[str] | None = None) -> DataFrame:
     """``tokens`` plus characters (spaces included), words and characters per word of the
-    text left after punctuation and stop words."""
+    text left after punctuation and stop words. ``lemmas`` (word, lemma) needs the rows' ``key``."""
+    words = df.withColumn("tokens", F.coalesce(tx.words(column, stop), F.array().cast("array<string>")))
     return (
-        df.withColumn("tokens", F.coalesce(tx.words(column, stop, lemmas), F.array().cast("array<string>")))
+        (words if lemmas is None else lemmatised(words, lemmas, key))
         .withColumn("char_count", F.length(F.array_join("tokens", " ")))
         .withColumn("word_count", F.size("tokens"))
         .withColumn("avg_word_length", F.try_divide("char_count", "word_count"))
