@@ -56,7 +56,10 @@ def test_empty_tables(spark):
 def brute_lines(rows, least):
     split = [(i, (t or "").split("\n")) for i, t, *_ in rows]
     key = lambda x: x.strip(" \t\n\x0b\x0c\r").translate(UP)
-    seen = Counter(k for _, ls in split for k in {key(x) for x in ls} if k)
+    docs = defaultdict(set)
+    for at, (i, ls) in enumerate(split):
+        docs[("row", at) if i is None else i] |= {key(x) for x in ls if key(x)}
+    seen = Counter(k for keys in docs.values() for k in keys)
     out = []
     for i, ls in split:
         kept = [x for x in ls if seen[key(x)] < least or not key(x)]
@@ -73,6 +76,13 @@ def test_lines(spark, messy_rows):
         assert order(got) == order(brute_lines(rows, least))
 
 
+def test_rows_of_one_id_are_one_document(spark):
+    rows = [(1, "copied\nline")] * 12 + [(None, "no id")] * 10 + [(i % 3, f"spread\n{i}") for i in range(20)]
+    got = line_dedup.line_dedup(frame(spark, rows)).collect()
+    assert order(got) == order(brute_lines(rows, 10))
+    assert {r["n_dropped"] for r in got if r["doc_id"] == 1} == {0} and {r["n_dropped"] for r in got if r["doc_id"] is None} == {1}
+
+
 def test_native_plans(spark, messy_rows):
     for df in (exact_dedup.exact_dedup(frame(spark, messy_rows)), line_dedup.line_dedup(frame(spark, messy_rows))):
         assert "Python" not in df._jdf.queryExecution().toString()

@@ -2,14 +2,17 @@
 
 1. Lines are exploded, normalised and hashed (128 bits). A document's distinct hashes are taken
    inside its row, so counting documents per hash is one aggregation that combines before its
-   shuffle, however common a line is.
+   shuffle, however common a line is. Ids that several rows share are found first, by id alone; the
+   hashes of such rows are made distinct per id, so that these rows count as one document.
 2. The hashes over the threshold are written once. If they count at most ``BROADCAST_ROWS`` the
    lines are matched by broadcast, otherwise by a shuffled join; the rows are the same.
 3. Only the positions of dropped lines are gathered per document and joined to the texts, which
    are put together again from the positions that stay.
 
-Text None counts as one empty line. Empty keys are never dropped. Each row is a document: repeated
-rows count repeatedly. Columns other than doc_id and text are ignored.
+Text None counts as one empty line. Empty keys are never dropped. Rows of one id are one document for
+the count and keep their own rows in the result; each row without an id is a document. Texts of any
+length are split in place. An empty table gives an empty result. Columns other than doc_id and text are
+ignored.
 """
 
 from __future__ import annotations
@@ -31,8 +34,15 @@ def _hash(line):
 
 
 def frequent_lines(docs: DataFrame, min_docs: int) -> DataFrame:
-    own = F.array_compact(F.array_distinct(F.transform(_lines(), _hash)))
-    return (docs.select(F.explode(own).alias("h")).groupBy(F.unhex("h").alias("h"))
+    own = F.explode(F.array_compact(F.array_distinct(F.transform(_lines(), _hash)))).alias("h")
+    ids = docs.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
+    shared = settle(ids, "shared-ids")
+    if shared.isEmpty():
+        hashes = docs.select(own)
+    else:
+        once = docs.join(shared, "doc_id", "left_anti").select(own)
+        hashes = once.unionByName(docs.join(shared, "doc_id", "left_semi").select("doc_id", own).distinct().select("h"))
+    return (hashes.groupBy(F.unhex("h").alias("h"))
             .agg(F.count("*").alias("n_docs")).where(F.col("n_docs") >= min_docs))
 
 
