@@ -61,6 +61,16 @@ def settle(df: DataFrame, what: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def in_order(df: DataFrame, row: str):
+    """What orders the rows that lie in struct column ``row`` as ``df`` has them; maps, which have no order,
+    count by their JSON."""
+    def cell(f: T.StructField):
+        c = F.col(row).getField(f.name)
+        return F.to_json(F.struct(c)) if "map<" in f.dataType.simpleString() else c
+
+    return F.struct(*[cell(f) for f in df.schema.fields])
+
+
 def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str | T.StructType,
               rows: int = ARROW_ROWS) -> DataFrame:
     """mapInArrow in slices of at most ``rows`` rows, so that what a task holds stays bounded."""

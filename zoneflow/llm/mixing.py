@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import settle
+from .common import in_order, settle
 
 PHI = (math.sqrt(5) - 1) / 2
 STRETCH = 4096
@@ -155,6 +155,6 @@ def copies(docs: DataFrame, **params) -> DataFrame:
     row_key = F.struct("doc_id", F.col("source").cast("string").alias("source"), F.xxhash64("doc_id", "text").alias("place"))
     rows = docs.select(row_key.alias("key"), F.struct(*docs.columns).alias("row"))
     # nulls within equal structs are equal; merged at every size, so that disk use grows in proportion
-    rows = rows.join(times.hint("merge"), "key").withColumn("number", F.row_number().over(Window.partitionBy("key").orderBy("row")))
+    rows = rows.join(times.hint("merge"), "key").withColumn("number", F.row_number().over(Window.partitionBy("key").orderBy(in_order(docs, "row"))))
     rows = rows.withColumn("n", F.get("times", F.col("number") - 1)).where("n > 0")
     return rows.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("n").cast("int")))).select("row.*")
