@@ -15,7 +15,8 @@ columns of documents.
 Near duplicates follow the simhash rules of ``zoneflow.llm.simhash`` and are decided by row: of a group
 the row with the least (id, hash of the text) stays, null ids last. So rows go only for a near copy,
 never for an id, null or not, that they share with an unlike text. Of rows equal in id and text the
-least by all columns stays.
+least by all columns stays (maps by their JSON). Ids are integers, or null. Columns beside those of documents go
+along, whatever their names; an empty table passes through all stages.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from zoneflow.llm import decontaminate, language_id, mixing, simhash, token_files
-from zoneflow.llm.common import new_dir, settle
+from zoneflow.llm.common import in_order, new_dir, settle
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -35,20 +36,23 @@ def find_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     if not learned:
         return docs.where(language_id.lettered(spark)("text"))
     found = language_id.predictor(spark, learned)
-    return docs.where(found("text").getField("lang_pred") != "und")
+    named = found("text").getField("lang_pred") != "und"
+    # a learned language may bear that name
+    return docs.where(named | language_id.lettered(spark)("text") if "und" in learned else named)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows = settle(simhash.fingerprints(docs, text_hash=F.xxhash64("text")), "fingerprints")
-    first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
-    classes = settle(rows.groupBy("fp").agg(F.min(first).alias("head")), "classes")
+    least = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
+    classes = settle(rows.groupBy("fp").agg(F.min(least).alias("head")), "classes")
     kept = simhash.roots(classes).groupBy("root").agg(F.min("head").alias("head"))
     kept = kept.select(F.struct("head.doc_id", "head.text_hash").alias("key"))
     given = docs.select(F.struct(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash")).alias("key"),
                         F.struct(*docs.columns).alias("row"))
     # nulls within equal structs are equal; merged at every size, so that disk use grows in proportion
     left = given.join(kept.hint("merge"), "key", "left_semi")
-    return left.groupBy("key").agg(F.min("row").alias("row")).select("row.*")
+    first = F.min_by("row", in_order(docs, "row")) if "map<" in docs.schema.simpleString() else F.min("row")
+    return left.groupBy("key").agg(first.alias("row")).select("row.*")
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
