@@ -7,7 +7,7 @@ import corpus_pipeline
 from zoneflow.llm import decontaminate, language_id, mixing
 from zoneflow.llm.queries import ORACLES, QUERIES
 
-from .conftest import SCHEMA, SF
+from .conftest import SCHEMA, SF, with_clashes
 from .test_simhash import brute_fingerprint, brute_groups
 from .test_tokens import brute_files
 
@@ -39,6 +39,30 @@ def test_language_stage_without_languages(spark):
     assert rows(got) == sorted([given[0], given[3]], key=repr)
 
 
+def test_a_language_may_be_called_und(spark):
+    given = [(i, f"some clean text number {i}", "und" if i % 2 else "en", "s", 9) for i in range(30)] + [(90, "12 !", "und", "s", 4)]
+    got = corpus_pipeline.find_language(spark, spark.createDataFrame(given, SCHEMA), str(SF))
+    assert {r["doc_id"] for r in got.collect()} == set(range(30))
+
+
+def test_stages_with_map_and_clashing_columns(spark):
+    from pyspark.sql import functions as F
+    given = [(i % 9, f"text {i % 4} of many words " * 3, "en", f"s{i % 2}", 9) for i in range(24)]
+    docs = with_clashes(spark.createDataFrame(given, SCHEMA)).withColumn("tags", F.create_map(F.lit("k"), F.col("n_chars")))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, str(SF)).cache()
+        assert "tags" in docs.columns and docs.count() > 0, name
+    # one row of each (id, text) class's group is left, and the mix gives it once or twice
+    assert docs.select("doc_id", "text").distinct().count() <= 4
+
+
+def test_stages_of_nothing(spark):
+    docs = spark.createDataFrame([], SCHEMA)
+    for _, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, str(SF))
+        assert docs.count() == 0
+
+
 def test_near_dedup_stage(steps):
     before = steps[0][1].collect()
     keep = {i for i, _, c in brute_groups([(r["doc_id"], brute_fingerprint(r["text"])) for r in before]) if i == c}
@@ -115,6 +139,6 @@ def test_run_reads_documents(spark):
 
 
 def test_registered():
-    assert len([q for q in QUERIES if q.startswith("op")]) == 10 and set(ORACLES) <= set(QUERIES)
+    assert len([q for q in QUERIES if q.startswith("op")]) == 13 and set(ORACLES) <= set(QUERIES)
     assert public_tokenizers.path(corpus_pipeline.TOKENIZER)
     assert language_id.SIZE == 300
