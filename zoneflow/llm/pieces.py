@@ -3,7 +3,7 @@
 In such a tokenizer a pre-token never reaches across a space that stands before a visible
 character: the space opens the next pre-token. So a text may be cut at these spaces and its pieces
 encoded one by one. Each worker keeps what it has encoded; a piece is first looked up, then built
-from its pre-tokens, and only pre-tokens not seen before go to the library. A pre-token that opens
+from its pre-tokens, and only pre-tokens not held go to the library. A pre-token that opens
 with a space is kept as the piece it would be alone, so it is held once. A text that holds one of
 the vocabulary's special strings is encoded whole.
 """
@@ -36,23 +36,22 @@ def byte_letters() -> dict[int, str]:
 
 
 class _Cache(dict):
-    """Computes what is missing. At ``limit`` entries it stops growing, and after as many misses
-    again it starts anew, so its size is bounded and it follows a change of content."""
+    """Computes what is missing. At ``limit`` entries they become the older of two generations, from which
+    what is still used moves on; so its size is bounded and it follows a change of content."""
 
     def __init__(self, compute: Callable[[str], Any], limit: int, known: dict | None = None):
         super().__init__(known or {})
-        self.compute, self.limit, self.known, self.missed = compute, limit, known or {}, 0
+        self.compute, self.limit, self.known, self.older = compute, limit + len(known or {}), known or {}, {}
 
     def __missing__(self, key: str):
-        found = self.compute(key)
-        if len(self) < self.limit:
-            self[key] = found
-        else:
-            self.missed += 1
-            if self.missed > self.limit:
-                self.clear()
-                self.update(self.known)
-                self.missed = 0
+        found = self.older.get(key)
+        if found is None:
+            found = self.compute(key)
+        if len(self) >= self.limit:
+            self.older = dict(self)
+            self.clear()
+            self.update(self.known)
+        self[key] = found
         return found
 
 
@@ -60,10 +59,10 @@ class Encoder:
     """``of(text)``: the joined values of the text's pieces.
 
     ``value`` turns the ids of a pre-token into what is kept, ``joined`` adds such values up.
-    ``known`` holds values of frequent pre-tokens. Memory is bounded by ``limit`` entries a cache.
+    ``known`` holds values of frequent pre-tokens. Memory is bounded by ``limit`` entries a cache and generation.
     """
 
-    def __init__(self, path: str, value: Callable, joined: Callable, limit: int = 500_000, known: dict | None = None):
+    def __init__(self, path: str, value: Callable, joined: Callable, limit: int = 700_000, known: dict | None = None):
         self.library = Tokenizer.from_file(path)
         if self.library.normalizer is not None or not isinstance(self.library.pre_tokenizer, ByteLevel):
             raise ValueError("pieces are exact for byte-level vocabularies without normalizer only")
@@ -71,7 +70,7 @@ class Encoder:
         self.letters, self.value, self.joined = byte_letters(), value, joined
         known = known or {}
         # pieces without their leading space; pre-tokens that have none
-        self.pieces = _Cache(lambda piece: self.piece(" " + piece), limit,
+        self.pieces = _Cache(self.spaced, limit,
                              {t[1:]: v for t, v in known.items() if t[0] == " " and t.strip()})
         self.bare = _Cache(self.pre_token, limit // 4, {t: v for t, v in known.items() if t[0] != " "})
 
@@ -82,6 +81,12 @@ class Encoder:
     def whole(self, text: str):
         return self.value(self.library.encode(text, add_special_tokens=False).ids)
 
+    def spaced(self, word: str):
+        """The piece made of a space and the word; letters of the first 128 characters are one pre-token."""
+        if word.isascii() and word.isalpha():
+            return self.value([t.id for t in self.library.model.tokenize(self.letters[32] + word)])
+        return self.piece(" " + word)
+
     def piece(self, piece: str):
         if not PLAIN.fullmatch(piece):
             return self.whole(piece)
