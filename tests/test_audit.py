@@ -205,6 +205,36 @@ def test_percentile_brackets_match_sorting(spark):
     hot = np.where(rng.random(20000) < 0.4, 0.25, rng.normal(size=20000))
     df = spark.createDataFrame([(float(v),) for v in hot] + [(None,), (float("nan"),)], "v double").repartition(7)
     probs = [0.0, 0.05, 0.25, 0.5, 0.75, 0.95, 1.0]
-    for accuracy in (500, 2000, 10**6):
-        found = stats.exact_percentiles(df, ["v"], probs, accuracy)["v"]
-        assert [found[p] for p in probs] == [float(np.percentile(hot, 100 * p)) for p in probs]
+    want = [float(np.percentile(hot, 100 * p)) for p in probs]
+    for accuracy, bound in ((500, 20_000), (2000, 100), (10**6, 10), (20_000, 1)):
+        found = stats.exact_percentiles(df, ["v"], probs, accuracy, bound)["v"]
+        assert [found[p] for p in probs] == want
+
+
+def test_a_missed_bracket_is_done_again(spark, monkeypatch):
+    df = spark.range(5000).select((F.col("id") * 7919 % 5000).cast("double").alias("v"))
+    narrow, calls = stats._Wanted.narrow, []
+
+    def off(self, grid, accuracy):
+        narrow(self, grid, accuracy)
+        calls.append(self.slack)
+        if len(calls) <= 2:
+            self.low, self.high = 4990.0, 4995.0
+
+    monkeypatch.setattr(stats._Wanted, "narrow", off)
+    found = stats.exact_percentiles(df, ["v"], [0.25, 0.5], bound=50)["v"]
+    assert found == {0.25: 1249.75, 0.5: 2499.5} and max(calls) == 16.0
+
+
+def test_brackets_are_small(spark, monkeypatch):
+    seen, inside = [], stats._inside
+
+    def spy(typed, wanted):
+        seen.extend(typed.where(F.col(w.column).between(w.low, w.high)).count() for w in wanted)
+        return inside(typed, wanted)
+
+    monkeypatch.setattr(stats, "_inside", spy)
+    df = spark.range(60_000).select((F.col("id") * 7919 % 60_000).cast("double").alias("v"))
+    found = stats.exact_percentiles(df, ["v"], [0.1, 0.5, 0.9], bound=200)["v"]
+    assert [found[p] for p in (0.1, 0.5, 0.9)] == [pytest.approx(5999.9), 29999.5, pytest.approx(53999.1)]
+    assert max(seen) <= 300
