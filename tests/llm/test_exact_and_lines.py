@@ -4,6 +4,8 @@ import hashlib
 import re
 from collections import Counter, defaultdict
 
+from pyspark.sql import functions as F
+
 from zoneflow.llm import exact_dedup, line_dedup
 
 from .conftest import frame
@@ -34,17 +36,39 @@ def test_messy_rows(spark, messy_rows):
 def test_colliding_keys_are_told_apart_and_buckets_split(spark):
     rows = [(i, f"text {i % 150}") for i in range(400)]
     docs = frame(spark, rows)
-    index = exact_dedup.build_index(docs, capacity=4, key_bits=6).cache()
+    whole = exact_dedup.build_index(docs, capacity=4, key_bits=6)
+    index = whole.records.cache()
     assert index.count() == 150 and index.where("chain > 0").count() > 0
     per = {(r["bucket"], r["depth"]): r["n"] for r in index.groupBy("bucket", "depth").agg({"*": "count"}).withColumnRenamed("count(1)", "n").collect()}
     assert len(per) > 8
     assert all(b >> d == 1 for b, d in per)
     assert all(n <= 4 or d >= 6 for (_, d), n in per.items())
-    assert order(exact_dedup.lookup(docs, index, 6).collect()) == order(brute_exact(rows))
+    assert order(exact_dedup.lookup(exact_dedup.keyed(docs, 6), whole).collect()) == order(brute_exact(rows))
+
+
+def test_a_wrong_directory_loses_documents(spark):
+    """Documents are found, and texts compared, only where the directory leads."""
+    rows = [(i, f"text {i % 150}") for i in range(400)]
+    docs = frame(spark, rows)
+    keys = exact_dedup.keyed(docs)
+    index = exact_dedup.build_index(docs, capacity=4)
+    astray = index.directory.withColumn("bucket", F.col("bucket") + 1)
+    assert exact_dedup.lookup(keys, index._replace(directory=astray)).count() == 0
+    one = exact_dedup.directory(keys, 1_000)
+    assert one.select("bucket").distinct().count() == 1
+    assert exact_dedup.lookup(keys, index._replace(directory=one)).count() == 0
+
+
+def test_copies_are_added_up_over_parts_of_the_input(spark):
+    rows = [(i, "one  text" if i % 3 else f"other {i}") for i in range(300)]
+    docs = frame(spark, rows).repartition(20)
+    assert order(exact_dedup.exact_dedup(docs, capacity=16).collect()) == order(brute_exact(rows))
+    owners = exact_dedup.build_index(docs, capacity=16).records.groupBy("bucket").count()
+    assert owners.count() > 4
 
 
 def test_directory_without_splits_has_one_bucket(spark):
-    index = exact_dedup.build_index(frame(spark, [(i, str(i)) for i in range(20)]))
+    index = exact_dedup.build_index(frame(spark, [(i, str(i)) for i in range(20)])).records
     assert {(r["bucket"], r["depth"]) for r in index.collect()} == {(1, 0)}
 
 
