@@ -7,7 +7,9 @@ import uuid
 from collections.abc import Callable, Iterator
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,6 +20,9 @@ BROADCAST_ROWS = 200_000
 #: Rows of an Arrow batch; with whole documents in them, the default of 10,000 takes too much memory.
 ARROW_ROWS = 1024
 
+#: Bytes of text in a slice of a batch, unless one row has more.
+SLICE_BYTES = 4_000_000
+
 #: ASCII white space, as a regular expression class and as the characters themselves.
 SPACE_CLASS = r"[\x20\x09-\x0D]"
 SPACE_CHARS = " \t\n\x0b\x0c\r"
@@ -71,13 +76,26 @@ def in_order(df: DataFrame, row: str):
     return F.struct(*[cell(f) for f in df.schema.fields])
 
 
+def slices(batch: pa.RecordBatch, rows: int, limit: int) -> Iterator[tuple[int, int]]:
+    """(start, rows) of slices of at most ``rows`` rows and ``limit`` bytes of text; a longer text is one alone."""
+    size = np.zeros(batch.num_rows, np.int64)
+    for column in batch.columns:
+        if pa.types.is_string(column.type):
+            size += pc.binary_length(column).fill_null(0).to_numpy(zero_copy_only=False)
+    upto, at = np.concatenate([[0], np.cumsum(size)]), 0
+    while at < batch.num_rows:
+        n = min(rows, batch.num_rows - at, max(1, int(np.searchsorted(upto, upto[at] + limit, "right")) - 1 - at))
+        yield at, n
+        at += n
+
+
 def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str | T.StructType,
               rows: int = ARROW_ROWS) -> DataFrame:
-    """mapInArrow in slices of at most ``rows`` rows, so that what a task holds stays bounded."""
+    """mapInArrow in slices of at most ``rows`` rows and ``SLICE_BYTES``, so that what a task holds stays bounded."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, rows):
-                yield from fn(batch.slice(at, rows))
+            for at, n in slices(batch, rows, SLICE_BYTES):
+                yield from fn(batch.slice(at, n))
 
     return df.mapInArrow(run, schema)
 
