@@ -2,18 +2,23 @@
 
 A seed is a fixed mask over ``len(mask)`` consecutive tokens; positions marked 0 are ignored, so a
 window still matches when a word there was replaced. Hashes of all windows of the benchmark are
-the build side of the join. They go out in blocks of at most ``BLOCK`` items, so what a worker
-holds is bounded whatever the benchmark's size; documents are only read, never shuffled, and a hot
-passage or window is matched where its document lies. A document's word that no item of the block
+the build side of the join. They go out in blocks of at most ``BLOCK`` items and ``BLOCK_BYTES`` of text,
+so what a worker holds is bounded whatever the benchmark's size; documents are only read, never shuffled,
+and a hot passage or window is matched where its document lies. A document's word that no item of the block
 contains gets code 0 and no window with such a word at a marked position is looked up.
 
 Hits are reduced to diagonals (item, document position minus item position). On each diagonal the
-best aligned stretch is taken: matching tokens add 1, others subtract ``PENALTY``. It is reported
-if it holds at least ``min_tokens`` (or the whole item, if shorter) tokens, of which at least
-``min_share`` agree.
+best aligned stretch is taken: matching tokens add 1, others subtract ``PENALTY``. If less than
+``min_share`` of it agrees, the longest stretch of which enough agrees takes its place. Stretches begin and
+end with agreeing tokens. One is reported if it holds at least ``min_tokens`` (or the whole item, if
+shorter) tokens, of which at least ``min_share`` agree; of an item's stretches in a document the one with
+most agreeing tokens, of equal ones that of the smallest diagonal. The masks survive any word replaced
+in four. An item shorter than every mask is looked up whole, as it is and with one inner word ignored.
 
 Tokens are runs without ASCII white space, A-Z lower-cased, ASCII punctuation stripped at both
-ends. Null or empty texts and items, and items shorter than every mask, give nothing; null ids are kept. Repeated rows repeat their result.
+ends. Null or empty texts and items, and items under ``SHORTEST`` tokens, give nothing; null ids are kept.
+Repeated rows repeat their result, repeated items too. Without items, or documents, nothing is found. Columns
+not named are ignored; ``decontaminate`` returns them, whatever their names.
 """
 
 from __future__ import annotations
@@ -29,8 +34,8 @@ from pyspark.sql.pandas.types import to_arrow_type
 from .common import begin, map_arrow, words
 
 #: Marked positions are compared, the others ignored.
-MASKS = ("11101011", "11010111", "1101001100101")
-BLOCK, PENALTY = 20_000, 2
+MASKS = ("11101011", "11010111", "11101110111", "1101001100101")
+BLOCK, BLOCK_BYTES, PENALTY, SHORTEST = 20_000, 8_000_000, 2, 4
 _EDGE = string.punctuation.encode()
 
 
@@ -54,17 +59,32 @@ def _windows(codes: np.ndarray, mask: str) -> tuple[np.ndarray, np.ndarray]:
     return at, h[at]
 
 
+def longest(same: np.ndarray, share: float) -> tuple[int, int]:
+    """The longest stretch of which at least ``share`` is true, the first of equal ones, from a true to a true."""
+    total = np.concatenate([[0.0], np.cumsum(same - share)])
+    # the first place from which the sum up to each place is not negative
+    first = np.searchsorted(-np.minimum.accumulate(total), -total - 1e-9)
+    b = int((np.arange(len(total)) - first).argmax())
+    true = np.flatnonzero(same[first[b]:b])
+    return (int(first[b] + true[0]), int(first[b] + true[-1] + 1)) if len(true) else (0, 0)
+
+
 class Block:
     """Codes, windows and words of some benchmark items."""
 
     def __init__(self, items: list[tuple], masks: tuple[str, ...]):
-        self.masks, self.ids = masks, [i for i, _ in items]
+        self.ids = [i for i, _ in items]
         split = [tokens(t) for _, t in items]
         self.code = {w: i + 1 for i, w in enumerate(dict.fromkeys(w for s in split for w in s))}
         self.items = [np.array([self.code[w] for w in s], np.int64) for s in split]
         self.seeds = []
-        for mask in masks:
-            found = [_windows(c, mask) for c in self.items]
+        least = min(map(len, masks))
+        short = {len(c) for c in self.items if SHORTEST <= len(c) < least}
+        whole = [(n, "1" * i + "0" + "1" * (n - i - 1) if i else "1" * n) for n in sorted(short) for i in range(n - 1)]
+        self.masks = [*masks, *(m for _, m in whole)]
+        for n, mask in [*((0, m) for m in masks), *whole]:
+            # items of n tokens, or of any number
+            found = [_windows(c if n in (0, len(c)) else c[:0], mask) for c in self.items]
             h = np.concatenate([np.empty(0, np.uint64), *(h for _, h in found)])
             item = np.repeat(np.arange(len(found)), [len(h) for _, h in found])
             pos = np.concatenate([np.empty(0, np.int64), *(at for at, _ in found)])
@@ -82,7 +102,7 @@ class Block:
                 out.update(zip(item[a:b].tolist(), (p - pos[a:b]).tolist(), strict=True))
         return out
 
-    def overlap(self, codes: np.ndarray, item: int, diagonal: int) -> tuple[int, int, int, int]:
+    def overlap(self, codes: np.ndarray, item: int, diagonal: int, min_share: float) -> tuple[int, int, int, int]:
         """Document position, item position, length and agreeing tokens of the best stretch."""
         own = self.items[item]
         first, last = max(0, -diagonal), min(len(own), len(codes) - diagonal)
@@ -91,6 +111,8 @@ class Block:
         gain = total - np.minimum.accumulate(total)
         b = int(gain.argmax())
         a = int(np.flatnonzero(total[:b + 1] == total[:b + 1].min())[-1])
+        if same[a:b].sum() < min_share * (b - a):
+            a, b = longest(same, min_share)
         return a + first + diagonal, a + first, b - a, int(same[a:b].sum())
 
     def find(self, text: str | None, min_tokens: int, min_share: float) -> list[tuple]:
@@ -98,7 +120,7 @@ class Block:
         codes = np.array([self.code.get(w, 0) for w in tokens(text)], np.int64)
         best: dict[int, tuple] = {}
         for item, diagonal in sorted(self.hits(codes)):
-            got = self.overlap(codes, item, diagonal)
+            got = self.overlap(codes, item, diagonal, min_share)
             if got[2] >= min(min_tokens, len(self.items[item])) and got[3] >= min_share * got[2]:
                 if item not in best or got[3] > best[item][3]:
                     best[item] = got
@@ -106,13 +128,15 @@ class Block:
 
 
 def _blocks(benchmark: DataFrame, masks: tuple[str, ...]):
-    """The benchmark's items as broadcasts of at most BLOCK items each, one after the other."""
-    spark, held = benchmark.sparkSession, []
+    """The benchmark's items as broadcasts of at most BLOCK items and BLOCK_BYTES each (a longer text alone)."""
+    spark, held, size = benchmark.sparkSession, [], 0
     for r in benchmark.select("item_id", "text").toLocalIterator():
-        held.append((r["item_id"], r["text"]))
-        if len(held) == BLOCK:
+        own = len((r["text"] or "").encode("utf-8", "surrogatepass"))
+        if held and (len(held) == BLOCK or size + own > BLOCK_BYTES):
             yield spark.sparkContext.broadcast(Block(held, masks))
-            held = []
+            held, size = [], 0
+        held.append((r["item_id"], r["text"]))
+        size += own
     if held:
         yield spark.sparkContext.broadcast(Block(held, masks))
 
