@@ -46,6 +46,78 @@ def test_planted_passages(spark, monkeypatch, block):
     assert {r["doc_id"] for r in kept.collect()} == {d[0] for d in docs if d[0] is not None} - {d for d, _ in want} - {502}
 
 
+def brute_overlaps(docs, bench, least, share, masks):
+    """Every stretch of every diagonal that has an equal window, word by word."""
+    out = set()
+    for d, text in docs:
+        own = [str(w, "utf-8") for w in decontaminate.tokens(text)]
+        for i, t in bench:
+            item, best = [str(w, "utf-8") for w in decontaminate.tokens(t)], None
+            whole = ["1" * len(item)] + ["1" * k + "0" + "1" * (len(item) - k - 1) for k in range(1, len(item) - 1)]
+            mine = whole if 4 <= len(item) < min(map(len, masks)) else masks
+            for diagonal in range(-len(item), len(own)):
+                places = [p for p in range(len(item)) if 0 <= p + diagonal < len(own)]
+                same = {p: item[p] == own[p + diagonal] for p in places}
+                if not any(all(m == "0" or same.get(p + k, False) for k, m in enumerate(mask)) and p + len(mask) - 1 in same
+                           for mask in mine for p in places):
+                    continue
+                agree = [p for p in places if same[p]]
+                stretches = [(p, q + 1, sum(same[x] for x in range(p, q + 1))) for p in agree for q in agree if q >= p]
+                gain = lambda s: s[2] - decontaminate.PENALTY * (s[1] - s[0] - s[2])
+                top = max(map(gain, stretches))
+                got = min((s for s in stretches if gain(s) == top), key=lambda s: (s[1], -s[0]))
+                if got[2] < share * (got[1] - got[0]):
+                    got = max((s for s in stretches if s[2] >= share * (s[1] - s[0])), key=lambda s: s[1] - s[0])
+                n = got[1] - got[0]
+                if n >= min(least, len(item)) and (best is None or got[2] > best):
+                    best = got[2]
+            if best is not None:
+                out.add((d, i, best))
+    return out
+
+
+def test_against_every_stretch(spark):
+    rng = random.Random(11)
+    few = [prose(rng, 1) for _ in range(40)]
+    bench = [(i, " ".join(rng.choice(few) for _ in range(n))) for i, n in enumerate([3, 4, 5, 7, 7, 8, 9, 12, 20, 30, 40, 40])]
+    docs = []
+    for d in range(90):
+        words = [rng.choice(few) for _ in range(60)]
+        own = bench[d % 12][1].split()
+        for at in range(d % 5, len(own), 3 + d % 4):
+            own[at] = rng.choice(few)
+        words[20:20] = own
+        docs.append((d, " ".join(words)))
+    for masks in (decontaminate.MASKS, ("11101011",)):
+        got = decontaminate.overlaps(frame(spark, docs), items(spark, bench), masks=masks).collect()
+        assert {(r["doc_id"], r["item_id"], r["n_agree"]) for r in got} == brute_overlaps(docs, bench, 10, 0.75, masks)
+
+
+def test_every_fourth_word_replaced_and_short_items(spark):
+    rng = random.Random(12)
+    bench = [(1, prose(rng, 40)), (2, prose(rng, 7)), (3, prose(rng, 4)), (4, prose(rng, 3))]
+    docs = []
+    for off in range(4):
+        own = bench[0][1].split()
+        own[off::4] = ["zzz"] * len(own[off::4])
+        docs.append((off, " ".join([prose(rng, 30 + off), *own, prose(rng, 30)])))
+    docs += [(10 + i, f"{prose(rng, 20)} {t} {prose(rng, 20)}") for i, t in bench]
+    hole = bench[1][1].split()
+    docs.append((20, " ".join([*hole[:3], "zzz", *hole[4:]])))
+    got = {(r["doc_id"], r["item_id"]) for r in decontaminate.overlaps(frame(spark, docs), items(spark, bench)).collect()}
+    assert got == {*((d, 1) for d in range(4)), (11, 1), (12, 2), (13, 3), (20, 2)}
+
+
+def test_enough_of_a_loose_stretch(spark):
+    """Two of three words agree over most of it, but twelve words in a row all do."""
+    rng = random.Random(13)
+    item = prose(rng, 48)
+    own = item.split()
+    own[0:36:3] = ["zzz"] * 12
+    got = decontaminate.overlaps(frame(spark, [(1, " ".join(own))]), items(spark, [(7, item)])).collect()
+    assert len(got) == 1 and got[0]["n_tokens"] >= 12 and got[0]["n_agree"] >= 0.75 * got[0]["n_tokens"]
+
+
 def test_empty_sides(spark):
     some, none = frame(spark, [(1, "a b c d e f g h i j k l")]), frame(spark, [])
     assert decontaminate.overlaps(none, items(spark, [(1, "a b")])).count() == 0
@@ -134,6 +206,18 @@ def test_texts(spark):
     assert all(len(got[i]) == len(t or "") - drop.get(i, 0) for i, t in rows)
 
 
+def test_of_texts_under_one_id_or_none_one_copy_stays(spark):
+    rng = random.Random(9)
+    shared = prose(rng, 80)
+    for ids in ([None] * 3, [5, 5, 5], [5, None, None], [5, 5, None]):
+        rows = [(i, f"{prose(rng, 40)} {shared} {prose(rng, 40)}") for i in ids]
+        texts = [r["text"] for r in substring_dedup.substring_dedup(frame(spark, [*rows, rows[0]])).where("text <> ''").collect()]
+        middle = shared[200:-200]
+        # the first row stands twice, and its repeat drops nothing by itself
+        assert sum(middle in t for t in texts) in (1, 2) and len({t for t in texts if middle in t}) == 1
+        assert sum(len(t) < 700 for t in texts) >= 2
+
+
 def test_messy_and_empty(spark, messy_rows):
     spans = substring_dedup.repeated_spans(frame(spark, messy_rows), min_bytes=20).collect()
     assert {5} <= {r["doc_id"] for r in spans} and not {2, 3, 8} & {r["doc_id"] for r in spans}

@@ -6,7 +6,7 @@ least ``least`` bytes, or at ``most`` bytes. After an insertion the cuts fall on
 again. Chunks are compared by their 64-bit digest.
 
 A chunk is repeated if its digest occurs elsewhere, in the same document or another. The first one
-stays (smallest doc_id, first place in it), all others are marked. Repeated chunks that touch make a
+stays (smallest doc_id, ids before none, then the text's hash, then the place in it), all others are marked. Repeated chunks that touch make a
 span; spans under ``min_bytes`` are left alone, so that short common phrases stay, and with them
 chance matches of single digests. A span drops the bytes of its marked chunks.
 
@@ -14,8 +14,10 @@ Counting is one aggregation with partial sums, and marking one join; a chunk tha
 documents hold combines per task in the first and is split by AQE in the second. Spans are formed
 per document.
 
-Null and empty texts have no chunk. Rows with the same doc_id are one document in the order of
-first places: repeats of a row do not drop its first copy's chunks. Rows without an id are one document, last in order.
+Null and empty texts have no chunk. Rows equal in doc_id and text are one document, so that a repeat of a
+row drops nothing; unlike texts under one id, or without one, are documents of their own, and of what they
+share one copy stays. Texts of any length are cut whole; an empty table gives an empty result; columns not
+named are ignored.
 """
 
 from __future__ import annotations
@@ -61,18 +63,16 @@ def chunks(data: bytes, one_in: int, least: int, most: int) -> list[int]:
 
 
 def chunk_table(docs: DataFrame, one_in: int, least: int, most: int) -> DataFrame:
-    """doc_id, tag (of the text), seq, start, stop, digest, again (whether it came before in the document)."""
+    """doc_id, tag (of the text), seq, start, stop, digest."""
     begin(docs.sparkSession)
 
     def run(batch: pa.RecordBatch):
-        row, seq, start, stop, digest, again, tag = [], [], [], [], [], [], []
+        row, seq, start, stop, digest, tag = [], [], [], [], [], []
         for k, text in enumerate(batch.column(1).to_pylist()):
             data = (text or "").encode()
             ends = chunks(data, one_in, least, most) if data else []
             begins = [0, *ends[:-1]]
             own = [xxhash.xxh3_64_intdigest(data[a:b]) for a, b in zip(begins, ends, strict=False)]
-            seen: set[int] = set()
-            again += [d in seen or seen.add(d) is not None for d in own]
             row += [k] * len(own)
             tag += [xxhash.xxh3_64_intdigest(data)] * len(own)
             seq += range(len(own))
@@ -82,19 +82,20 @@ def chunk_table(docs: DataFrame, one_in: int, least: int, most: int) -> DataFram
         whole = lambda x: pa.array(np.array(x, np.uint64).view(np.int64))
         yield pa.RecordBatch.from_pydict({
             "doc_id": batch.column(0).take(pa.array(row, pa.int64())), "tag": whole(tag), "seq": pa.array(seq, pa.int32()),
-            "start": pa.array(start, pa.int32()), "stop": pa.array(stop, pa.int32()), "digest": whole(digest), "again": pa.array(again, pa.bool_())})
+            "start": pa.array(start, pa.int32()), "stop": pa.array(stop, pa.int32()), "digest": whole(digest)})
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
     return map_arrow(docs.select("doc_id", "text"), run,
-                     f"doc_id {id_type}, tag long, seq int, start int, stop int, digest long, again boolean", 512)
+                     f"doc_id {id_type}, tag long, seq int, start int, stop int, digest long", 512)
 
 
 def repeated_spans(docs: DataFrame, one_in: int = 20, least: int = 16, most: int = 1024, min_bytes: int = 120) -> DataFrame:
     """doc_id, tag, start, stop, n_chunks, n_bytes_dropped, drops (byte ranges) of each repeated span."""
     rows = settle(chunk_table(docs, one_in, least, most), "chunks")
-    twice = rows.groupBy("digest").agg(F.count("*").alias("n"), F.min("doc_id").alias("first_id")).where("n > 1")
-    marked = rows.join(twice, "digest").select("doc_id", "tag", "seq", "start", "stop", (
-        F.col("again") | ~F.coalesce(F.col("doc_id").eqNullSafe(F.col("first_id")), F.lit(False))).alias("drop"))
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tag", "seq")
+    twice = rows.groupBy("digest").agg(F.count("*").alias("n"), F.min(place).alias("first")).where("n > 1")
+    marked = rows.join(twice.drop("n"), "digest").select(
+        "doc_id", "tag", "seq", "start", "stop", (~place.eqNullSafe(F.col("first"))).alias("drop"))
     rank = F.dense_rank().over(Window.partitionBy("doc_id", "tag").orderBy("seq"))
     own = marked.repartition("doc_id", "tag").dropDuplicates(["doc_id", "tag", "seq"])  # one shuffle for all that follows
     spans = own.withColumn("island", F.col("seq") - rank).groupBy("doc_id", "tag", "island").agg(
