@@ -99,8 +99,10 @@ def write_tokens(docs: DataFrame, tokenizer: str, folder: str, end_id: int) -> l
             "n_ids": pa.array([sum(lengths)], pa.int64()), "first_id": pa.array([ids[0] if not nulls else None], pa.int64()),
             "width": pa.array([width], pa.int32())})
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").repartitionByRange("doc_id")
-    parts = rows.sortWithinPartitions("doc_id", "text").mapInArrow(encode, MANIFEST).collect()
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    # unlike texts under one id, or without one, spread over parts
+    by = [F.col("doc_id"), F.xxhash64("text")]
+    parts = rows.repartitionByRange(*by).sortWithinPartitions(*by, "text").mapInArrow(encode, MANIFEST).collect()
     parts = sorted((r.asDict() for r in parts), key=lambda r: r["part"])
     bases = [0, *accumulate(r["n_ids"] for r in parts)]
     return [r | {"base": base} for r, base in zip(parts, bases, strict=False)]
