@@ -48,6 +48,9 @@ def test_encodings(spark, rows):
 
 @pytest.mark.parametrize("kind", ["hash", "count"])
 def test_logistic_learns_and_gives_probabilities(rows, kind, tmp_path):
+    if kind == "count":
+        keyed = rows.withColumn("id", F.monotonically_increasing_id())
+        rows = features.counted(keyed, "id", features.vocabulary(keyed))
     model = features.line_pipeline(models.logistic(maxIter=20), kind, 256).fit(rows)
     out = models.score(model, rows)
     assert out.where("prediction = label").count() >= 0.95 * rows.count()
@@ -98,9 +101,10 @@ def test_counted_vocabulary_has_no_limit(spark):
     words = " ".join(f"w{i}" for i in range(5000))
     df = spark.createDataFrame([("x", words), ("y", None), ("z", "")], "city string, context string").withColumn("city_share", F.lit(0.5))
     df = features.fill_numbers(features.text_stats(df))
-    fitted = features.feature_stages("count").fit(df)
-    assert len(fitted.stages[0].vocabulary) == 5000
-    assert fitted.transform(df).count() == 3
+    vectors = {r["city"]: r["token_vector"] for r in features.counted(df, "city", features.vocabulary(df)).collect()}
+    assert {v.size for v in vectors.values()} == {5000}
+    assert vectors["x"].indices.tolist() == list(range(5000)) and set(vectors["x"].values) == {1.0}
+    assert not len(vectors["y"].indices) and not len(vectors["z"].indices)
     counts = features.token_counts(df, "city", features.vocabulary(df))
     assert counts.count() == 5000
 
@@ -123,3 +127,17 @@ def test_fills_and_unseen_categories(spark):
     new = features.filled(spark.createDataFrame([("zzz", None, "residential"), ("b", 1.0, "residential")], schema), columns, fills)
     hot = [r["h"] for r in model.transform(new).select(vector_to_array("city_hot").alias("h")).collect()]
     assert hot == [[0.0, 0.0], [0.0, 1.0]]
+
+
+def test_count_vectors_without_a_vocabulary_on_the_driver(spark):
+    """Slots are those of the numbered words, counts those of the rows; unknown words count nowhere."""
+    rows = spark.createDataFrame([(1, "b a b c".split()), (2, []), (3, "c z".split()), (4, None), (5, ["z"])], "id long, tokens array<string>")
+    words = features.vocabulary(rows.where("id < 3"))
+    slots = {r["token"]: r["slot"] for r in features.numbered(words).collect()}
+    assert sorted(slots) == ["a", "b", "c"] and sorted(slots.values()) == [0, 1, 2]
+    got = {r["id"]: r["token_vector"] for r in features.counted(rows, "id", words).collect()}
+    assert {i: dict(zip(v.indices.tolist(), v.values.tolist())) for i, v in got.items()} == {
+        1: {slots["a"]: 1.0, slots["b"]: 2.0, slots["c"]: 1.0}, 2: {}, 3: {slots["c"]: 1.0}, 4: {}, 5: {}}
+    assert all(v.indices.tolist() == sorted(v.indices.tolist()) and v.size == 3 for v in got.values())
+    none = features.counted(rows.where("id > 9"), "id", words)
+    assert none.count() == 0 and none.schema["token_vector"].dataType.typeName() == "vectorudt"

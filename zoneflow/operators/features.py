@@ -4,17 +4,19 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import (
-    CountVectorizer, HashingTF, Normalizer, OneHotEncoder, StandardScaler,
+    HashingTF, Normalizer, OneHotEncoder, StandardScaler,
     StopWordsRemover, StringIndexer, VectorAssembler,
 )
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from zoneflow.functions import text as tx
 from zoneflow.functions.stats import exact_percentiles
+from zoneflow.operators import sampling
 from zoneflow.plans.rules import LABEL_CODES
-from zoneflow.session import checked_broadcast, nan_to_null
+from zoneflow.session import checked_broadcast, nan_to_null, shared_path
 
 NUMERIC_FEATURES = ["city_share", "char_count", "word_count", "avg_word_length"]
 
@@ -81,18 +83,14 @@ def characters(c: Column | str) -> Column:
     return F.filter(F.split(c, ""), lambda x: x != "")
 
 
-#: Every word of the training rows gets a place in a counted vocabulary.
-ALL_WORDS = (1 << 31) - 1
-
-
 def token_stages(kind: str = "hash", size: int = 1 << 18, column: str = "tokens") -> list:
-    """Sparse token vectors: hashed to ``size`` slots and length-normalised, or counted over the
-    whole vocabulary of the training rows."""
+    """Sparse token vectors: hashed to ``size`` slots and length-normalised, or those that the rows have
+    from ``counted``."""
     if kind == "hash":
         return [HashingTF(inputCol=column, outputCol="_tf", numFeatures=size),
                 Normalizer(inputCol="_tf", outputCol="token_vector", p=2.0)]
     if kind == "count":
-        return [CountVectorizer(inputCol=column, outputCol="token_vector", vocabSize=ALL_WORDS)]
+        return []
     raise ValueError(f"kind must be 'hash' or 'count', not {kind!r}")
 
 
@@ -107,6 +105,32 @@ def token_counts(rows: DataFrame, key: str, words: DataFrame, column: str = "tok
     return counts.join(words.select("token"), "token", "left_semi").select(key, "token", "n")
 
 
+def numbered(words: DataFrame) -> DataFrame:
+    """(token, slot): each word of a vocabulary with its own number from 0, by the hash of the word. Numbers
+    add up bucket offsets, so no task and not the driver sees all words."""
+    return sampling.ranked(words.select("token"), [], 0, ["token"]).select("token", F.col("rank").cast("int").alias("slot"))
+
+
+def counted(rows: DataFrame, key: str, words: DataFrame, column: str = "tokens", out: str = "token_vector") -> DataFrame:
+    """Rows with a sparse vector that counts their words, one slot for each word of the vocabulary.
+
+    ``key`` must identify rows and not be null. Words join their numbers, counts combine per row and word
+    before they move, and the rows are written to the shared folder, in the form that vectors have there.
+    A word outside the vocabulary counts nowhere; a row without words has a vector of zeros.
+    """
+    spark, n_words = rows.sparkSession, words.count()
+    counts = rows.select(key, F.explode(column).alias("token")).groupBy(key, "token").agg(F.count("*").cast("double").alias("n"))
+    slots = counts.join(numbered(words), "token").groupBy(key).agg(F.array_sort(F.collect_list(F.struct("slot", "n"))).alias("_slots"))
+    sparse = F.struct(
+        F.lit(0).cast("byte").alias("type"), F.lit(n_words).cast("int").alias("size"),
+        F.coalesce(F.col("_slots.slot"), F.array().cast("array<int>")).alias("indices"),
+        F.coalesce(F.col("_slots.n"), F.array().cast("array<double>")).alias("values"))
+    whole = rows.join(slots, key, "left").select(*rows.columns, sparse.alias(out))
+    path = shared_path(spark, "vectors")
+    whole.write.parquet(path)
+    return spark.read.schema(T.StructType([*rows.schema.fields, T.StructField(out, VectorUDT())])).parquet(path)
+
+
 def feature_stages(kind: str = "hash", size: int = 1 << 18) -> Pipeline:
     """City share, text statistics and token vector as ``features``. The numbers must be filled
     (``fill_numbers``): a missing one fails the job rather than dropping its row."""

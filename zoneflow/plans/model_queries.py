@@ -57,8 +57,8 @@ def checked(scored: DataFrame, given: DataFrame, codes: dict[str, int]) -> DataF
         "class", "support", F.lit(all_scored).alias("all_scored"), F.lit(beats).alias("beats_majority"))
 
 
-def fit_and_check(spark, sf_dir, pipeline) -> DataFrame:
-    with kept(language_rows(spark, sf_dir)) as rows:
+def fit_and_check(spark, sf_dir, pipeline, rows: DataFrame | None = None) -> DataFrame:
+    with kept(language_rows(spark, sf_dir) if rows is None else rows) as rows:
         test = rows.where("NOT in_train")
         model = pipeline.fit(rows.where("in_train"))
         with kept(models.score(model, test, LANGUAGES).select("attribute", "prediction")) as scored:
@@ -85,7 +85,29 @@ def line_classifier_boosting(spark, sf_dir):
 @register("line_classifier_counts", FIT_SQL)
 def line_classifier_counts(spark, sf_dir):
     """Over the whole vocabulary of the training rows."""
-    return fit_and_check(spark, sf_dir, features.line_pipeline(models.logistic(maxIter=15, regParam=0.01), "count"))
+    rows = language_rows(spark, sf_dir)
+    rows = features.counted(rows, "doc_id", features.vocabulary(rows.where("in_train"))).drop("tokens")
+    return fit_and_check(spark, sf_dir, features.line_pipeline(models.logistic(maxIter=15, regParam=0.01), "count"), rows)
+
+
+@register("token_count_vectors", f"""WITH {SPLIT_SQL},
+t AS (SELECT doc_id, in_train, unnest(list_filter(regexp_extract_all(regexp_replace(line, '[^\\p{{L}}\\p{{N}}_\\x09-\\x0D\\x1C-\\x20\\x85\\xA0]', '', 'g'), '[^\\x09-\\x0D\\x1C-\\x20\\x85\\xA0]+'),
+  lambda w: lower(w) NOT IN ({", ".join(f"'{w}'" for w in STOP)}))) AS token FROM split),
+v AS (SELECT DISTINCT token FROM t WHERE in_train),
+placed AS (SELECT token, row_number() OVER (ORDER BY md5('0|' || token)) - 1 AS slot FROM v),
+c AS (SELECT doc_id, slot, count(*) AS n FROM t JOIN placed USING (token) GROUP BY ALL)
+SELECT s.doc_id, (SELECT count(*) FROM v) AS places, count(slot) AS slots,
+  md5(coalesce(string_agg(slot || ':' || n, ' ' ORDER BY slot), '')) AS vector_md5
+FROM split s LEFT JOIN c ON c.doc_id = s.doc_id GROUP BY s.doc_id""")
+def token_count_vectors(spark, sf_dir):
+    """Documents' sparse count vectors, slot by slot: numbers of words, their counts and the length."""
+    rows = features.text_stats(language_documents(spark, sf_dir), "context", STOP)
+    words = features.vocabulary(rows.where("in_train"))
+    counted = features.counted(rows.select("doc_id", "tokens"), "doc_id", words)
+    vector = counted.select("doc_id", F.unwrap_udt("token_vector").alias("v"))
+    listed = F.zip_with("v.indices", "v.values", lambda i, n: F.concat_ws(":", i, n.cast("long")))
+    return vector.select("doc_id", F.col("v.size").cast("long").alias("places"), F.size("v.indices").cast("long").alias("slots"),
+                         F.md5(F.array_join(listed, " ")).alias("vector_md5"))
 
 
 @register("line_classifier_scaled", FIT_SQL)
