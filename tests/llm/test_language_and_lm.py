@@ -1,6 +1,8 @@
 """Language identification: rules and held-out accuracy. LM scoring: against plain Python."""
 
 import math
+import random
+import zlib
 from collections import Counter
 
 import pytest
@@ -45,6 +47,47 @@ def test_messy_rows(spark, messy_rows):
     assert by[2] == by[3] == by[4] == by[8] == "und" and by[1] == "en"
 
 
+def ranked(found, size):
+    """N-grams by frequency; of equal ones those of three first, then single letters, then pairs."""
+    return sorted(found, key=lambda g: (-found[g], (3, 1, 2).index(len(g)), g))[:size]
+
+
+def brute_languages(rows, size):
+    """Out-of-place distances of every document, gram by gram, ties to the first language."""
+    counts = {}
+    for i, t, lang in rows:
+        if lang is not None and (i is None or zlib.crc32(str(i).encode()) % 3 != 1):
+            counts.setdefault(lang, Counter()).update(brute_profile(t or "", size))
+    learned = {lang: {g: k for k, g in enumerate(ranked(n, size))} for lang, n in sorted(counts.items()) if n}
+    out = []
+    for i, t, _ in rows:
+        own = ranked(brute_profile(t or "", size), size)
+        if not own:
+            out.append((i, "und", 0.0))
+            continue
+        cost = {lang: sum(abs(p[g] - k) if g in p else size for k, g in enumerate(own)) for lang, p in learned.items()}
+        best = min(cost, key=lambda lang: (cost[lang], lang))
+        out.append((i, best, 1 - cost[best] / (size * len(own))))
+    return out
+
+
+@pytest.mark.parametrize("size", [5, 40, language_id.SIZE])
+def test_each_distance_against_plain_python(spark, size):
+    rng = random.Random(size)
+    sounds = {"en": "aeiothrsn", "de": "aeiüßchnr", "fr": "aeéèoulst", "ru": "абвгдежзи"}
+    rows = []
+    for i in range(150):
+        lang = rng.choice(sorted(sounds))
+        text = " ".join("".join(rng.choice(sounds[lang]) for _ in range(rng.randint(1, 7))) for _ in range(rng.randint(0, 60)))
+        rows.append((i if i % 29 else None, text.title() if i % 2 else f"{text} 12, !", None if i % 7 == 0 else lang))
+    # equal profiles of two languages: the first wins
+    rows += [(200, None, "en"), (201, "", "fr"), (202, "??", "zz"), (203, "a", "en"), (204, "日本語", "ja"), (205, "日本語", "jb"), (206, "日本語", None)]
+    docs = frame(spark, rows)
+    got = language_id.language_id(docs, docs.where(~language_id.held_out()), size).collect()
+    order = lambda rs: sorted(((i, lang, round(x, 9)) for i, lang, x in rs), key=repr)
+    assert order((r["doc_id"], r["lang_pred"], r["score"]) for r in got) == order(brute_languages(rows, size))
+
+
 def test_nothing_learned(spark):
     docs = frame(spark, [(1, "some text"), (2, None)])
     assert {r["lang_pred"] for r in language_id.language_id(docs, docs).collect()} == {"und"}

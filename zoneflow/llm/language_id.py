@@ -1,7 +1,8 @@
 """Language identification by rank-order n-gram profiles (out-of-place distance).
 
 A profile is the list of the ``size`` most frequent n-grams (n = 1, 2, 3) of lower-cased letters,
-with word boundaries; ties stand in code-point order. A language's profile counts all its training
+with word boundaries; of equally frequent ones those of three come first, then single letters, then pairs, each in
+code-point order. A language's profile counts all its training
 texts whole. A document's own profile, of its whole text, is compared with each language's: an
 n-gram costs the difference of its two ranks, or ``size`` where the language lacks it. The language
 with the least cost wins, ties going to the first in code-point order. The score is one minus
@@ -9,7 +10,9 @@ cost / greatest possible cost.
 
 Counting combines per task, so the largest language does not weigh on one task. Profiles are at
 most ``size`` rows a language. A text that is null or has no letter is ``und`` with score 0, as is
-every text where nothing was learned. Rows are independent; columns not named are ignored.
+every text where nothing was learned. Rows are independent, repeated ones too; a document without an id
+is learned from. An empty table gives an empty result, a text of any length counts whole, and columns not named
+are ignored.
 """
 
 from __future__ import annotations
