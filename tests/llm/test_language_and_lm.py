@@ -140,13 +140,13 @@ def test_scores(spark, messy_rows, target):
         assert g[2:] == pytest.approx(w[2:]) if g[1] else g[2:] == (None, None, None)
 
 
-@pytest.mark.parametrize("shares", [{}, {"hot_words": 0.01, "hot_grams": 0.02}, {"hot_words": 2.0}])
+@pytest.mark.parametrize("sizes", [{}, {"slice_tokens": 7, "bucket_keys": 5}, {"slice_tokens": 1, "bucket_keys": 1}])
 @pytest.mark.parametrize("target", [[(1, 1), (5, 1), (5, 1), (None, 1), (77, 1)], []])
-def test_every_word_and_bigram_counts(spark, messy_rows, target, shares):
-    """No word and no bigram is cut, wherever it is scored."""
+def test_every_word_and_bigram_counts(spark, messy_rows, target, sizes):
+    """No word and no bigram is cut, however documents and hashes are dealt."""
     marks = spark.createDataFrame(target, "doc_id long, n int")
     rows = [*messy_rows, (1, "another text of one id, the cat sat")]
-    got = lm_scoring.score(frame(spark, rows), marks, **shares).collect()
+    got = lm_scoring.score(frame(spark, rows), marks, **sizes).collect()
     want = brute_scores(rows, {i for i, _ in target if i is not None}, 0, 0, 10.0)
     key = lambda r: repr((r[0], r[1], round(r[2] or 0, 6)))
     for g, w in zip(sorted(map(tuple, got), key=key), sorted(want, key=key), strict=True):

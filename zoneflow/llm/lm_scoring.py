@@ -9,14 +9,14 @@ the corpus is in the vocabulary and every bigram in the counts, so both grow wit
 with V the words, a start mark and an unknown word. A document's score is the mean over its tokens
 of target loss minus background loss, in nats: the lower, the closer to the target.
 
-Work. A frequent bigram of frequent words (``hot_grams`` and ``hot_words`` of all tokens, so at most
-one over the share of each) is counted first, broadcast and scored where its documents lie. All
-others leave a document once with their number, are dealt by their last word (by the whole bigram
-if that word is frequent, so that no group is large), counted there, and their losses are added up
-per document. The shares decide where a bigram is scored, not what it counts. c(v) splits off from
-the loss of a bigram, and a first word is the last one of the bigram before it, so a rare word's
-counts are all found in its group. Words and documents meet by 64-bit hashes; two of 10^8 words
-share one with a chance of 3 in 10,000.
+Work. Documents are read once into slices of ``slice_tokens`` tokens, each the sorted hashes of its
+words and the tokens as numbers into them, written to the shared folder. A slice sends every word and
+every bigram it has once, with its own counts, to the bucket of the hash (``bucket_keys`` bounds about
+what a bucket is sent); there the counts of all slices are added up and go back in the order in
+which the slice asked. Keys travel as sorted differences and counts as small numbers, both
+compressed, so no row leaves a document and a frequent word is sent once a slice, not once an
+occurrence. Losses are then summed where the slice's documents lie. Words and bigrams are told apart by
+64-bit hashes: two of 10^8 words share one with a chance of 3 in 10,000, of 10^10 bigrams three pairs do.
 
 Bounded models: with a ``word_share`` or ``gram_share`` above 0, words below that share of all tokens
 are one unknown token, and bigrams below that share of a model's tokens give their mass to the unigram
@@ -37,9 +37,9 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from .common import begin, map_arrow, settle, words
 
@@ -176,106 +176,198 @@ def _bounded(docs: DataFrame, target: DataFrame, word_share: float, gram_share:
     return map_arrow(docs.select("doc_id", "text"), run, f"doc_id {id_type}, n_tokens long, target_loss double, background_loss double, score double")
 
 
-class Frequent:
-    """Of one model, what is known of frequent words (by code) and of frequent bigrams (in order of their codes)."""
+def _pack(*columns: np.ndarray) -> bytes:
+    """Equally long columns, their first bytes together, then their second ones and so on, compressed."""
+    return pa.compress(b"".join(c.view(np.uint8).reshape(len(c), c.itemsize).T.tobytes() for c in columns), "zstd", asbytes=True)
 
-    def __init__(self, counts: DataFrame, column: str, size: int, kinds: int, grams: np.ndarray, n: np.ndarray, mu: float):
-        counts = counts.select("gram", F.col(column).alias("n")).where("n > 0")
-        first, last = np.zeros(size), np.zeros(size)
-        for at, e in ((first, f"shiftright(gram, {_BITS})"), (last, "gram & 4294967295")):
-            for r in counts.groupBy(F.expr(e).alias("k")).agg(F.sum("n").alias("n")).collect():
-                at[r["k"]] = r["n"]
-        self.total = last.sum() + 0.5 * kinds
-        self.p1, self.after = (last + 0.5) / self.total, np.log(first + mu)
-        self.after[UNKNOWN] = 0  # of rare words, added where they are counted
-        self.loss = -np.log(n + mu * self.p1[grams & np.int64(0xFFFFFFFF)])
 
+def _unpack(data: bytes, size: int, *types) -> list[np.ndarray]:
+    wide = [np.dtype(t).itemsize for t in types]
+    raw, at, out = np.frombuffer(pa.decompress(data, size * sum(wide), "zstd", asbytes=True), np.uint8), 0, []
+    for t, n in zip(types, wide, strict=True):
+        out.append(np.ascontiguousarray(raw[at:at + n * size].reshape(n, size).T).view(t).reshape(size))
+        at += n * size
+    return out
 
-def _whole(docs: DataFrame, target: DataFrame, mu: float, hot_words: float, hot_grams: float) -> DataFrame:
-    """Scores by models of all words and all bigrams."""
-    spark = begin(docs.sparkSession)
-    known = word_counts(docs)
-    kinds, words_known = known.count() + 2, _top(known, hot_words)
-    size, vocab = len(words_known) + 2, spark.sparkContext.broadcast(words_known)
-    rows = settle(flagged(docs, target), "flagged")
-    counts = settle(_count(rows, vocab), "bigrams")
-    total = counts.agg(F.sum("n")).first()[0] or 0
-    both = (F.shiftright("gram", int(_BITS)) != UNKNOWN) & (F.col("gram").bitwiseAND(F.lit(0xFFFFFFFF)) != UNKNOWN)
-    hot = counts.where(both & (F.col("n") >= hot_grams * total)).orderBy("gram").collect()
-    grams = np.array([r["gram"] for r in hot], np.int64)
-    models = [Frequent(counts, c, size, kinds, grams, np.array([r[c] for r in hot], np.int64), mu) for c in ("t", "n")]
-    sent = spark.sparkContext.broadcast((grams, [(m.after, m.loss) for m in models]))
-    digest, start = xxhash.xxh64_intdigest, xxhash.xxh64_intdigest(b"\n")
 
-    def run(batch: pa.RecordBatch):
-        (grams, tables), ids = sent.value, batch.column(0)
-        split = [words(t) for t in batch.column(2).to_pylist()]
-        n = np.array([len(w) for w in split])
-        of = np.repeat(np.arange(len(n)), n)
-        code = np.concatenate([np.empty(0, np.int64), *[_bigrams(_codes(w, vocab.value)) for w in split]])
-        v, w = code >> _BITS, code & np.int64(0xFFFFFFFF)
-        at = np.minimum(np.searchsorted(grams, code), max(len(grams) - 1, 0))
-        here = grams[at] == code if len(grams) else np.zeros(len(code), bool)
-        sums = [np.bincount(of, after[v] + (np.where(here, loss[at], 0) if len(loss) else 0), minlength=len(n)) for after, loss in tables]
-        yield pa.RecordBatch.from_arrays([
-            batch.column(1), ids, batch.column(1), *[pa.nulls(len(n), t) for t in (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.bool_())],
-            pa.array(np.ones(len(n), np.int32)), pa.array(n, pa.int64()), *map(pa.array, sums)], names)
-        # all others, once in a document with their number and how many of them another word follows
-        right = np.array([digest(x) for s in split for x in s], np.uint64).view(np.int64)
-        ends = np.cumsum(n)
-        left, more = np.concatenate([[0], right[:-1]]), np.ones(len(right), np.int32)
-        left[(ends - n)[n > 0]] = np.array(start, np.uint64).view(np.int64)
-        more[(ends - 1)[n > 0]] = 0
-        more[w != UNKNOWN] = 0
-        rest = np.flatnonzero(~here)
-        if not len(rest):
-            return
-        rest = rest[np.lexsort((left[rest], right[rest], of[rest]))]
-        a, b, d = left[rest], right[rest], of[rest]
-        new = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1]) | (d[1:] != d[:-1])]))
-        times, more = np.diff(np.append(new, len(rest))), np.add.reduceat(more[rest], new)
-        a, b, d, w = a[new], b[new], d[new], w[rest][new]
-        deal = np.where(w == UNKNOWN, b, b ^ (a * np.int64(-7046029254386353131)))
-        d = pa.array(d)
-        yield pa.RecordBatch.from_arrays([
-            batch.column(1).take(d), pa.nulls(len(new), ids.type), pa.array(deal), pa.array(b), pa.array(a), pa.array(w.astype(np.int32)),
-            pa.array(times.astype(np.int32)), pa.array(more.astype(np.int32)), batch.column(3).take(d),
-            pa.nulls(len(new), pa.int32()), pa.nulls(len(new), pa.int64()), *[pa.nulls(len(new), pa.float64())] * 2], names)
+def _mixed(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """One 64-bit hash for two, by the finalizer of splitmix64."""
+    x = left * np.uint64(0x9E3779B97F4A7C15) + right
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+class _Numbers(dict):
+    def __missing__(self, word: bytes) -> int:
+        self[word] = n = len(self)
+        return n
+
+
+class _Slice:
+    """Some documents as numbers into the sorted hashes of their words."""
+
+    def __init__(self, hashes: np.ndarray, tokens: np.ndarray, lens: np.ndarray, own: np.ndarray):
+        self.hashes, self.tokens, self.lens, self.own = hashes, tokens, lens, own
+        ends = np.cumsum(lens)
+        self.starts, self.ends = (ends - lens)[lens > 0], (ends - 1)[lens > 0]
+        self.of = np.repeat(np.arange(len(lens)), lens)
+        right = hashes[tokens]
+        left = np.concatenate([right[:1], right[:-1]])
+        left[self.starts] = xxhash.xxh64_intdigest(b"\n")
+        self.grams, self.gram = np.unique(_mixed(left, right), return_inverse=True)
+
+    def counts(self) -> dict[str, tuple[np.ndarray, list[np.ndarray]]]:
+        """kind -> sorted keys and their counts: in all documents and in the target's; of words also as a last one."""
+        mine = self.own[self.of]
+        n = lambda at, size: np.bincount(at, minlength=size).astype(np.int64)
+        last, size = self.tokens[self.ends], len(self.hashes)
+        words = [self.tokens, self.tokens[mine], last, last[mine[self.ends]]]
+        return {"word": (self.hashes, [n(x, size) for x in words]),
+                "gram": (self.grams, [n(x, len(self.grams)) for x in (self.gram, self.gram[mine])])}
+
+
+_COUNTS = {"word": 4, "gram": 2}
+_CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def _settle(df: DataFrame, what: str) -> DataFrame:
+    """``settle``, with the job's shuffle files deleted when the table is written, not when the driver collects garbage."""
+    conf = df.sparkSession.conf
+    before = conf.get(_CLEAN, "false")
+    conf.set(_CLEAN, "true")
+    try:
+        return settle(df, what)
+    finally:
+        conf.set(_CLEAN, before)
+
+
+def _slices(rows: DataFrame, slice_tokens: int) -> DataFrame:
+    """Documents in slices of about ``slice_tokens`` tokens (a longer document is one), read once."""
+    names = ["slice", "ids", "lens", "own", "n_words", "n_grams", "hashes", "tokens", "n", "t", "n_docs", "t_docs"]
+
+    def run(batches):
+        first, ids, own, coded, numbers, done, held = TaskContext.get().partitionId() << 32, [], [], [], _Numbers(), 0, 0
+        for batch in chain(batches, [None]):
+            for i in range(batch.num_rows if batch else 1):
+                if ids and (batch is None or held >= slice_tokens):
+                    digests = np.array([xxhash.xxh64_intdigest(w) for w in numbers], np.uint64)
+                    hashes, place = np.unique(digests, return_inverse=True)
+                    tokens = place.astype(np.int32)[np.concatenate(coded)]
+                    lens, flags = np.array([len(c) for c in coded], np.int64), np.array(own, bool)
+                    part = _Slice(hashes, tokens, lens, flags)
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array([first + done], pa.int64()), pa.array([ids], pa.list_(id_arrow)), pa.array([lens.tolist()], pa.list_(pa.int64())),
+                        pa.array([own], pa.list_(pa.bool_())), *[pa.array([len(x)], pa.int64()) for x in (hashes, part.grams)],
+                        pa.array([_pack(hashes)], pa.binary()), pa.array([_pack(tokens)], pa.binary()),
+                        *[pa.array([int(x)], pa.int64()) for x in (lens.sum(), lens[flags].sum(), (lens > 0).sum(), (lens[flags] > 0).sum())]], names)
+                    ids, own, coded, numbers, held = [], [], [], _Numbers(), 0
+                    done += 1
+                if batch is not None:
+                    id_arrow = batch.schema.field(0).type
+                    found = words(batch.column(1)[i].as_py())
+                    coded.append(np.fromiter(map(numbers.__getitem__, found), np.int32, len(found)))
+                    ids.append(batch.column(0)[i].as_py())
+                    own.append(batch.column(2)[i].as_py())
+                    held += len(found) + 1
+
+    id_type = rows.schema["doc_id"].dataType.simpleString()
+    return rows.mapInArrow(run, f"slice long, ids array<{id_type}>, lens array<bigint>, own array<boolean>, n_words long, n_grams long, "
+                                "hashes binary, tokens binary, n long, t long, n_docs long, t_docs long")
+
+
+def _slice_of(row: dict) -> _Slice:
+    lens = np.array(row["lens"], np.int64)
+    hashes, = _unpack(row["hashes"], row["n_words"], np.uint64)
+    tokens, = _unpack(row["tokens"], int(lens.sum()), np.int32)
+    return _Slice(hashes, tokens, lens, np.array(row["own"], bool))
+
+
+_MESSAGE = "kind string, bucket long, slice long, size long, data binary"
+
+
+def _asked(slices: DataFrame, buckets: dict[str, int]) -> DataFrame:
+    """For each slice, kind and bucket of hashes that it has any of: the keys and the slice's own counts."""
+    def run(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1).to_pylist()[0]
+                out = []
+                for kind, (keys, counts) in _slice_of(row).counts().items():
+                    if not len(keys):
+                        continue
+                    at = (keys >> np.uint64(32)) * np.uint64(buckets[kind]) >> np.uint64(32)
+                    cuts = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
+                    for a, z in zip(cuts, [*cuts[1:], len(at)], strict=True):
+                        steps = np.diff(keys[a:z], prepend=np.uint64(0))
+                        out.append((kind, int(at[a]), row["slice"], int(z - a), _pack(steps, *[c[a:z] for c in counts])))
+                if out:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(
+                        zip(*out, strict=True), (pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.binary()), strict=True)],
+                        ["kind", "bucket", "slice", "size", "data"])
+
+    return slices.select("slice", "lens", "own", "n_words", "hashes", "tokens").mapInArrow(run, _MESSAGE)
+
+
+def _answered(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+    """One bucket: each slice's keys get the counts of all slices; ``kinds`` has the bucket's number of keys once."""
+    wide, sizes = _COUNTS[key[0].as_py()], table.column("size").to_pylist()
+    parts = [_unpack(d.as_py(), n, np.uint64, *[np.int64] * wide) for d, n in zip(table.column("data"), sizes, strict=True)]
+    keys, at = np.unique(np.concatenate([np.cumsum(p[0], dtype=np.uint64) for p in parts]), return_inverse=True)
+    sums = []
+    for c in range(1, wide + 1):
+        total = np.zeros(len(keys), np.int64)
+        np.add.at(total, at, np.concatenate([p[c] for p in parts]))
+        sums.append(total)
+    cuts = np.concatenate([[0], np.cumsum(sizes)])
+    data = [_pack(*[s[at[a:z]] for s in sums]) for a, z in zip(cuts, cuts[1:], strict=False)]
+    out = table.set_column(table.schema.get_field_index("data"), "data", pa.array(data, pa.binary()))
+    return out.append_column("kinds", pa.array([len(keys)] + [0] * (len(data) - 1), pa.int64()))
+
+
+def _whole(docs: DataFrame, target: DataFrame, mu: float, slice_tokens: int, bucket_keys: int) -> DataFrame:
+    """Scores by models of all words and all bigrams."""
+    begin(docs.sparkSession)
+    slices = _settle(_slices(flagged(docs, target), slice_tokens), "slices")
+    sums = slices.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n", "t", "n_docs", "t_docs", "n_words", "n_grams")]).first()
+    buckets = {k: -(-sums[c] // bucket_keys) or 1 for k, c in (("word", "n_words"), ("gram", "n_grams"))}
+    answers = _asked(slices, buckets).groupBy("kind", "bucket").applyInArrow(_answered, f"{_MESSAGE}, kinds long")
+    answers = _settle(answers, "answers")
+    kinds = (answers.where("kind = 'word'").agg(F.sum("kinds")).first()[0] or 0) + 2
+    totals, nonempty = (sums["t"], sums["n"]), (sums["t_docs"], sums["n_docs"])
+
+    def score(left: pa.Table, right: pa.Table) -> pa.Table:
+        row = left.to_pylist()[0]
+        part, found = _slice_of(row), {"word": [], "gram": []}
+        for r in sorted(right.select(["kind", "bucket", "size", "data"]).to_pylist(), key=lambda r: r["bucket"]):
+            found[r["kind"]].append(_unpack(r["data"], r["size"], *[np.int64] * _COUNTS[r["kind"]]))
+        none = [np.empty(0, np.int64)]
+        n_word, t_word, n_last, t_last = (np.concatenate(none + [f[i] for f in found["word"]]) for i in range(4))
+        n_gram, t_gram = (np.concatenate(none + [f[i] for f in found["gram"]]) for i in range(2))
+        n = part.lens
+        means = []
+        for word, last, gram, total, docs_there in zip((t_word, n_word), (t_last, n_last), (t_gram, n_gram), totals, nonempty, strict=True):
+            p = (word + 0.5) / (total + 0.5 * kinds)
+            first = (word - last)[part.tokens]
+            first = np.concatenate([first[:1], first[:-1]])
+            first[part.starts] = docs_there
+            loss = np.log(first + mu) - np.log(gram[part.gram] + mu * p[part.tokens])
+            means.append(np.bincount(part.of, loss, minlength=len(n)) / np.maximum(n, 1))
+        empty = n == 0
+        return pa.table({
+            "doc_id": left.column("ids").combine_chunks().flatten(), "n_tokens": pa.array(n, pa.int64()),
+            "target_loss": pa.array(means[0], mask=empty), "background_loss": pa.array(means[1], mask=empty),
+            "score": pa.array(means[0] - means[1], mask=empty)})
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    columns = (f"doc long, doc_id {id_type}, deal long, w long, v long, code int, n int, more int, own boolean, "
-               "n_rows int, n_tokens long, target_loss double, background_loss double")
-    names = [c.split()[0] for c in columns.split(", ")]
-    parts = map_arrow(rows.select("doc_id", F.xxhash64("doc_id", "text").alias("doc"), "text", "is_target"), run, columns, 256)
-    gram, word = Window.partitionBy("deal", "w", "v"), Window.partitionBy("deal", "w")
-    own = lambda c: F.when(F.col("own"), F.col(c)).otherwise(0)
-    parts = parts.repartition("deal").withColumns({"t_gram": F.sum(own("n")).over(gram), "n_gram": F.sum("n").over(gram)})
-    parts = parts.withColumns({"t_last": F.sum(own("n")).over(word), "n_last": F.sum("n").over(word),
-                               "t_first": F.sum(own("more")).over(word), "n_first": F.sum("more").over(word)})
-    # at most 1 / hot_words rows
-    hot = spark.createDataFrame([(i, *map(float, x)) for i, x in enumerate(zip(*(m.p1 for m in models), strict=True)) if i > START],
-                                "code int, t_p double, n_p double")
-    parts = parts.join(hot.hint("broadcast"), "code", "left")
-
-    def loss(c: str, m: Frequent):
-        p = F.coalesce(F.col(f"{c}_p"), (F.col(f"{c}_last") + 0.5) / F.lit(float(m.total)))
-        there = F.col("more") * F.log(F.col(f"{c}_first") + mu) - F.col("n") * F.log(F.col(f"{c}_gram") + mu * p)
-        return F.when(F.col("n_rows").isNull(), there)
-
-    sums = parts.groupBy("doc").agg(
-        F.max("doc_id").alias("doc_id"), F.sum("n_rows").cast("int").alias("n_rows"), F.sum("n_tokens").alias("n_tokens"),
-        *[F.sum(F.coalesce(k, loss(c, m))).alias(k) for k, c, m in zip(("target_loss", "background_loss"), "tn", models, strict=True)])
-    # rows of equal id and text are one document here, with the sums of all of them
-    mean = lambda k: F.when(F.col("n_tokens") > 0, F.col(k) / F.col("n_tokens")).alias(k)
-    out = sums.select("doc_id", (F.col("n_tokens") / F.col("n_rows")).cast("long").alias("tokens"), mean("target_loss"), mean("background_loss"),
-                      F.explode(F.sequence(F.lit(1), "n_rows")))
-    return out.select("doc_id", F.col("tokens").alias("n_tokens"), "target_loss", "background_loss",
-                      (F.col("target_loss") - F.col("background_loss")).alias("score"))
+    given = slices.select("slice", "ids", "lens", "own", "n_words", "hashes", "tokens").groupBy("slice")
+    return given.cogroup(answers.groupBy("slice")).applyInArrow(
+        score, f"doc_id {id_type}, n_tokens long, target_loss double, background_loss double, score double")
 
 
 def score(docs: DataFrame, target: DataFrame, word_share: float = 0.0, gram_share: float = 0.0, mu: float = 10.0,
-          hot_words: float = 1e-5, hot_grams: float = 1e-6) -> DataFrame:
+          slice_tokens: int = 500_000, bucket_keys: int = 2_000_000) -> DataFrame:
     """doc_id, n_tokens, target_loss, background_loss, score for each row of docs."""
     if word_share > 0 or gram_share > 0:
         return _bounded(docs, target, word_share, gram_share, mu)
-    return _whole(docs, target, mu, hot_words, hot_grams)
+    return _whole(docs, target, mu, slice_tokens, bucket_keys)
