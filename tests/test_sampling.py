@@ -80,6 +80,33 @@ def test_three_way(rows):
     assert sum(parts.values()) == len(data) - 1 and parts["train"] > parts["valid"] > 0 and parts["test"] > 0
 
 
+def test_three_way_splits_off_the_same_rows_twice(rows):
+    df, data = rows
+    want = {}
+    for g in {g for _, g in data}:
+        left = sorted((k for k, c in data if c == g), key=lambda k: place(2, k))
+        cut = round(0.75 * len(left))
+        want |= dict.fromkeys(left[cut:], "test")
+        left = sorted(left[:cut], key=lambda k: place(3, k))
+        cut = round(0.75 * len(left))
+        want |= dict.fromkeys(left[:cut], "train") | dict.fromkeys(left[cut:], "valid")
+    split = sampling.three_way(df, ["g"], 2, ["k"])
+    assert {r.k: r.part for r in split.collect()} == want
+    # the rows are read once for the result; the rest are the two cuts
+    found = split._jdf.queryExecution().optimizedPlan().collectLeaves()
+    leaves = sorted(found.apply(i).nodeName() for i in range(found.size()))
+    assert len(leaves) == 3 and leaves[:2] == ["InMemoryRelation"] * 2
+
+
+def test_rows_outside_are_not_marked(rows):
+    df, data = rows
+    even = F.col("k") % 2 == 0
+    got = {r.k for r in sampling.flag_sample(df, ["g"], F.lit(5), 4, ["k"], within=even).where("in_sample").collect()}
+    for g in {g for _, g in data}:
+        inside = sorted((k for k, c in data if c == g and k % 2 == 0), key=lambda k: place(4, k))
+        assert got & {k for k, c in data if c == g} == set(inside[:5])
+
+
 def test_flagging_does_not_shuffle_the_rows(rows):
     df, _ = rows
     plan = sampling.split(df.where("g is not null"), ["g"], 0.5, 1, ["k"])._jdf.queryExecution().executedPlan().toString()

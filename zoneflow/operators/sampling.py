@@ -55,8 +55,10 @@ def flag_sample(
     key: list[str],
     sizes: DataFrame | None = None,
     flag: str = "in_sample",
+    within: Column | None = None,
 ) -> DataFrame:
-    """Mark exactly ``size`` rows of each class.
+    """Mark exactly ``size`` rows of each class, of those for which ``within`` holds (default: all);
+    the others stay unmarked.
 
     ``size`` is computed per class from ``_total`` (rows in the class) and any columns of
     ``sizes``, a per-class table joined on ``group``; classes missing there get none. The
@@ -65,7 +67,8 @@ def flag_sample(
     """
     keys = ["_class"]
     placed = _placed(df, group, seed, key)
-    counts = _bucket_counts(placed, group)
+    inside = placed if within is None else placed.where(within)
+    counts = _bucket_counts(inside, group)
     if sizes is not None:
         counts = counts.join(sizes, group)
     cuts = (
@@ -86,7 +89,7 @@ def flag_sample(
     in_bucket = Window.partitionBy(*keys).orderBy("_place")
     repeated = F.raise_error(F.lit("a repeated key lies across the cut of a sample")).cast("string")
     edge = (
-        placed.select(*keys, "_bucket", "_place").join(cuts, [*keys, "_bucket"])
+        inside.select(*keys, "_bucket", "_place").join(cuts, [*keys, "_bucket"])
         .where(~F.col("_whole"))
         .withColumn("_rn", F.row_number().over(in_bucket))
         .withColumn("_next", F.lead("_place").over(in_bucket))
@@ -96,8 +99,9 @@ def flag_sample(
     # "g" sorts after every hex digest: the whole class is in.
     whole = cuts.where("_whole").select(*keys, F.lit("g").alias("_last"))
     last = checked_broadcast(edge.unionByName(whole))
+    marked = F.col("_place") <= F.col("_last")
     out = placed.join(last, keys, "left").withColumn(
-        flag, F.coalesce(F.col("_place") <= F.col("_last"), F.lit(False))
+        flag, F.coalesce(marked if within is None else marked & within, F.lit(False))
     )
     return out.select(*df.columns, flag)
 
@@ -119,12 +123,13 @@ def split(df: DataFrame, group: list[str], share: float, seed: int, key: list[st
 
 def three_way(df: DataFrame, group: list[str], seed: int, key: list[str],
               test_share: float = 0.25) -> DataFrame:
-    """train/valid/test column ``part``: a test share is split off twice."""
+    """train/valid/test column ``part``: a test share is split off twice. One scan reads the result;
+    each of the two cuts is found by two more."""
     rest = split(df, group, 1 - test_share, seed, key, "_rest")
-    again = split(rest.where("_rest"), group, 1 - test_share, seed + 1, key, "_train")
-    test = rest.where(~F.col("_rest")).select(*df.columns, F.lit("test").alias("part"))
-    part = F.when(F.col("_train"), "train").otherwise("valid")
-    return again.select(*df.columns, part.alias("part")).unionByName(test)
+    size = F.bround(F.col("_total") * (1 - test_share))
+    again = flag_sample(rest, group, size, seed + 1, key, flag="_train", within=F.col("_rest"))
+    part = F.when(~F.col("_rest"), "test").when(F.col("_train"), "train").otherwise("valid")
+    return again.select(*df.columns, part.alias("part"))
 
 
 def ranked(df: DataFrame, group: list[str], seed: int, key: list[str]) -> DataFrame:
