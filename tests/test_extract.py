@@ -154,3 +154,21 @@ def test_hits_inside_documents_equal_the_tables(spark):
     assert direct.columns == joined.columns
     assert sorted(map(str, direct.collect())) == sorted(map(str, joined.collect()))
     assert "Exchange" not in direct._jdf.queryExecution().executedPlan().toString()
+
+
+def test_patterns_are_tried_once_and_only_where_their_letters_are(spark):
+    from zoneflow.functions import text as tx
+    assert tx.required_letters(r"(?i)sq(uare)*.+fo*e*t") == ["sq", "f", "t"]
+    assert tx.required_letters(r"(?i)unit.+acres?") == ["acre", "unit"] and tx.required_letters(r"(?i)a+b*cd?") == ["a", "c"]
+    for other in (r"unit", r"(?i)a|b", r"(?i)[ab]c", r"(?i)a\d", r"(?i)a{0}b", r"(?i)((a)b)?c", r"(?i)(la|de).+(el|le)", r"(?i)a(?=b)"):
+        assert tx.required_letters(other) == []
+    # the long s and the Kelvin sign fold to ASCII letters
+    texts = ["Maximum BUILDING height 30 feet tall", "FLOOR area ratio 2 max", "ſq 700 feet a", "unitſ per 3 lot", "no rule 30 x", "height of ſtructure is 40 feet"]
+    docs = spark.createDataFrame([(1, "c", "s", "\n".join(texts))], "doc_id long, city string, section string, text string")
+    lines = corpus.lines(docs)
+    found = extract.attributes(lines, ZONING)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert all(plan.count(tx.line_pattern(r.pattern) + ")") == 1 for r in ZONING.rules)
+    rows = {(r.line_no, r.attribute, r.pattern_id) for r in found.collect()}
+    assert rows == {(1, "building_height", 0), (1, "building_height", 1), (2, "max_far", 0), (3, "minimum_lot_sqft", 2), (4, "units_per_lot", 0), (6, "building_height", 2)}
+    assert rows == {(r.line_no, r.attribute, r.pattern_id) for r in extract.document_hits(docs, ZONING).collect()}

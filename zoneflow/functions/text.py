@@ -6,6 +6,8 @@ built-ins. Patterns use ``\\x{..}`` escapes, which Java and RE2 read alike.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -53,6 +55,24 @@ def line_pattern(pattern: str) -> str:
     return "(?d)" + pattern
 
 
+def required_letters(pattern: str) -> list[str]:
+    """Runs of lower-case letters that every match of a simple ``(?i)`` pattern holds; none for other patterns."""
+    body = pattern[4:]
+    if not pattern.startswith("(?i)") or re.search(r"[^A-Za-z.+*?()|]", body) or "(?" in body:
+        return []
+    body = re.sub(r"\([^()]*\)[*+?]*", ".", body)  # a group may be left out or hold a choice
+    if re.search(r"[()|]", body):
+        return []
+    body = re.sub(r"[A-Za-z.][*?]", ".", body)
+    return sorted({run.lower() for run in re.findall("[A-Za-z]+", body)}, key=lambda x: (-len(x), x))
+
+
+def plain_lower(c: Column | str) -> Column:
+    """A text of ASCII characters in lower case; null for others, which may fold to ASCII letters."""
+    c = _col(c)
+    return F.when(F.octet_length(c) == F.length(c), F.lower(c))
+
+
 def plain_spaces(c: Column | str) -> Column:
     return F.translate(_col(c), "\u00a0", " ")
 

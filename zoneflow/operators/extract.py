@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
-from operator import or_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,15 +22,19 @@ def _integers(line: Column | str) -> Column:
     return tx.integers(tx.without_commas(tx.digits_for_words(line)))
 
 
-def _matches_some(line: Column, rules: RuleSet) -> Column:
-    return tx.has_number(line) & reduce(or_, [line.rlike(tx.line_pattern(r.pattern)) for r in rules.rules])
+def _speaks_of(line: Column, low: Column, rule: Rule) -> Column:
+    """Whether the line matches the rule. The pattern is tried only where its letters are all there; ``low`` is the
+    line in lower case, or null where other letters fold to ASCII ones."""
+    found = line.rlike(tx.line_pattern(rule.pattern))
+    letters = tx.required_letters(rule.pattern)
+    return found if not letters else reduce(and_, [F.coalesce(low.contains(x), F.lit(True)) for x in letters]) & found
 
 
-def _per_rule(rules: RuleSet) -> Column:
+def _per_rule(line: Column, low: Column, rules: RuleSet) -> Column:
     """Array of (attribute, pattern_id, lo, hi) of the rules the line matches."""
     return F.array_compact(F.array(*[
         F.when(
-            F.col("line").rlike(tx.line_pattern(r.pattern)),
+            _speaks_of(line, low, r),
             F.struct(
                 F.lit(r.attribute).alias("attribute"),
                 F.lit(r.pattern_id).alias("pattern_id"),
@@ -42,36 +46,44 @@ def _per_rule(rules: RuleSet) -> Column:
     ]))
 
 
-def _hit_rows(candidates: DataFrame, rules: RuleSet, extra: list[str]) -> DataFrame:
-    """Hits from lines with their integers: one row per matching pattern with a value in range."""
-    return (
-        candidates.select("*", F.inline(_per_rule(rules)))
-        .withColumn("value_list", tx.between_open("_ints", F.col("lo"), F.col("hi")))
-        .where(F.size("value_list") > 0)
-        .select(
-            "doc_id", "city", "attribute", "pattern_id",
-            tx.float_list_text("value_list").alias("values"),
-            "value_list",
-            F.col("line").alias("context"),
-            "section", "line_no",
-            ((F.col("line_no") - 1) / F.col("n_lines") * 100).alias("fraction"),
-            *extra,
-        )
-    )
+def _hits_of(per_rule: Column, ints: Column) -> Column:
+    """(attribute, pattern_id, value_list) of the matching rules with a value in range."""
+    valued = F.transform(per_rule, lambda r: F.struct(
+        r["attribute"].alias("attribute"), r["pattern_id"].alias("pattern_id"),
+        tx.between_open(ints, r["lo"], r["hi"]).alias("value_list")))
+    return F.filter(valued, lambda h: F.size(h["value_list"]) > 0)
+
+
+def _hit_columns(extra: list[str]) -> list[Column | str]:
+    return [
+        "doc_id", "city", "attribute", "pattern_id",
+        tx.float_list_text("value_list").alias("values"),
+        "value_list",
+        F.col("line").alias("context"),
+        "section", "line_no",
+        ((F.col("line_no") - 1) / F.col("n_lines") * 100).alias("fraction"),
+        *extra,
+    ]
 
 
 def attributes(lines: DataFrame, rules: RuleSet) -> DataFrame:
     """Hits: one row per line and matching pattern with at least one value in range.
 
     Narrow work only, so documents of any size split freely over tasks. ``fraction`` is how
-    far into the document the line lies, in percent.
+    far into the document the line lies, in percent. Each pattern is tried once a line, and integers
+    are read from matching lines only.
     """
-    candidates = (
-        lines.where(_matches_some(F.col("line"), rules))
-        .select("*", _integers("line").alias("_ints"))
-        .where(F.size("_ints") > 0)
+    line, columns = F.col("line"), lines.columns
+    # One step per projection, and an outer explode, keep Spark from judging lines again in a filter.
+    return (
+        lines.select("*", tx.plain_lower(line).alias("_low"))
+        .select(*columns, _per_rule(line, F.col("_low"), rules).alias("_rules"))
+        .select("*", F.when((F.size("_rules") > 0) & tx.has_number(line), _integers(line)).alias("_ints"))
+        .select(*columns, F.when(F.size("_ints") > 0, _hits_of(F.col("_rules"), F.col("_ints"))).alias("_hits"))
+        .select(*columns, F.inline_outer("_hits"))
+        .where(F.col("attribute").isNotNull())
+        .select(*_hit_columns([]))
     )
-    return _hit_rows(candidates, rules, [])
 
 
 def document_hits(docs: DataFrame, rules: RuleSet, pattern: str = tx.ZONE_CODE, window: int = 20,
@@ -85,13 +97,14 @@ def document_hits(docs: DataFrame, rules: RuleSet, pattern: str = tx.ZONE_CODE,
     keep = [c for c in docs.columns if c != text]
     # The outer explode and the test after it keep Spark from judging lines again in a
     # pushed-down filter.
-    spots = F.filter(
-        F.transform("_lines", lambda line, i: F.struct(
-            (i + 1).alias("line_no"), line.alias("line"),
-            F.when(_matches_some(line, rules), _integers(line)).alias("_ints"),
-        )),
-        lambda s: F.size(s["_ints"]) > 0,
-    )
+    lowered = F.transform("_lines", lambda line: F.struct(line.alias("line"), tx.plain_lower(line).alias("low")))
+    judged = F.transform(lowered, lambda x, i: F.struct(
+        (i + 1).alias("line_no"), x["line"].alias("line"), _per_rule(x["line"], x["low"], rules).alias("rules")))
+    matching = F.transform(F.filter(judged, lambda s: (F.size(s["rules"]) > 0) & tx.has_number(s["line"])), lambda s: F.struct(
+        s["line_no"].alias("line_no"), s["line"].alias("line"), s["rules"].alias("rules"), _integers(s["line"]).alias("ints")))
+    hits = F.transform(F.filter(matching, lambda s: F.size(s["ints"]) > 0), lambda s: F.struct(
+        s["line_no"].alias("line_no"), s["line"].alias("line"), _hits_of(s["rules"], s["ints"]).alias("hits")))
+    spots = F.filter(hits, lambda s: F.size(s["hits"]) > 0)
     line_codes = F.transform("_lines", lambda line: F.when(
         line.rlike(tx.line_pattern(pattern)), tx.codes(line, pattern)))
 
@@ -107,11 +120,12 @@ def document_hits(docs: DataFrame, rules: RuleSet, pattern: str = tx.ZONE_CODE,
         .select(*keep, F.size("_lines").alias("n_lines"), "_spots",
                 F.when(F.size("_spots") > 0, line_codes).alias("_codes"))
         .select(*keep, "n_lines", F.inline_outer(F.transform("_spots", lambda s: F.struct(
-            s["line_no"].alias("line_no"), s["line"].alias("line"), s["_ints"].alias("_ints"), near(s).alias("zone_list")))))
+            s["line_no"].alias("line_no"), s["line"].alias("line"), s["hits"].alias("_hits"), near(s).alias("zone_list")))))
         .where(F.col("line_no").isNotNull())
         .withColumn("zone_list", F.when(F.size("zone_list") > 0, F.col("zone_list")))
+        .select(*keep, "n_lines", "line_no", "line", "zone_list", F.inline("_hits"))
     )
-    return _hit_rows(candidates, rules, ["zone_list"]).withColumn(
+    return candidates.select(*_hit_columns(["zone_list"])).withColumn(
         "zone_candidates", F.array_join("zone_list", ", "))
 
 
