@@ -141,3 +141,16 @@ def test_count_vectors_without_a_vocabulary_on_the_driver(spark):
     assert all(v.indices.tolist() == sorted(v.indices.tolist()) and v.size == 3 for v in got.values())
     none = features.counted(rows.where("id > 9"), "id", words)
     assert none.count() == 0 and none.schema["token_vector"].dataType.typeName() == "vectorudt"
+
+
+def test_lemmas_of_a_long_row_and_of_a_repeated_key(spark):
+    """Every other word of 200,000 has a lemma, in seconds; a key that occurs twice fails the job."""
+    from time import monotonic
+    df = spark.range(1).selectExpr("id", "transform(sequence(1, 200000), i -> IF(i % 2 = 0, concat('w', i), 'plain')) AS tokens")
+    lemmas = spark.range(200001).selectExpr("concat('w', id) AS word", "concat('l', id) AS lemma")
+    began = monotonic()
+    got = features.lemmatised(df, lemmas, ["id"]).first()["tokens"]
+    assert got == [f"l{i}" if i % 2 == 0 else "plain" for i in range(1, 200001)] and monotonic() - began < 20
+    twice = df.union(df)
+    with pytest.raises(Exception):
+        features.lemmatised(twice, lemmas, ["id"]).collect()

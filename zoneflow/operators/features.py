@@ -16,7 +16,7 @@ from zoneflow.functions import text as tx
 from zoneflow.functions.stats import exact_percentiles
 from zoneflow.operators import sampling
 from zoneflow.plans.rules import LABEL_CODES
-from zoneflow.session import checked_broadcast, nan_to_null, shared_path
+from zoneflow.session import checked_broadcast, nan_to_null, shared_path, written
 
 NUMERIC_FEATURES = ["city_share", "char_count", "word_count", "avg_word_length"]
 
@@ -29,18 +29,29 @@ def lemmatised(df: DataFrame, lemmas: DataFrame, key: list[str], tokens: str = "
     """``tokens`` with each word that the table (word, lemma) lists in lower case replaced by its lemma.
 
     Each distinct word is looked up once: words combine before the shuffle, so a frequent one is one row,
-    and only rows that hold a listed word have their words put together again, by position. ``key`` must
-    identify rows. A word listed more than once takes its least lemma.
+    and only rows that hold a listed word have their words put together again: the stretches between lemmas are
+    cut out in order, so the time grows with the words of a row. Rows are read
+    several times, so costly ones should be ``written`` first. ``key`` must identify rows. A word listed more than once takes its least lemma.
     """
     table = lemmas.select(F.lower("word").alias("_word"), F.col("lemma").alias("_lemma")).where("_word is not null")
     table = table.groupBy("_word").agg(F.min("_lemma").alias("_lemma"))
     each = df.select(*key, F.posexplode(tokens).alias("_pos", "_token")).withColumn("_word", F.lower("_token"))
     used = each.select("_word").distinct().join(table, "_word")
     found = each.select(*key, "_pos", "_word").join(checked_broadcast(used), "_word")
-    per_row = found.groupBy(*key).agg(F.map_from_entries(F.collect_list(F.struct("_pos", "_lemma"))).alias("_lemmas"))
-    put = F.transform(tokens, lambda w, i: F.coalesce(F.element_at("_lemmas", i), w))
+    per_row = found.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("_pos", "_lemma"))).alias("_found"))
+
+    def end(i: Column) -> Column:
+        """Words up to and with the lemma before the i-th."""
+        return F.when(i > 0, F.get("_found", i - 1)["_pos"] + 1).otherwise(0)
+
+    # A repeated key repeats a position, which makes a length negative and fails the job.
+    stretch = F.transform("_found", lambda x, i: F.concat(
+        F.slice(tokens, end(i) + 1, x["_pos"] - end(i)),
+        F.array(F.coalesce(x["_lemma"], F.get(tokens, x["_pos"])))))
+    last = F.element_at("_found", -1)["_pos"]
+    put = F.concat(F.flatten(stretch), F.slice(tokens, last + 2, F.size(tokens)))
     joined = df.join(per_row, key, "left")
-    return joined.withColumn(tokens, F.when(F.col("_lemmas").isNull(), F.col(tokens)).otherwise(put)).select(*df.columns)
+    return joined.withColumn(tokens, F.when(F.col("_found").isNull(), F.col(tokens)).otherwise(put)).select(*df.columns)
 
 
 def text_stats(df: DataFrame, column: str = "context", stop: list[str] | None = None,
@@ -118,6 +129,7 @@ def counted(rows: DataFrame, key: str, words: DataFrame, column: str = "tokens",
     before they move, and the rows are written to the shared folder, in the form that vectors have there.
     A word outside the vocabulary counts nowhere; a row without words has a vector of zeros.
     """
+    words = written(words.select("token"), "vocabulary")  # counted, ranked and joined
     spark, n_words = rows.sparkSession, words.count()
     counts = rows.select(key, F.explode(column).alias("token")).groupBy(key, "token").agg(F.count("*").cast("double").alias("n"))
     slots = counts.join(numbered(words), "token").groupBy(key).agg(F.array_sort(F.collect_list(F.struct("slot", "n"))).alias("_slots"))

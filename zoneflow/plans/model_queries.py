@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from zoneflow.operators import evaluate, features, landuse, models, profile, sampling
 from zoneflow.plans.queries import PRODUCT_USES, STOP, _CASES, _FLAGS, dealt, md5_place
 from zoneflow.plans.registry import register, table
-from zoneflow.session import kept, shared_path
+from zoneflow.session import kept, shared_path, written
 
 LANGUAGES = {"en": 0, "fr": 1, "de": 2, "es": 3}
 HASH_SLOTS, TREE_SLOTS = 1 << 18, 1 << 10
@@ -37,6 +37,12 @@ def language_rows(spark, sf_dir) -> DataFrame:
         "label", features.encode_label("attribute", LANGUAGES).cast("double")).drop("context")
 
 
+def document_words(spark, sf_dir) -> DataFrame:
+    """Documents' words and train flag, written: the vocabulary and the counts both read them."""
+    rows = features.text_stats(language_documents(spark, sf_dir), "context", STOP)
+    return written(rows.select("doc_id", "in_train", "tokens"), "words")
+
+
 SPLIT_SQL = f"""split AS (SELECT doc_id, source AS city, lang AS attribute, text AS line, row_number() OVER (PARTITION BY lang ORDER BY {md5_place(31, "doc_id")})
   <= round_even(0.8 * count(*) OVER (PARTITION BY lang), 0) AS in_train FROM documents)"""
 FIT_SQL = f"""WITH {SPLIT_SQL} SELECT attribute AS class, count(*) AS support, true AS all_scored, true AS beats_majority
@@ -85,7 +91,7 @@ def line_classifier_boosting(spark, sf_dir):
 @register("line_classifier_counts", FIT_SQL)
 def line_classifier_counts(spark, sf_dir):
     """Over the whole vocabulary of the training rows."""
-    rows = language_rows(spark, sf_dir)
+    rows = written(language_rows(spark, sf_dir), "rows")
     rows = features.counted(rows, "doc_id", features.vocabulary(rows.where("in_train"))).drop("tokens")
     return fit_and_check(spark, sf_dir, features.line_pipeline(models.logistic(maxIter=15, regParam=0.01), "count"), rows)
 
@@ -101,7 +107,7 @@ SELECT s.doc_id, (SELECT count(*) FROM v) AS places, count(slot) AS slots,
 FROM split s LEFT JOIN c ON c.doc_id = s.doc_id GROUP BY s.doc_id""")
 def token_count_vectors(spark, sf_dir):
     """Documents' sparse count vectors, slot by slot: numbers of words, their counts and the length."""
-    rows = features.text_stats(language_documents(spark, sf_dir), "context", STOP)
+    rows = document_words(spark, sf_dir)
     words = features.vocabulary(rows.where("in_train"))
     counted = features.counted(rows.select("doc_id", "tokens"), "doc_id", words)
     vector = counted.select("doc_id", F.unwrap_udt("token_vector").alias("v"))
@@ -141,7 +147,7 @@ t AS (SELECT doc_id, in_train, unnest(list_filter(regexp_extract_all(regexp_repl
 SELECT doc_id, token, count(*) AS n FROM t WHERE token IN (SELECT token FROM t WHERE in_train) GROUP BY ALL""")
 def token_count_rows(spark, sf_dir):
     """Counts of each document's words over the whole vocabulary of the training documents."""
-    rows = features.text_stats(language_documents(spark, sf_dir), "context", STOP)
+    rows = document_words(spark, sf_dir)
     return features.token_counts(rows, "doc_id", features.vocabulary(rows.where("in_train")))
 
 
@@ -153,7 +159,7 @@ lemmas AS (SELECT DISTINCT lower(w) AS word, left(lower(w), 5) AS lemma FROM t W
 SELECT doc_id, count(*) AS n, md5(string_agg(coalesce(lemma, w), ' ' ORDER BY pos)) AS words_md5 FROM t LEFT JOIN lemmas ON word = lower(w) GROUP BY doc_id""")
 def lemmatised_words(spark, sf_dir):
     """Documents' words by a lemma table of thousands of rows: the first five letters of each long word."""
-    rows = features.text_stats(language_documents(spark, sf_dir), "context", STOP).select("doc_id", "tokens")
+    rows = written(features.text_stats(language_documents(spark, sf_dir), "context", STOP).select("doc_id", "tokens"), "words")
     word = F.lower("word")
     table_ = rows.select(F.explode("tokens").alias("word")).where(F.length("word") >= 7).select(word.alias("word"), F.left(word, F.lit(5)).alias("lemma"))
     out = features.lemmatised(rows, table_.distinct(), ["doc_id"])
