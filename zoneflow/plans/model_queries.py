@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from zoneflow.operators import evaluate, features, landuse, models, profile, sampling
+from zoneflow.operators.wide_logistic import WideLogistic
 from zoneflow.plans.queries import PRODUCT_USES, STOP, _CASES, _FLAGS, dealt, md5_place
 from zoneflow.plans.registry import register, table
 from zoneflow.session import kept, shared_path, written
@@ -90,10 +91,10 @@ def line_classifier_boosting(spark, sf_dir):
 
 @register("line_classifier_counts", FIT_SQL)
 def line_classifier_counts(spark, sf_dir):
-    """Over the whole vocabulary of the training rows."""
+    """Over the whole vocabulary of the training rows, coefficients in tables."""
     rows = written(language_rows(spark, sf_dir), "rows")
     rows = features.counted(rows, "doc_id", features.vocabulary(rows.where("in_train"))).drop("tokens")
-    return fit_and_check(spark, sf_dir, features.line_pipeline(models.logistic(maxIter=15, regParam=0.01), "count"), rows)
+    return fit_and_check(spark, sf_dir, features.line_pipeline(WideLogistic(["doc_id"], max_iter=15, reg=0.01), "count"), rows)
 
 
 @register("token_count_vectors", f"""WITH {SPLIT_SQL},
