@@ -8,10 +8,12 @@ driver sees a small matrix an iteration, and a step is searched along margins wi
 
 from __future__ import annotations
 
+import sys
 from functools import reduce
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.ml import Estimator, Model
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
@@ -20,6 +22,9 @@ from pyspark.sql import functions as F
 from zoneflow.operators.sampling import ranked
 from zoneflow.session import shared_path, written
 
+# Functions travel whole, so that workers need not have this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 #: Pairs of steps and gradient differences that L-BFGS keeps, and step sizes that one search tries.
 CORRECTIONS, STEPS = 10, [*(2.0 ** (-k / 4) for k in range(-8, 13)), *(2.0 ** -k for k in range(4, 22))]
 _VECTORS = "fb int, name string, vec binary"
