@@ -238,3 +238,16 @@ def test_brackets_are_small(spark, monkeypatch):
     found = stats.exact_percentiles(df, ["v"], [0.1, 0.5, 0.9], bound=200)["v"]
     assert [found[p] for p in (0.1, 0.5, 0.9)] == [pytest.approx(5999.9), 29999.5, pytest.approx(53999.1)]
     assert max(seen) <= 300
+
+
+def test_novel_values_are_looked_up_without_a_shuffle(spark, master):
+    """Few unseen values meet the pairs by broadcast, column by column, and warn in column order."""
+    rows = [("k02", "city9", "Q9", 2.0, None, "ed", LATER), ("k03", "city1", "Z3", 3.0, None, "new", LATER),
+            ("n1", "city9", "Q9", 2.0, None, None, LATER), (None, "city0", "Q8", 2.0, None, "ed", LATER)]
+    log, out = log_of(spark, master, rows)
+    said = {k: [w.split(" ")[0] + " " + w.split(" ")[-1] for w in r.warnings if "not in other" in w] for k, r in log.items()}
+    assert said == {"k02": ['"city9" city_name', '"Q9" zn_code'], "k03": ['"new" editor'],
+                    "n1": ['"city9" city_name', '"Q9" zn_code'], None: ['"Q8" zn_code']}
+    assert log["k02"].cols_updated == ["city_name", "zn_code", "edit_date"] and log["k02"].changed_vals == 3
+    plan = out.update_log._jdf.queryExecution().sparkPlan().toString()
+    assert "SortMergeJoin" not in plan and "ObjectHashAggregate" not in plan and "ShuffledHashJoin" not in plan

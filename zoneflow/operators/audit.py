@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from zoneflow.functions.stats import exact_percentiles
 from zoneflow.functions.text import float_text
-from zoneflow.session import checked_broadcast, is_small, nan_to_null, written
+from zoneflow.session import checked_broadcast, compile_in_parts, is_small, nan_to_null, written
 
 NORMAL_RANGE = (0.05, 0.95)
 
@@ -113,8 +113,10 @@ def pair_rows(master: DataFrame, entries: DataFrame, pk: str, mode: str) -> Data
     return pairs.withColumn("edit_type", F.coalesce("_new_type", "_old_type")).drop("_new_type", "_old_type")
 
 
-def _compact(items: list[Column]) -> Column:
-    return F.array_compact(F.array(*items)) if items else F.array().cast("array<string>")
+def _listed(items: list[tuple[Column, Column]]) -> Column:
+    """The texts whose condition holds. Arrays put together are compiled, a lambda over one is not."""
+    none = F.array().cast("array<string>")
+    return F.concat(*[F.when(condition, F.array(text)).otherwise(none) for condition, text in items]) if items else none
 
 
 def _count(conditions: list[Column]) -> Column:
@@ -140,6 +142,7 @@ def updates(
     written to the shared folder for logged keys only: nothing stays cached. Ranges come from ``bounds`` or the master's percentiles. A text value is novel when
     its column in the master never holds it; only the distinct changed values are looked up.
     """
+    compile_in_parts(entries.sparkSession)
     columns = entries.columns
     master = nan_to_null(master.select(*columns))
     entries = nan_to_null(entries)
@@ -151,7 +154,8 @@ def updates(
     is_update, is_deleted = F.col("edit_type") == "U", F.col("edit_type") == "D"
 
     changed = {c: ~_old(c).eqNullSafe(_new(c)) for c in columns}
-    listed = _compact([F.when(is_update & changed[c], F.lit(c)) for c in columns])
+    listed = _listed([(is_update & changed[c], F.lit(c)) for c in columns])
+    n_changed = _count(list(changed.values()))
     from_null = _count([_old(c).isNull() for c in numeric]) - _count([_new(c).isNull() for c in numeric])
     to_null = _count([_old(c).isNotNull() & _new(c).isNull() for c in numeric])
 
@@ -162,14 +166,12 @@ def updates(
         low, high = bounds[c]
         value = F.coalesce(_new(c), F.when(is_deleted, _old(c)))
         outside = (value < low) | (value > high)
-        range_warnings.append(F.when(
+        range_warnings.append((
             outside & (~is_update | changed[c]),
             F.concat(F.lit(f"{c} value is out of range (val = "), float_text(value), F.lit(")")),
         ))
 
-    log = pairs.withColumn("_novel", F.lit(None).cast("array<string>"))
-    if strings:
-        log = _matched(pairs, _novel_values(pairs, master, strings, pk), pk, "left")
+    log = _with_novel(pairs, master, strings, pk) if strings else pairs.withColumn("_novel", _listed([]))
 
     def newer(c: str | None) -> Column:
         return F.when(is_deleted, _old(c)).otherwise(_new(c)) if c in columns else F.lit(None).cast("string")
@@ -185,9 +187,9 @@ def updates(
         listed.alias("cols_updated"),
         F.when(is_update, from_null).alias("updated_from_nan"),
         F.when(is_update, to_null).alias("updated_to_nan"),
-        F.when(is_update, F.size(listed) - from_null).alias("changed_vals"),
-        _compact(range_warnings).alias("_range"),
-        F.coalesce("_novel", F.array().cast("array<string>")).alias("_novel"),
+        F.when(is_update, n_changed - from_null).alias("changed_vals"),
+        _listed(range_warnings).alias("_range"),
+        "_novel",
         newer(editor).alias("editor"),
         newer(edit_date).alias("edit_timestamp"),
         F.lit(main_version).alias("main_version"),
@@ -202,15 +204,13 @@ def updates(
     return AuditLogs(log, warnings_of(log, pk))
 
 
-def _novel_values(pairs: DataFrame, master: DataFrame, strings: list[str], pk: str) -> DataFrame:
-    """(pk, _novel): warnings of values the master does not hold, in column order. A value
+def _with_novel(pairs: DataFrame, master: DataFrame, strings: list[str], pk: str) -> DataFrame:
+    """``pairs`` with ``_novel``: warnings of values the master does not hold, in column order. A value
     equal to its old one is in the master, so only changed and created cells are looked at."""
     created, update = F.col("edit_type") == "C", F.col("edit_type") == "U"
+    asked = {c: created | (update & (_old(c) != _new(c))) for c in strings}
     cells = pairs.select(pk, F.inline(F.array_compact(F.array(*[
-        F.when(
-            _new(c).isNotNull() & (created | (update & (_old(c) != _new(c)))),
-            F.struct(F.lit(i).alias("_col"), _new(c).alias("_val")),
-        )
+        F.when(_new(c).isNotNull() & asked[c], F.struct(F.lit(i).alias("_col"), _new(c).alias("_val")))
         for i, c in enumerate(strings)
     ]))))
     values = written(cells.select("_col", "_val").distinct(), "values")
@@ -223,17 +223,24 @@ def _novel_values(pairs: DataFrame, master: DataFrame, strings: list[str], pk: s
     known = known if small else known.distinct()
     known = known.join(F.broadcast(values) if small else values, ["_col", "_val"], "left_semi").distinct()
     unseen = values.join(known, ["_col", "_val"], "left_anti")
-    # no more than the values, which were measured
-    unseen = F.broadcast(unseen) if small else unseen
+
+    def warning(value: Column, name: Column) -> Column:
+        return F.concat(F.lit('"'), value, F.lit('" not in other row records for '), name)
+
+    if small:
+        # No more than the values, which were measured: pairs meet them where they lie, column by column.
+        unseen, log, found = written(unseen, "unseen"), pairs, []
+        for i in sorted(r["_col"] for r in unseen.select("_col").distinct().collect()):
+            c, value = strings[i], F.col(f"_unseen{i}")
+            of_column = F.broadcast(unseen.where(F.col("_col") == i).select(F.col("_val").alias(f"_unseen{i}")))
+            log = log.join(of_column, asked[c] & (_new(c) == value), "left")
+            found.append((value.isNotNull(), warning(value, F.lit(c))))
+        return log.select(*pairs.columns, _listed(found).alias("_novel"))
     names = F.array(*[F.lit(c) for c in strings])
-    return (
-        cells.join(unseen, ["_col", "_val"])
-        .groupBy(pk)
-        .agg(F.array_sort(F.collect_list(F.struct("_col", "_val"))).alias("_cells"))
-        .select(pk, F.transform("_cells", lambda x: F.concat(
-            F.lit('"'), x["_val"], F.lit('" not in other row records for '), F.get(names, x["_col"])
-        )).alias("_novel"))
-    )
+    novel = cells.join(unseen, ["_col", "_val"]).groupBy(pk).agg(F.array_sort(F.collect_list(F.struct("_col", "_val"))).alias("_cells"))
+    novel = novel.select(pk, F.transform("_cells", lambda x: warning(x["_val"], F.get(names, x["_col"]))).alias("_novel"))
+    log = _matched(pairs, novel, pk, "left")
+    return log.withColumn("_novel", F.coalesce("_novel", _listed([])))
 
 
 def warnings_of(log: DataFrame, pk: str) -> DataFrame:

@@ -19,6 +19,7 @@ REQUIRED = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.codegen.hugeMethodLimit": "65535",  # Spark's own; see compile_in_parts
 }
 
 
@@ -38,6 +39,12 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def compile_in_parts(spark: SparkSession) -> None:
+    """For wide projections, until the next ``configure``: the virtual machine interprets methods beyond 8,000
+    bytes for good, so stages that long are left to Spark's generator of single projections, which cuts them up."""
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
+
+
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 64 << 20
 
@@ -109,6 +116,12 @@ def written(df: DataFrame, what: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """The rows dealt evenly over as many tasks as a shuffle has: for rows that several passes read, out of files
+    that cannot be split."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def hold(df: DataFrame) -> DataFrame:
     """The frame persisted until ``release``, for callers whose result is evaluated later."""
     _HELD.append(df.persist(StorageLevel.MEMORY_AND_DISK))
