@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from zoneflow.operators import audit, features
 from zoneflow.plans.queries import ENTRY_AUDIT, master_and_entries
 from zoneflow.plans.registry import register, table
-from zoneflow.session import shared_path
+from zoneflow.session import shared_path, written
 from zoneflow.sources import logs, tables
 from zoneflow.streaming import audit_stream
 
@@ -100,6 +100,9 @@ def sorted_logs(spark, sf_dir):
     """Both logs sorted by city and key. Their order is checked: within parts each row against the one before
     it, and from part to part by their ends."""
     found = audit.updates(*master_and_entries(spark, sf_dir))
+    # Dealing by range reads its rows twice, so the log is made once and both kinds are taken from it.
+    rows = written(found.update_log.select("recid", "city_name", "editor", "edit_timestamp", "warnings"), "log")
+    found = audit.AuditLogs(rows, audit.warnings_of(rows, "recid"))
     kinds = {"updates": (found.update_log, ["city_name", "recid"]), "warnings": (found.warning_log, ["editor", "city", "recid"])}
     return _ordered("updates", *kinds["updates"]).unionByName(_ordered("warnings", *kinds["warnings"]))
 
