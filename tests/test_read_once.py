@@ -1,10 +1,13 @@
 """Rows that several passes read are made once."""
 
+from datetime import datetime
+
 import pytest
 from pyspark.sql import functions as F
 
 from zoneflow.operators import audit
 from zoneflow.plans import log_queries
+from zoneflow.streaming import audit_stream
 
 
 @pytest.fixture(scope="module")
@@ -37,3 +40,15 @@ def test_both_logs_are_taken_from_one(spark, tables):
     rows = {r["log"]: (r["n"], r["in_order"]) for r in found.collect()}
     whole = audit.updates(*log_queries.master_and_entries(spark, tables))
     assert rows == {"updates": (620, True), "warnings": (whole.warning_log.count(), True)}
+
+
+def test_a_batch_is_parsed_once(spark, tmp_path, monkeypatch):
+    schema = "recid string, city_name string, max_dua double, editor string, edit_date timestamp"
+    master = spark.createDataFrame([(f"k{i}", "c", float(i), "ed", datetime(2020, 1, 1)) for i in range(30)], schema)
+    inbox, seen, plain = str(tmp_path / "inbox"), [], audit.updates
+    master.withColumn("max_dua", F.col("max_dua") + 1).coalesce(1).write.json(inbox)
+    monkeypatch.setattr(audit, "updates", lambda m, batch, **kw: seen.append(read(batch)) or plain(m, batch, **kw))
+    arriving = audit_stream.read_entries(spark, inbox, master.schema, multi_line=False)
+    audit_stream.audit_entries(arriving, lambda: master, str(tmp_path / "out"), str(tmp_path / "state")).awaitTermination(120)
+    assert seen == [{"batch"}]
+    assert spark.read.parquet(str(tmp_path / "out/updates")).where("changed_vals = 1").count() == 30

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from zoneflow.operators import audit
+from zoneflow.session import written
 from zoneflow.sources import logs
 
 
@@ -39,7 +40,7 @@ def audit_entries(
         df.write.mode("overwrite").parquet(f"{out}/{name}/batch_id={batch_id}")
 
     def one_batch(batch: DataFrame, batch_id: int) -> None:
-        found = audit.updates(master(), batch, pk=pk, **options)
+        found = audit.updates(master(), written(batch, "batch"), pk=pk, **options)  # parsed once, read several times
         write(logs.stored_updates(found.update_log, pk), batch_id, "updates")
         write(logs.stored_warnings(found.warning_log, pk), batch_id, "warnings")
 
