@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from zoneflow.operators import audit
-from zoneflow.plans import log_queries
+from zoneflow.plans import log_queries, model_queries
 from zoneflow.streaming import audit_stream
 
 
@@ -52,3 +52,11 @@ def test_a_batch_is_parsed_once(spark, tmp_path, monkeypatch):
     audit_stream.audit_entries(arriving, lambda: master, str(tmp_path / "out"), str(tmp_path / "state")).awaitTermination(120)
     assert seen == [{"batch"}]
     assert spark.read.parquet(str(tmp_path / "out/updates")).where("changed_vals = 1").count() == 30
+
+
+def test_land_rows_are_written_once_and_dealt(spark, tables):
+    rows = model_queries.land_rows(spark, tables)
+    assert read(rows) == {"land"}
+    assert rows.count() == 600 and len(rows.inputFiles()) > 1
+    even, rest = model_queries.balanced_land(spark, tables)
+    assert read(even) == read(rest) == {"filled"}

@@ -17,7 +17,7 @@ from zoneflow.operators import evaluate, features, landuse, models, profile, sam
 from zoneflow.operators.wide_logistic import WideLogistic
 from zoneflow.plans.queries import PRODUCT_USES, STOP, _CASES, _FLAGS, dealt, md5_place
 from zoneflow.plans.registry import register, table
-from zoneflow.session import kept, shared_path, written
+from zoneflow.session import kept, shared_path, spread, written
 
 LANGUAGES = {"en": 0, "fr": 1, "de": 2, "es": 3}
 HASH_SLOTS, TREE_SLOTS = 1 << 18, 1 << 10
@@ -200,13 +200,15 @@ LAND_COLUMNS = ["p_brand", "p_size", "p_retailprice"]
 
 
 def land_rows(spark, sf_dir) -> DataFrame:
-    """Labelled parts with holes: some have no brand, others no size."""
+    """Labelled parts with holes: some have no brand, others no size. Written once and dealt evenly, because
+    splitting, filling and balancing scan them some twenty times and parts may lie in one file."""
     parts = table(spark, sf_dir, "part")
     labelled = landuse.labels(parts.select(
         "p_partkey", F.when(F.col("p_partkey") % 11 != 0, F.col("p_brand")).alias("p_brand"),
         F.when(F.col("p_partkey") % 7 != 0, F.col("p_size").cast("double")).alias("p_size"), "p_retailprice",
         F.concat_ws(" ", "p_name", "p_type").alias("plu_description")), uses=PRODUCT_USES)
-    return sampling.split(labelled.select("p_partkey", *LAND_COLUMNS, "label"), ["label"], 0.75, 37, ["p_partkey"])
+    labelled = written(spread(labelled.select("p_partkey", *LAND_COLUMNS, "label")), "land")
+    return sampling.split(labelled, ["label"], 0.75, 37, ["p_partkey"])
 
 
 LAND_SQL = f"""d AS (SELECT p_partkey, CASE WHEN p_partkey % 11 <> 0 THEN p_brand END AS p_brand, CASE WHEN p_partkey % 7 <> 0 THEN CAST(p_size AS DOUBLE) END AS p_size,
@@ -254,7 +256,7 @@ def one_hot_unknown(spark, sf_dir):
 
 def balanced_land(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     """Filled training parts with every class brought to the median class size, and the others."""
-    rows = filled_land(spark, sf_dir)
+    rows = written(filled_land(spark, sf_dir), "filled")  # counted, sampled, drawn from and scored
     train = rows.where("in_train").drop("in_train")
     counts = profile.class_counts(train, "label")
     middle = counts.agg(F.bround(F.percentile("n", 0.5)).cast("bigint")).scalar()
