@@ -3,9 +3,10 @@
 from datetime import datetime
 
 import pytest
+from pyspark.ml.classification import NaiveBayes
 from pyspark.sql import functions as F
 
-from zoneflow.operators import audit
+from zoneflow.operators import audit, features
 from zoneflow.plans import log_queries, model_queries
 from zoneflow.streaming import audit_stream
 
@@ -60,3 +61,14 @@ def test_land_rows_are_written_once_and_dealt(spark, tables):
     assert rows.count() == 600 and len(rows.inputFiles()) > 1
     even, rest = model_queries.balanced_land(spark, tables)
     assert read(even) == read(rest) == {"filled"}
+
+
+def test_stages_that_learn_nothing_are_applied_once(spark):
+    rows = spark.createDataFrame([(float(i % 2), 0.5, i, 2, 1.5, ["a", f"w{i % 5}"]) for i in range(20)],
+                                 "label double, city_share double, char_count int, word_count int, avg_word_length double, tokens array<string>")
+    whole = features.line_pipeline(NaiveBayes(), size=32)
+    made, rest = features.applied(whole, rows, ["label"])
+    assert made.columns == ["label", "features"] and read(made) == {"features"} and len(rest.getStages()) == 1
+    assert rest.fit(made).stages[0].theta == whole.fit(rows).stages[-1].theta
+    scaled, rest = features.applied(features.scaled_stages(size=32), rows, ["label"])
+    assert scaled.columns == ["label", "_assembled"] and len(rest.getStages()) == 1
