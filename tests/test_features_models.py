@@ -1,3 +1,6 @@
+import threading
+import time
+
 import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
@@ -97,6 +100,48 @@ def test_rounds_read_off_one_fit_are_those_of_separate_fits(spark, rows):
     data.unpersist()
 
 
+def most_at_once(monkeypatch, work) -> int:
+    """How many boosted fits ran side by side while ``work`` did."""
+    lock, seen, fit = threading.Lock(), [0, 0], models.GBTClassifier._fit
+
+    def counted(self, dataset):
+        with lock:
+            seen[0] += 1
+            seen[1] = max(seen)
+        try:
+            time.sleep(0.2)
+            return fit(self, dataset)
+        finally:
+            with lock:
+                seen[0] -= 1
+
+    with monkeypatch.context() as m:
+        m.setattr(models.GBTClassifier, "_fit", counted)
+        work()
+    return seen[1]
+
+
+def test_fits_at_once_are_bounded_by_what_they_keep(rows, monkeypatch):
+    data = features.feature_stages(size=32).fit(rows).transform(rows).select("context", "label", "features")
+    data = models.with_folds(data.where("label < 3"), 2, 3, ["context"]).persist()
+    grid = {"maxDepth": [1], "maxIter": [1]}
+    bins = 4 * data.count() * data.first()["features"].size
+    assert [models.fits_at_once(data, n) for n in (0, bins - 1, bins, 3 * bins)] == [1, 1, 1, 3]
+    assert models.fits_at_once(data) > 100 and models.fits_at_once(data.where("label < 0"), bins) == 1
+    assert [models.shared_out(n, 4, 4) for n in (1, 2, 8, 9, 100)] == [(1, 1), (1, 2), (2, 4), (2, 4), (4, 4)]
+
+    def work():
+        found.append(models.search_boosted(data, grid, n=1, folds=2))
+        found.append(models.search(lambda p: models.boosting(1, **p), data, grid, n=1, folds=2))
+
+    found = []
+    assert most_at_once(monkeypatch, work) > 1
+    monkeypatch.setattr(models, "fits_at_once", lambda data: 1)
+    assert most_at_once(monkeypatch, work) == 1
+    assert found[0] == found[1] == found[2] == found[3]
+    data.unpersist()
+
+
 def test_counted_vocabulary_has_no_limit(spark):
     words = " ".join(f"w{i}" for i in range(5000))
     df = spark.createDataFrame([("x", words), ("y", None), ("z", "")], "city string, context string").withColumn("city_share", F.lit(0.5))
