@@ -199,3 +199,22 @@ def test_lemmas_of_a_long_row_and_of_a_repeated_key(spark):
     twice = df.union(df)
     with pytest.raises(Exception):
         features.lemmatised(twice, lemmas, ["id"]).collect()
+
+
+def test_counted_rows_move_codes_and_not_words(spark, tmp_path, monkeypatch):
+    """Blocks of rows ask once for a word; keys that repeat share their counts, a null key has none."""
+    data = [(i, [f"w{i % 7}", "each", "each", None, f"rare{i}"]) for i in range(40)] + [(50, ["each"]), (50, ["each", "w1"]), (None, ["each"]), (60, []), (61, None)]
+    df = spark.createDataFrame(data, "id int, tokens array<string>").repartition(3)
+    words = spark.createDataFrame([(w,) for w in ["each", *(f"w{i}" for i in range(7))]], "token string")
+    slot = {r["token"]: r["slot"] for r in features.numbered(words).collect()}
+    plans = []
+    real = features._vectors
+    monkeypatch.setattr(features, "_vectors", lambda coded, known, *more: plans.append((coded, known)) or real(coded, known, *more))
+    got = features.counted(df, "id", words, keep_words=False)
+    assert got.columns == ["id", "token_vector"] and got.count() == 45
+    for r in got.collect():
+        v = dict(zip(r["token_vector"].indices.tolist(), r["token_vector"].values))
+        want = {} if r["id"] in (None, 60, 61) else {slot["each"]: 2.0, slot["w1"]: 1.0} if r["id"] == 50 else {slot["each"]: 2.0, slot[f"w{r['id'] % 7}"]: 1.0}
+        assert v == want and r["token_vector"].indices.tolist() == sorted(v) and r["token_vector"].size == 8
+    coded, known = plans[0]
+    assert "tokens" not in coded.columns and known.count() <= 3 * 8  # once a block, not once a row

@@ -2,6 +2,13 @@
 
 from __future__ import annotations
 
+import sys
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext, cloudpickle
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import (
     HashingTF, Normalizer, OneHotEncoder, StandardScaler,
@@ -16,7 +23,10 @@ from zoneflow.functions import text as tx
 from zoneflow.functions.stats import exact_percentiles
 from zoneflow.operators import sampling
 from zoneflow.plans.rules import LABEL_CODES
-from zoneflow.session import checked_broadcast, nan_to_null, shared_path, written
+from zoneflow.session import checked_broadcast, nan_to_null, shared_path, tidied, written
+
+# Functions travel whole, so that workers need not have this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 NUMERIC_FEATURES = ["city_share", "char_count", "word_count", "avg_word_length"]
 
@@ -122,25 +132,110 @@ def numbered(words: DataFrame) -> DataFrame:
     return sampling.ranked(words.select("token"), [], 0, ["token"]).select("token", F.col("rank").cast("int").alias("slot"))
 
 
-def counted(rows: DataFrame, key: str, words: DataFrame, column: str = "tokens", out: str = "token_vector") -> DataFrame:
-    """Rows with a sparse vector that counts their words, one slot for each word of the vocabulary.
+def counted(rows: DataFrame, key: str, words: DataFrame, column: str = "tokens", out: str = "token_vector",
+            keep_words: bool = True) -> DataFrame:
+    """Rows with a sparse vector that counts their words, one slot for each word of the vocabulary, and without
+    ``column`` unless ``keep_words``.
 
-    ``key`` must identify rows and not be null. Words join their numbers, counts combine per row and word
-    before they move, and the rows are written to the shared folder, in the form that vectors have there.
-    A word outside the vocabulary counts nowhere; a row without words has a vector of zeros.
+    Rows are coded in blocks, and a block asks once for the number of each of its words, so what moves is a block's
+    words and a row's codes. They are written to the shared folder, in the form that vectors have there.
+    A word outside the vocabulary counts nowhere; a row without words or with a null key has a vector of zeros, and
+    rows of one key have the counts of all of them.
     """
-    words = written(words.select("token"), "vocabulary")  # counted, ranked and joined
-    spark, n_words = rows.sparkSession, words.count()
+    spark = rows.sparkSession
+    with tidied(spark):
+        words = written(words.select("token"), "vocabulary", "zstd")  # counted and ranked
+        numbers, n_words = written(numbered(words), "numbers", "zstd"), words.count()
+        path = shared_path(spark, "vectors")
+        fields = [f for f in rows.schema.fields if keep_words or f.name != column]
+        twice = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_n")).where("_n > 1").select(key)
+        alone = rows
+        if not twice.isEmpty():
+            alone = rows.join(twice, key, "left_anti").select(*rows.columns)
+            _counted_by_key(rows.join(twice, key, "left_semi").select(*rows.columns), key, numbers, n_words, column, out).select(
+                *[f.name for f in fields], out).write.option("compression", "zstd").parquet(path)
+        coded = written(_coded(alone, key, column, fields), "coded", "zstd")
+        asked = coded.where(F.size("_dictionary") > 0).select(F.col("_block").alias("_asking"), F.posexplode("_dictionary").alias("_code", "token"))
+        known = asked.join(numbers, "token").select("_asking", "_code", "slot")
+        _vectors(coded, known, fields, n_words, out).write.option("compression", "zstd").mode("append").parquet(path)
+    return spark.read.schema(T.StructType([*fields, T.StructField(out, VectorUDT())])).parquet(path)
+
+
+_SPARSE = T.StructType([T.StructField("type", T.ByteType()), T.StructField("size", T.IntegerType()),
+                        T.StructField("indices", T.ArrayType(T.IntegerType())), T.StructField("values", T.ArrayType(T.DoubleType()))])
+
+
+def _counted_by_key(rows: DataFrame, key: str, numbers: DataFrame, n_words: int, column: str, out: str) -> DataFrame:
+    """``counted`` where several rows share a key: counts are added up by key and word."""
     counts = rows.select(key, F.explode(column).alias("token")).groupBy(key, "token").agg(F.count("*").cast("double").alias("n"))
-    slots = counts.join(numbered(words), "token").groupBy(key).agg(F.array_sort(F.collect_list(F.struct("slot", "n"))).alias("_slots"))
+    slots = counts.join(numbers, "token").groupBy(key).agg(F.array_sort(F.collect_list(F.struct("slot", "n"))).alias("_slots"))
     sparse = F.struct(
         F.lit(0).cast("byte").alias("type"), F.lit(n_words).cast("int").alias("size"),
         F.coalesce(F.col("_slots.slot"), F.array().cast("array<int>")).alias("indices"),
         F.coalesce(F.col("_slots.n"), F.array().cast("array<double>")).alias("values"))
-    whole = rows.join(slots, key, "left").select(*rows.columns, sparse.alias(out))
-    path = shared_path(spark, "vectors")
-    whole.write.parquet(path)
-    return spark.read.schema(T.StructType([*rows.schema.fields, T.StructField(out, VectorUDT())])).parquet(path)
+    return rows.join(slots, key, "left").select(*rows.columns, sparse.alias(out))
+
+
+def _lists(values: np.ndarray, lengths: np.ndarray, kind: pa.DataType) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(lengths)]), pa.int32()), pa.array(values, kind))
+
+
+def _coded(rows: DataFrame, key: str, column: str, fields: list[T.StructField], block_words: int = 1 << 21) -> DataFrame:
+    """Rows with ``_codes`` and ``_counts`` of their words. Codes are places in the ``_dictionary`` of their ``_block``, which
+    its first row has. A block is a part of a batch, of ``block_words`` words or one row."""
+    names = [f.name for f in fields]
+
+    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block = TaskContext.get().partitionId() << 32
+        for batch in batches:
+            upto = np.concatenate([[0], np.cumsum(pc.list_value_length(batch.column("_words")).fill_null(0).to_numpy(zero_copy_only=False))])
+            at = 0
+            while at < batch.num_rows:
+                n = max(1, int(np.searchsorted(upto, upto[at] + block_words, "right")) - 1 - at)
+                part = batch.slice(at, n)
+                n = part.num_rows
+                flat = part.column("_words").flatten().dictionary_encode()
+                real = flat.indices.is_valid().to_numpy(zero_copy_only=False)
+                row = np.repeat(np.arange(n, dtype=np.int64), np.diff(upto[at:at + n + 1]))[real]
+                size = max(1, len(flat.dictionary))
+                found, counts = np.unique(row * size + flat.indices.drop_null().to_numpy(), return_counts=True)
+                lengths = np.bincount(found // size, minlength=n)
+                first = np.zeros(n, np.int64)
+                first[0] = len(flat.dictionary)
+                dictionary = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(first)]), pa.int32()), flat.dictionary)
+                yield pa.RecordBatch.from_arrays(
+                    [*[part.column(c) for c in names], pa.array(np.full(n, block)), _lists(found % size, lengths, pa.int32()),
+                     _lists(counts, lengths, pa.int32()), dictionary], [*names, "_block", "_codes", "_counts", "_dictionary"])
+                at, block = at + n, block + 1
+
+    own = F.when(F.col(key).isNotNull(), F.col(column)).alias("_words")
+    return rows.select(*names, own).mapInArrow(code, T.StructType([
+        *fields, T.StructField("_block", T.LongType()), T.StructField("_codes", T.ArrayType(T.IntegerType())),
+        T.StructField("_counts", T.ArrayType(T.IntegerType())), T.StructField("_dictionary", T.ArrayType(T.StringType()))]))
+
+
+def _vectors(coded: DataFrame, known: DataFrame, fields: list[T.StructField], n_words: int, out: str) -> DataFrame:
+    """Rows of ``_coded`` with their vectors, by the numbers (``_asking``, ``_code``, ``slot``) of words in the vocabulary."""
+    names = [f.name for f in fields]
+
+    def vectors(rows: pa.Table, known: pa.Table) -> pa.Table:
+        rows = rows.combine_chunks()
+        lengths = pc.list_value_length(rows["_codes"]).to_numpy()
+        codes, counts = (pc.list_flatten(rows[c]).to_numpy() for c in ("_codes", "_counts"))
+        slot_of = np.full(int(codes.max(initial=-1)) + 1, -1, np.int32)
+        if known.num_rows:
+            slot_of[known["_code"].to_numpy()] = known["slot"].to_numpy()
+        slots, row = slot_of[codes], np.repeat(np.arange(len(lengths)), lengths)
+        order = np.flatnonzero(slots >= 0)
+        order = order[np.lexsort((slots[order], row[order]))]
+        lengths = np.bincount(row[order], minlength=len(lengths))
+        sparse = pa.StructArray.from_arrays(
+            [pa.array(np.zeros(len(lengths), np.int8)), pa.array(np.full(len(lengths), n_words, np.int32)),
+             _lists(slots[order], lengths, pa.int32()), _lists(counts[order], lengths, pa.float64())], _SPARSE.names)
+        return pa.table([*[rows[c] for c in names], sparse], [*names, out])
+
+    return coded.drop("_dictionary").groupBy("_block").cogroup(known.groupBy("_asking")).applyInArrow(
+        vectors, T.StructType([*fields, T.StructField(out, _SPARSE)]))
 
 
 def feature_stages(kind: str = "hash", size: int = 1 << 18) -> Pipeline:

@@ -41,7 +41,7 @@ def language_rows(spark, sf_dir) -> DataFrame:
 def document_words(spark, sf_dir) -> DataFrame:
     """Documents' words and train flag, written: the vocabulary and the counts both read them."""
     rows = features.text_stats(language_documents(spark, sf_dir), "context", STOP)
-    return written(rows.select("doc_id", "in_train", "tokens"), "words")
+    return written(rows.select("doc_id", "in_train", "tokens"), "words", "zstd")
 
 
 SPLIT_SQL = f"""split AS (SELECT doc_id, source AS city, lang AS attribute, text AS line, row_number() OVER (PARTITION BY lang ORDER BY {md5_place(31, "doc_id")})
@@ -93,7 +93,7 @@ def line_classifier_boosting(spark, sf_dir):
 def line_classifier_counts(spark, sf_dir):
     """Over the whole vocabulary of the training rows, coefficients in tables."""
     rows = written(language_rows(spark, sf_dir), "rows")
-    rows = features.counted(rows, "doc_id", features.vocabulary(rows.where("in_train"))).drop("tokens")
+    rows = features.counted(rows, "doc_id", features.vocabulary(rows.where("in_train")), keep_words=False)
     return fit_and_check(spark, sf_dir, features.line_pipeline(WideLogistic(["doc_id"], max_iter=15, reg=0.01), "count"), rows)
 
 
@@ -110,7 +110,7 @@ def token_count_vectors(spark, sf_dir):
     """Documents' sparse count vectors, slot by slot: numbers of words, their counts and the length."""
     rows = document_words(spark, sf_dir)
     words = features.vocabulary(rows.where("in_train"))
-    counted = features.counted(rows.select("doc_id", "tokens"), "doc_id", words)
+    counted = features.counted(rows.select("doc_id", "tokens"), "doc_id", words, keep_words=False)
     vector = counted.select("doc_id", F.unwrap_udt("token_vector").alias("v"))
     listed = F.zip_with("v.indices", "v.values", lambda i, n: F.concat_ws(":", i, n.cast("long")))
     return vector.select("doc_id", F.col("v.size").cast("long").alias("places"), F.size("v.indices").cast("long").alias("slots"),

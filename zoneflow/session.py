@@ -109,13 +109,26 @@ def shared_path(spark: SparkSession, what: str) -> str:
     return f"{folder.rstrip('/')}/{what}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, what: str) -> DataFrame:
-    """The frame as a table in the shared folder: read by several steps, made once, never cached."""
+def written(df: DataFrame, what: str, codec: str | None = None) -> DataFrame:
+    """The frame as a table in the shared folder: read by several steps, made once, never cached. ``codec``: how its
+    files are compressed, if not as the session's."""
     path = shared_path(df.sparkSession, what)
-    df.write.parquet(path)
+    (df.write.option("compression", codec) if codec else df.write).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def tidied(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of a job deleted when it ends, not when the driver collects garbage."""
+    conf, clean = spark.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(clean, "false")
+    conf.set(clean, "true")
+    try:
+        yield
+    finally:
+        conf.set(clean, before)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """The rows dealt evenly over as many tasks as a shuffle has: for rows that several passes read, out of files
     that cannot be split."""
