@@ -218,3 +218,15 @@ def test_counted_rows_move_codes_and_not_words(spark, tmp_path, monkeypatch):
         assert v == want and r["token_vector"].indices.tolist() == sorted(v) and r["token_vector"].size == 8
     coded, known = plans[0]
     assert "tokens" not in coded.columns and known.count() <= 3 * 8  # once a block, not once a row
+
+
+def test_assembled_vectors_describe_no_slot(spark, rows):
+    """A description of every slot on the driver grows with the vocabulary."""
+    for stages in (features.feature_stages(size=1 << 18), features.scaled_stages(size=1 << 18)):
+        out = stages.fit(rows).transform(rows)
+        column = "features" if "_assembled" not in out.columns else "_assembled"
+        assert len(out.schema[column].json()) < 1000
+        first = out.select(*features.NUMERIC_FEATURES, "token_vector", column).first()
+        v, tokens = first[column], first["token_vector"]
+        assert v.size == 4 + (1 << 18) and [v[i] for i in range(4)] == [first[c] for c in features.NUMERIC_FEATURES]
+        assert v.indices[4:].tolist() == [i + 4 for i in tokens.indices] and v.values[4:].tolist() == tokens.values.tolist()

@@ -4,17 +4,21 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Iterator
+from functools import reduce
+from operator import or_
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext, cloudpickle
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, Transformer
 from pyspark.ml.feature import (
     HashingTF, Normalizer, OneHotEncoder, StandardScaler,
     StopWordsRemover, StringIndexer, VectorAssembler,
 )
 from pyspark.ml.linalg import VectorUDT
+from pyspark.ml.param.shared import HasInputCols, HasOutputCol
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -238,18 +242,43 @@ def _vectors(coded: DataFrame, known: DataFrame, fields: list[T.StructField], n_
         vectors, T.StructType([*fields, T.StructField(out, _SPARSE)]))
 
 
+class Assembler(Transformer, HasInputCols, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
+    """Number columns and, last, a vector column as one sparse vector. Spark's own assembler describes every slot on
+    the driver and in the schema, which a vocabulary outgrows; here a slot has no description. A missing number fails the job."""
+
+    def __init__(self, inputCols: list[str] | None = None, outputCol: str | None = None):
+        super().__init__()
+        if inputCols:
+            self._set(inputCols=inputCols, outputCol=outputCol)
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        *numbers, vector = self.getInputCols()
+        v, n = F.unwrap_udt(vector), len(numbers)
+        none = F.array().cast("array<int>")
+        at = F.coalesce(v["indices"], F.when(F.size(v["values"]) > 0, F.sequence(F.lit(0), F.size(v["values"]) - 1)).otherwise(none))
+        missing = reduce(or_, [F.col(c).isNull() | F.isnan(F.col(c).cast("double")) for c in numbers], F.col(vector).isNull())
+        sparse = F.struct(
+            F.lit(0).cast("byte").alias("type"), (F.coalesce(v["size"], F.size(v["values"])) + n).alias("size"),
+            F.concat(F.array(*[F.lit(i) for i in range(n)]).cast("array<int>"), F.transform(at, lambda i: i + n)).alias("indices"),
+            F.concat(F.array(*[F.col(c).cast("double") for c in numbers]).cast("array<double>"), v["values"]).alias("values"))
+        whole = F.when(missing, F.raise_error(F.lit("null or NaN in a row to assemble")).cast(_SPARSE)).otherwise(sparse)
+
+        def typed(vectors: pa.Array) -> pa.Array:
+            return vectors
+
+        return dataset.withColumn(self.getOutputCol(), F.arrow_udf(typed, VectorUDT())(whole))
+
+
 def feature_stages(kind: str = "hash", size: int = 1 << 18) -> Pipeline:
     """City share, text statistics and token vector as ``features``. The numbers must be filled
     (``fill_numbers``): a missing one fails the job rather than dropping its row."""
-    assemble = VectorAssembler(inputCols=[*NUMERIC_FEATURES, "token_vector"], outputCol="features",
-                               handleInvalid="error")
+    assemble = Assembler(inputCols=[*NUMERIC_FEATURES, "token_vector"], outputCol="features")
     return Pipeline(stages=[*token_stages(kind, size), assemble])
 
 
 def scaled_stages(kind: str = "hash", size: int = 1 << 18) -> Pipeline:
     """``feature_stages`` with the features scaled to unit deviation; sparse vectors stay sparse."""
-    assembled = [*token_stages(kind, size), VectorAssembler(
-        inputCols=[*NUMERIC_FEATURES, "token_vector"], outputCol="_assembled", handleInvalid="error")]
+    assembled = [*token_stages(kind, size), Assembler(inputCols=[*NUMERIC_FEATURES, "token_vector"], outputCol="_assembled")]
     return Pipeline(stages=[*assembled, StandardScaler(inputCol="_assembled", outputCol="features", withMean=False)])
 
 

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from zoneflow.operators.sampling import ranked
-from zoneflow.session import shared_path, written
+from zoneflow.session import shared_path, tidied, written
 
 # Functions travel whole, so that workers need not have this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -123,6 +123,10 @@ class WideLogistic(Estimator):
         self.row_block, self.feature_block = row_block, feature_block
 
     def _fit(self, dataset: DataFrame) -> WideLogisticModel:
+        with tidied(dataset.sparkSession):  # each pass shuffles cells
+            return self._fitted(dataset)
+
+    def _fitted(self, dataset: DataFrame) -> WideLogisticModel:
         label = F.col(self.label).cast("double")
         wrong = F.raise_error(F.lit("a label is missing or no class number")).cast("int")
         given = dataset.select(*dict.fromkeys(self.key), F.col(self.features).alias("_features"), F.when(
